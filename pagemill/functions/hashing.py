@@ -103,11 +103,6 @@ def block_key(h: Column, block: int) -> Column:
     return h.bitwiseAND(F.lit(_signed(~hole & (1 << 64) - 1)).cast("bigint"))
 
 
-def block_value(h: Column, block: int) -> Column:
-    """The 16 bits that ``block_key`` zeroes."""
-    return F.shiftrightunsigned(h, block_shift(block)).bitwiseAND(F.lit((1 << BLOCK_BITS) - 1))
-
-
 def flip_bit(h: Column, bit: Column) -> Column:
     return h.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.cast("int")))
 
