@@ -17,7 +17,7 @@ BLOCK_BITS = 16
 _CHUNK_TOKENS = 1 << 16
 
 
-def _signed(value: int) -> int:
+def signed64(value: int) -> int:
     return value - (1 << 64) if value >= 1 << 63 else value
 
 
@@ -100,7 +100,7 @@ def within(a: Column, b: Column, k: int) -> Column:
 def block_key(h: Column, block: int) -> Column:
     """The hash with one 16-bit block zeroed; the other 48 bits stay."""
     hole = ((1 << BLOCK_BITS) - 1) << block_shift(block)
-    return h.bitwiseAND(F.lit(_signed(~hole & (1 << 64) - 1)).cast("bigint"))
+    return h.bitwiseAND(F.lit(signed64(~hole & (1 << 64) - 1)).cast("bigint"))
 
 
 def flip_bit(h: Column, bit: Column) -> Column:

@@ -87,7 +87,7 @@ def near_pairs(same: DataFrame, k: int = NEAR_BITS) -> DataFrame:
     mask, width = F.col("mask"), F.length(F.bin("mask"))
     shift = F.lit(64 - BLOCK_BITS) - F.col("block") * BLOCK_BITS
     probes = (
-        grouped.withColumn("mask", F.explode(F.lit(_flip_masks(k))).cast("bigint"))
+        grouped.withColumn("mask", F.explode(F.lit(_flip_masks(k)).cast("array<bigint>")))
         .withColumn("mask", F.call_function("shiftleft", mask, shift))
         .where(F.call_function("shiftrightunsigned", F.col("hash"), width - 1).bitwiseAND(F.lit(1)) == 1)
         .select("fid", "hash", F.col("hash").bitwiseXOR(mask).alias("probe"))

@@ -249,7 +249,7 @@ def editor_topics(articles: DataFrame, reads: DataFrame) -> DataFrame:
     return conform(named.join(read, "fid", "left_semi"), EDITOR_TOPICS)
 
 
-def article_topics(editor: DataFrame, predictions: DataFrame, mode: int = 0) -> DataFrame:
-    """(fid, cat) of articles: editor topics alone in mode 1, else picked ones too."""
+def article_topics(editor: DataFrame, predictions: DataFrame | None = None) -> DataFrame:
+    """(fid, cat) of articles: editor topics, and with predictions the picked ones too."""
     edited = conform(editor.withColumnRenamed("fcategory", "cat"), FID_CAT)
-    return edited if mode == 1 else edited.unionByName(pick_topic(predictions))
+    return edited if predictions is None else edited.unionByName(pick_topic(predictions))

@@ -471,7 +471,7 @@ def article_topics(v: StandIns) -> DataFrame:
 
 @_query
 def article_topics_editor_only(v: StandIns) -> DataFrame:
-    return topics.article_topics(editor_topics(v), _predictions(v), mode=1)
+    return topics.article_topics(editor_topics(v))
 
 
 # Reader statistics
@@ -493,21 +493,17 @@ def distinct_reads(v: StandIns) -> DataFrame:
 
 @_query
 def reads_with_topics(v: StandIns) -> DataFrame:
-    return userstats.reads_with_topics(_reads(v), _editor_cats(v))
+    return userstats.reads_with_topics(_reads(v), article_topics_editor_only(v))
 
 
 @_query
 def clicks_union(v: StandIns) -> DataFrame:
-    return userstats.topic_events(_reads(v), _editor_cats(v), v.click_log())
-
-
-def _editor_cats(v: StandIns) -> DataFrame:
-    return topics.article_topics(editor_topics(v), editor_topics(v), mode=1)
+    return userstats.topic_events(_reads(v), article_topics_editor_only(v), v.click_log())
 
 
 @_query
 def user_topic_counts(v: StandIns) -> DataFrame:
-    return userstats.user_topic_counts(_reads(v), _editor_cats(v), v.click_log(), REST)
+    return userstats.user_topic_counts(_reads(v), article_topics_editor_only(v), v.click_log(), REST)
 
 
 @_query
