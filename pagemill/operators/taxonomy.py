@@ -18,7 +18,10 @@ from pagemill.operators.joins import sized
 
 @dataclass(frozen=True)
 class Taxonomy:
-    """``mapping``: kind (exact, parent, user), src, dst. ``labels``: label."""
+    """``mapping``: kind (exact, parent, user), src, dst. ``labels``: label.
+
+    Both carry the join hint that fits their size.
+    """
 
     mapping: DataFrame
     labels: DataFrame
@@ -27,8 +30,8 @@ class Taxonomy:
 def lower_taxonomy(mapping: DataFrame, labels: DataFrame) -> Taxonomy:
     """Lower-case the entries, so that mapped values can match the allowed labels."""
     return Taxonomy(
-        mapping.select("kind", F.lower("src").alias("src"), F.lower("dst").alias("dst")),
-        labels.select(F.lower("label").alias("label")).distinct(),
+        sized(mapping.select("kind", F.lower("src").alias("src"), F.lower("dst").alias("dst"))),
+        sized(labels.select(F.lower("label").alias("label"))),
     )
 
 
@@ -58,7 +61,7 @@ def map_category(df: DataFrame, taxonomy: Taxonomy, col: str = "cat") -> DataFra
         lookup = taxonomy.mapping.where(F.col("kind") == kind).select(
             F.col("src").alias("_src"), F.col("dst").alias("_dst")
         )
-        joined = frame.join(sized(lookup), key == F.col("_src"), "left")
+        joined = frame.join(lookup, key == F.col("_src"), "left")
         return joined.withColumn(col, F.coalesce("_dst", col)).drop("_src", "_dst")
 
     out = df.withColumn(col, normalize_cat(F.col(col)))
@@ -70,14 +73,12 @@ def map_category(df: DataFrame, taxonomy: Taxonomy, col: str = "cat") -> DataFra
 def allowed_label(
     df: DataFrame, labels: DataFrame, col: str = "cat", out: str = "label"
 ) -> DataFrame:
-    """Fit ``col`` to the allowed labels: itself, else its parent, else its child,
-    else unknown."""
+    """Fit ``col`` to the allowed labels (each listed once): itself, else its parent,
+    else its child, else unknown."""
     parts = F.split(trim_blanks(F.col(col)), ",")
     two = F.contains(F.col(col), F.lit(","))
-    allowed = sized(labels.distinct())
-
     def found(frame: DataFrame, key: Column, name: str) -> DataFrame:
-        hit = allowed.select(F.col("label").alias(name))
+        hit = labels.select(F.col("label").alias(name))
         return frame.join(hit, key == F.col(name), "left")
 
     joined = found(df, F.col(col), "_whole")

@@ -1,5 +1,7 @@
 """Documents to words: class filters, and the preparation step of each job."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,10 +55,10 @@ def drop_classes(
     df: DataFrame,
     lexicon: DataFrame,
     classes: str = NON_TOPIC_CLASSES,
-    col: str = "words",
+    cols: Sequence[str] = ("words",),
     inline_words: int = INLINE_WORDS,
 ) -> DataFrame:
-    """Drop the words of array ``col`` whose lexicon class is listed.
+    """Drop the words of array columns ``cols`` whose lexicon class is listed.
 
     A lexicon of few such words is tested inside the row. With more, words and
     lexicon are joined and each document's words gathered again by fid.
@@ -64,10 +66,17 @@ def drop_classes(
     listed = lexicon.where(has_class(F.col("cls"), classes)).select("word").distinct()
     head = [r.word for r in listed.limit(inline_words + 1).collect()]
     if len(head) <= inline_words:
-        return df.withColumn(col, drop_listed(F.col(col), head))
+        return df.withColumns({c: drop_listed(F.col(c), head) for c in cols})
+    listed = sized(listed)
+    for c in cols:
+        df = _drop_joined(df, listed, c)
+    return df
+
+
+def _drop_joined(df: DataFrame, listed: DataFrame, col: str) -> DataFrame:
     kept = (
         df.select("fid", F.posexplode(col).alias("pos", "word"))
-        .join(sized(listed), "word", "left_anti")
+        .join(listed, "word", "left_anti")
         .groupBy("fid")
         .agg(F.array_sort(F.collect_list(F.struct("pos", "word")))["word"].alias("_kept"))
     )
@@ -150,10 +159,10 @@ def training_rows(
         words(strip_html(decode_b64(F.col("fcontent")), boilerplate), mode).alias("content"),
         F.col("fresource_type").alias("resource_type"),
     )
-    for col in ("title", "content"):
-        named = drop_classes(named, lexicon, NON_TOPIC_CLASSES, col)
-        named = named.withColumn(col, join_words(min_word_len(F.col(col), min_len)))
-    return conform(map_category(named, taxonomy), TRAIN)
+    texts = ("title", "content")
+    kept = drop_classes(named, lexicon, NON_TOPIC_CLASSES, texts)
+    kept = kept.withColumns({c: join_words(min_word_len(F.col(c), min_len)) for c in texts})
+    return conform(map_category(kept, taxonomy), TRAIN)
 
 
 def labelled_rows(

@@ -23,7 +23,6 @@ from pagemill.constants import (
     UNKNOWN,
 )
 from pagemill.functions.text import nonblank_sql, trim_blanks
-from pagemill.operators.joins import is_small
 from pagemill.schemas import EDITOR_TOPICS, FID_CAT, PREDICTION, conform
 from pagemill.sources.scratch import materialize
 
@@ -40,44 +39,60 @@ class TopicModels:
     training text lacks the word is left out, as its smoothed count is log(1) = 0;
     the entry with a null label counts the word as known.
     ``labels``: model, labels array<struct<label, prior, denominator>>.
+    ``words``: number of weights rows, which decides how they are joined.
     """
 
     weights: DataFrame
     labels: DataFrame
+    words: int
 
 
 def fit_topics(lines: DataFrame) -> TopicModels:
-    """Fit one model per ``model`` from (model, label, text), Laplace smoothing 1."""
+    """Fit one model per ``model`` from (model, label, text), Laplace smoothing 1.
+
+    The result is stored, as model files would be: the text is read once, and
+    scoring reads finished weights.
+    """
     counts = word_counts(lines)
+    is_word = F.col("word").isNotNull()
     scores = F.collect_list(F.struct("label", F.log(F.col("n") + 1.0).alias("weight")))
     known = F.struct(F.lit(None).cast("string").alias("label"), F.lit(1.0).alias("weight"))
-    weights = counts.groupBy("model", "word").agg(F.array_append(scores, known).alias("scores"))
-
-    vocabulary = weights.groupBy("model").agg(F.count(F.lit(1)).alias("vocabulary"))
-    tokens = counts.groupBy("model", "label").agg(F.sum("n").alias("tokens"))
-    docs = lines.groupBy("model", "label").agg(F.count(F.lit(1)).alias("docs"))
-    totals = docs.groupBy("model").agg(F.sum("docs").alias("all_docs"))
-    entry = F.struct(
-        "label",
-        F.log(F.col("docs") / F.col("all_docs")).alias("prior"),
-        F.log(F.coalesce("tokens", F.lit(0)) + F.col("vocabulary")).alias("denominator"),
+    weights = materialize(
+        counts.where(is_word)
+        .groupBy("model", "word")
+        .agg(F.array_append(scores, known).alias("scores"))
     )
-    labels = (
-        docs.join(totals, "model")
-        .join(vocabulary, "model")
-        .join(tokens, ["model", "label"], "left")
+    vocabulary = weights.groupBy("model").agg(F.count(F.lit(1)).alias("vocabulary"))
+    totals = (
+        counts.groupBy("model", "label")
+        .agg(
+            F.sum(F.when(~is_word, F.col("n"))).alias("docs"),
+            F.sum(F.when(is_word, F.col("n")).otherwise(0)).alias("tokens"),
+        )
         .groupBy("model")
-        .agg(F.array_sort(F.collect_list(entry)).alias("labels"))
+        .agg(
+            F.sum("docs").alias("all_docs"),
+            F.array_sort(F.collect_list(F.struct("label", "docs", "tokens"))).alias("labels"),
+        )
     )
-    return TopicModels(weights, labels)
+
+    def entry(row: Column) -> Column:
+        return F.struct(
+            row["label"].alias("label"),
+            F.log(row["docs"] / F.col("all_docs")).alias("prior"),
+            F.log(row["tokens"] + F.col("vocabulary")).alias("denominator"),
+        )
+
+    labels = totals.join(vocabulary, "model").select("model", F.transform("labels", entry).alias("labels"))
+    return TopicModels(weights, materialize(labels), weights.count())
 
 
 def word_counts(lines: DataFrame) -> DataFrame:
-    """(model, label, word, n), stored once: every part of a model is made from it."""
-    tokens = lines.select("model", "label", F.explode(F.split("text", " ")).alias("word"))
-    return materialize(
-        tokens.where("word != ''").groupBy("model", "label", "word").agg(F.count(F.lit(1)).alias("n"))
-    )
+    """(model, label, word, n), stored. A null word counts the lines of a label."""
+    words = F.filter(F.split("text", " "), lambda w: w != "")
+    marked = F.array_prepend(words, F.lit(None).cast("string"))
+    tokens = lines.select("model", "label", F.explode(marked).alias("word"))
+    return materialize(tokens.groupBy("model", "label", "word").agg(F.count(F.lit(1)).alias("n")))
 
 
 def weight_rows(models: TopicModels) -> DataFrame:
@@ -136,7 +151,7 @@ def classify_by(docs: DataFrame, models: TopicModels) -> DataFrame:
     """
     placed = docs.select("fid", "words", "model").repartition("fid")
     tokens = placed.select("fid", "model", F.explode(F.split("words", " ")).alias("word"))
-    fits = is_small(models.weights, BROADCAST_VOCABULARY)
+    fits = models.words <= BROADCAST_VOCABULARY
     weights = F.broadcast(models.weights) if fits else models.weights.hint("merge")
     sums = (
         tokens.where("word != ''")

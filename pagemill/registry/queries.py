@@ -299,7 +299,7 @@ def title_drop(v: StandIns) -> DataFrame:
 @_query
 def discard(v: StandIns) -> DataFrame:
     keyed = textprep.prepare_pages(v.documents(), r"\p{L}")
-    urls = v.spark.createDataFrame([("src1.",), ("//src17",)], "value string")
+    urls = v.inline(value=["src1.", "//src17"])
     return neardup.discard(keyed, _junk_hashes(v), urls)
 
 
@@ -365,7 +365,7 @@ def topic_split(v: StandIns) -> DataFrame:
 
 
 def _labelled(v: StandIns) -> DataFrame:
-    train = textprep.training_rows(v.articles(), v.taxonomy(), v.lexicon())
+    train = materialize(textprep.training_rows(v.articles(), v.taxonomy(), v.lexicon()))
     return textprep.labelled_rows(train, v.taxonomy(), "content")
 
 
@@ -412,13 +412,13 @@ def parent_topics(v: StandIns) -> DataFrame:
 @_query
 def child_topics(v: StandIns) -> DataFrame:
     models = _models(v)
-    return _rounded(topics.classify_children(topics.classify_parent(_documents(v), models), models))
+    return _rounded(topics.classify_children(materialize(topics.classify_parent(_documents(v), models)), models))
 
 
 @_query
 def child_topics_of_one(v: StandIns) -> DataFrame:
     models = _models(v)
-    parents = topics.classify_parent(_documents(v), models)
+    parents = materialize(topics.classify_parent(_documents(v), models))
     return _rounded(topics.classify_child(parents, models, "es"))
 
 
@@ -441,10 +441,10 @@ def predicted_labels(v: StandIns) -> DataFrame:
 def _predictions(v: StandIns) -> DataFrame:
     """Title and content, parent and child predictions for uncategorised articles."""
     models = _models(v)
-    prepared = textprep.prepare_articles(v.articles(), _reads(v))
+    prepared = textprep.prepare_articles(v.articles(), _reads(v)).persist()
     stacked = []
     for part in (textprep.title_words(prepared), textprep.content_words(prepared)):
-        parents = _rounded(topics.classify_parent(part, models))
+        parents = materialize(_rounded(topics.classify_parent(part, models)))
         stacked += [parents, _rounded(topics.classify_children(parents, models))]
     return topics.union_predictions(*stacked)
 

@@ -1,11 +1,13 @@
 """The shared test tables in the shapes the jobs read (see FIXTURES.md)."""
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.functions.text import words
 from pagemill.operators.neardup import hash_documents
 from pagemill.operators.taxonomy import Taxonomy, lower_taxonomy
+from pagemill.sources.tables import ensure_parallelism
 
 DAY = 20240101
 REST = "_rest"
@@ -35,10 +37,17 @@ class StandIns:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
 
+    def texts(self, name: str, key: str) -> DataFrame:
+        """A table whose texts are about to be cut, spread over all cores."""
+        return ensure_parallelism(self.table(name), self.spark.sparkContext.defaultParallelism, key)
+
+    def inline(self, **columns: list[str]) -> DataFrame:
+        return self.spark.createDataFrame(pa.table(columns))
+
     def documents(self) -> DataFrame:
         """Documents as crawled pages: fid, furl, ftitle, fkeywords, fcontent, lang."""
         site = F.concat(F.lit("http://"), "source", F.lit(".example.org/"), "lang", F.lit("/"), "doc_id")
-        return self.table("documents").select(
+        return self.texts("documents", "doc_id").select(
             F.col("doc_id").alias("fid"),
             site.alias("furl"),
             F.substring_index("text", "\n", 1).alias("ftitle"),
@@ -56,7 +65,7 @@ class StandIns:
 
     def pages(self) -> DataFrame:
         html = F.col("html")
-        return self.table("pages").select(
+        return self.texts("pages", "page_id").select(
             F.col("page_id").alias("fid"),
             F.col("url").alias("furl"),
             F.regexp_extract(html, "<title>(.*?)</title>", 1).alias("ftitle"),
@@ -65,7 +74,7 @@ class StandIns:
         )
 
     def articles(self) -> DataFrame:
-        docs, labels = self.table("documents"), self.table("labels")
+        docs, labels = self.texts("documents", "doc_id"), self.table("labels")
         grade = F.when(F.col("quality") == 1, "good").otherwise("bad")
         return docs.join(labels, "doc_id", "left").select(
             F.col("doc_id").alias("fid"),
@@ -97,16 +106,15 @@ class StandIns:
         )
 
     def lexicon(self) -> DataFrame:
-        return self.spark.createDataFrame(LEXICON, "word string, cls string")
+        word, cls = map(list, zip(*LEXICON))
+        return self.inline(word=word, cls=cls)
 
     def taxonomy(self) -> Taxonomy:
-        return lower_taxonomy(
-            self.spark.createDataFrame(MAPPING, "kind string, src string, dst string"),
-            self.spark.createDataFrame([(x,) for x in LABELS], "label string"),
-        )
+        kind, src, dst = map(list, zip(*MAPPING))
+        return lower_taxonomy(self.inline(kind=kind, src=src, dst=dst), self.inline(label=LABELS))
 
     def junk_urls(self) -> DataFrame:
-        return self.spark.createDataFrame([(u,) for u in JUNK_URLS], "value string")
+        return self.inline(value=JUNK_URLS)
 
     def junk_ids(self) -> DataFrame:
         """Documents known to be toxic."""
