@@ -5,6 +5,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import LongType
 
 from pagemill.constants import MIN_TOKENS, SHORT_HASH
 
@@ -72,7 +73,7 @@ def simhash_lists(lists: pa.ListArray) -> np.ndarray:
     return out.view(np.int64)
 
 
-@arrow_udf("bigint")
+@arrow_udf(LongType())
 def _simhash(word_lists: pa.Array) -> pa.Array:
     return pa.array(simhash_lists(word_lists))
 

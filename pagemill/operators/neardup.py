@@ -94,7 +94,7 @@ def near_pairs(same: DataFrame, k: int = NEAR_BITS) -> DataFrame:
     )
     other = same.select(F.col("fid").alias("other_fid"), F.col("hash").alias("probe"))
     a, b = F.col("fid"), F.col("other_fid")
-    return probes.join(other, "probe").select(
+    return probes.hint("merge").join(other, "probe").select(
         F.least(a, b).alias("fid_a"),
         F.greatest(a, b).alias("fid_b"),
         F.bit_count(F.col("hash").bitwiseXOR(F.col("probe"))).cast("int").alias("distance"),

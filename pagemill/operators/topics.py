@@ -23,12 +23,15 @@ from pagemill.constants import (
     UNKNOWN,
 )
 from pagemill.functions.text import nonblank_sql, trim_blanks
+from pagemill.operators.joins import sized
 from pagemill.schemas import EDITOR_TOPICS, FID_CAT, PREDICTION, conform
 from pagemill.sources.scratch import materialize
 
 # Vocabulary rows up to which the weights are broadcast; each holds at most one
 # weight per label of its model.
 BROADCAST_VOCABULARY = 500_000
+# Models up to which their label tables are broadcast; there is one per parent topic.
+BROADCAST_MODELS = 10_000
 
 
 @dataclass(frozen=True)
@@ -39,12 +42,15 @@ class TopicModels:
     training text lacks the word is left out, as its smoothed count is log(1) = 0;
     the entry with a null label counts the word as known.
     ``labels``: model, labels array<struct<label, prior, denominator>>.
-    ``words``: number of weights rows, which decides how they are joined.
+    Both carry the join hint that fits their size.
     """
 
     weights: DataFrame
     labels: DataFrame
-    words: int
+
+
+def topic_models(weights: DataFrame, labels: DataFrame) -> TopicModels:
+    return TopicModels(sized(weights, BROADCAST_VOCABULARY), sized(labels, BROADCAST_MODELS))
 
 
 def fit_topics(lines: DataFrame) -> TopicModels:
@@ -84,7 +90,7 @@ def fit_topics(lines: DataFrame) -> TopicModels:
         )
 
     labels = totals.join(vocabulary, "model").select("model", F.transform("labels", entry).alias("labels"))
-    return TopicModels(weights, materialize(labels), weights.count())
+    return topic_models(weights, materialize(labels))
 
 
 def word_counts(lines: DataFrame) -> DataFrame:
@@ -147,23 +153,24 @@ def classify_by(docs: DataFrame, models: TopicModels) -> DataFrame:
     """Score (fid, words, model) rows, each with the model it names.
 
     Documents are shuffled once, by fid. With broadcast weights the token sums and
-    the join back to the documents then stay in the same partitions.
+    the join back to the documents then stay in the same partitions. A null fid
+    becomes 0, so that no null check sets the two uses of the shuffle apart.
     """
-    placed = docs.select("fid", "words", "model").repartition("fid")
+    fid = F.coalesce("fid", F.lit(0).cast("bigint")).alias("fid")
+    placed = docs.select(fid, "words", "model").repartition("fid")
     tokens = placed.select("fid", "model", F.explode(F.split("words", " ")).alias("word"))
-    fits = models.words <= BROADCAST_VOCABULARY
-    weights = F.broadcast(models.weights) if fits else models.weights.hint("merge")
     sums = (
         tokens.where("word != ''")
-        .join(weights, ["model", "word"])
+        .join(models.weights, ["model", "word"])
         .select("fid", "model", F.inline("scores"))
         .groupBy("fid", "model", "label")
         .agg(F.sum("weight").alias("total"))
     )
     entries = F.collect_list(F.when(F.col("label").isNotNull(), F.struct("label", "total")))
-    per_doc = sums.groupBy("fid", "model").agg(
+    per_doc = sums.groupBy("fid").agg(
         F.map_from_entries(entries).alias("sums"),
         F.max(F.when(F.col("label").isNull(), F.col("total"))).alias("known"),
+        F.max("model").alias("model"),
     )
     best = per_doc.join(models.labels, "model").select(
         "fid", F.inline(F.array(_posterior(F.col("known"), F.col("sums"), F.col("labels"))))

@@ -2,33 +2,47 @@
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
-
-PAGES = StructType.fromDDL(
-    "fid bigint, furl string, ftitle string, fkeywords string, fcontent string"
-)
-ARTICLES = StructType.fromDDL(
-    "fid bigint, ftitle string, fcontent string, fcategory string, fresource_type bigint"
-)
-READER_LOG = StructType.fromDDL(
-    "imei string, article_id string, read_cnt bigint, event_name string"
+from pyspark.sql.types import (
+    ArrayType,
+    DataType,
+    DoubleType,
+    LongType,
+    StringType,
+    StructField,
+    StructType,
 )
-CLICK_LOG = StructType.fromDDL("imei string, category string, pv bigint")
 
-SEG = StructType.fromDDL("fid bigint, words string")
-HASH = StructType.fromDDL("fid bigint, hash bigint")
-KEY = StructType.fromDDL("fid bigint, words string, hash bigint, furl string, ftitle string")
-DISCARD = StructType.fromDDL("fid bigint, words string, hash bigint")
+LONG, STRING, DOUBLE = LongType(), StringType(), DoubleType()
+
+
+def schema(**columns: DataType) -> StructType:
+    return StructType([StructField(name, kind) for name, kind in columns.items()])
+
+
+PAGES = schema(fid=LONG, furl=STRING, ftitle=STRING, fkeywords=STRING, fcontent=STRING)
+ARTICLES = schema(fid=LONG, ftitle=STRING, fcontent=STRING, fcategory=STRING, fresource_type=LONG)
+READER_LOG = schema(imei=STRING, article_id=STRING, read_cnt=LONG, event_name=STRING)
+CLICK_LOG = schema(imei=STRING, category=STRING, pv=LONG)
+
+SEG = schema(fid=LONG, words=STRING)
+HASH = schema(fid=LONG, hash=LONG)
+KEY = schema(fid=LONG, words=STRING, hash=LONG, furl=STRING, ftitle=STRING)
+DISCARD = schema(fid=LONG, words=STRING, hash=LONG)
 # Counts of documents are bigint: an int would overflow on a large crawl.
-SAME = StructType.fromDDL("hash bigint, fid bigint, samelen bigint")
-DISTANCE = StructType.fromDDL("fid bigint, hash bigint, samelen bigint, members array<bigint>")
-MEMBERS = StructType.fromDDL("rep_fid bigint, fid bigint")
-PREDICTION = StructType.fromDDL("fid bigint, words string, cat string, prob double")
-USER_PV = StructType.fromDDL("imei string, fid bigint, sumcnt bigint")
-EDITOR_TOPICS = StructType.fromDDL("fid bigint, fcategory string")
-FID_CAT = StructType.fromDDL("fid bigint, cat string")
-USER_TOPICS = StructType.fromDDL("imei string, pcat string, ccat string, cnt bigint")
-TRAIN = StructType.fromDDL("cat string, title string, content string, resource_type bigint")
+SAME = schema(hash=LONG, fid=LONG, samelen=LONG)
+DISTANCE = schema(fid=LONG, hash=LONG, samelen=LONG, members=ArrayType(LONG))
+DUP = schema(
+    fid=LONG, hash=LONG, samelen=LONG, furl=STRING, ftitle=STRING, fkeywords=STRING, fcontent=STRING
+)
+DUP_TOPICS = StructType([*DUP.fields, StructField("cat", STRING), StructField("prob", DOUBLE)])
+MEMBERS = schema(rep_fid=LONG, fid=LONG)
+PREDICTION = schema(fid=LONG, words=STRING, cat=STRING, prob=DOUBLE)
+USER_PV = schema(imei=STRING, fid=LONG, sumcnt=LONG)
+EDITOR_TOPICS = schema(fid=LONG, fcategory=STRING)
+FID_CAT = schema(fid=LONG, cat=STRING)
+USER_TOPICS = schema(imei=STRING, pcat=STRING, ccat=STRING, cnt=LONG)
+LABEL_COUNTS = schema(label=STRING, n=LONG)
+TRAIN = schema(cat=STRING, title=STRING, content=STRING, resource_type=LONG)
 
 
 def conform(df: DataFrame, schema: StructType) -> DataFrame:

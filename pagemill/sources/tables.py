@@ -4,6 +4,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from pagemill.functions.text import trim_blanks
 
@@ -17,9 +18,19 @@ def read_day(
     stat_date: int,
     cols: Sequence[str] | None = None,
     where: Column | None = None,
+    schema: StructType | None = None,
 ) -> DataFrame:
-    """One day of a table; the day prunes partitions, ``where`` is pushed down."""
-    day = spark.read.parquet(path).where(F.col(DAY) == stat_date)
+    """One day of a table; the day prunes partitions, ``where`` is pushed down.
+
+    With a schema, a day stored without rows reads as empty, and the category
+    partition stays text even if its values look like numbers.
+    """
+    reader = spark.read
+    if schema is not None:
+        parts = [StructField(DAY, IntegerType()), StructField(CATEGORY_PART, StringType())]
+        reader = reader.schema(StructType([*schema.fields, *parts]))
+        cols = cols or schema.names
+    day = reader.parquet(path).where(F.col(DAY) == stat_date)
     if where is not None:
         day = day.where(where)
     return day.select(*cols) if cols else day.drop(DAY)
@@ -31,24 +42,21 @@ def read_table(spark: SparkSession, path: str, cols: Sequence[str] | None = None
     return table.select(*cols) if cols else table
 
 
-def write_day(df: DataFrame, path: str, stat_date: int, by: str | None = None) -> None:
-    """Overwrite one day, and within it only the category partitions ``df`` holds.
+def write_day(
+    df: DataFrame, path: str, stat_date: int, by: str | None = None, whole_day: bool = True
+) -> None:
+    """Replace one day; without ``whole_day``, only the categories ``df`` holds.
 
     With ``by``, rows are gathered per category before the write so that each
     task does not open a file in every category; rebalancing splits a category
     that is too big for one task.
     """
-    day = df.withColumn(DAY, F.lit(stat_date).cast("int"))
-    parts = [DAY]
+    write = df.write
     if by is not None:
-        day = day.withColumn(CATEGORY_PART, F.col(by)).hint("rebalance", CATEGORY_PART)
-        parts.append(CATEGORY_PART)
-    (
-        day.write.partitionBy(*parts)
-        .option("partitionOverwriteMode", "dynamic")
-        .mode("overwrite")
-        .parquet(path)
-    )
+        split = df.withColumn(CATEGORY_PART, F.col(by)).hint("rebalance", CATEGORY_PART)
+        mode = "static" if whole_day else "dynamic"
+        write = split.write.partitionBy(CATEGORY_PART).option("partitionOverwriteMode", mode)
+    write.mode("overwrite").parquet(f"{path.rstrip('/')}/{DAY}={stat_date}")
 
 
 def clean_list(lines: DataFrame, as_long: bool = False) -> DataFrame:
