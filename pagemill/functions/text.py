@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from pagemill.constants import ARTICLE_BOILERPLATE, HAN_CLASS
 
+# A character that trimming keeps, and two of them in a row but for blanks.
+VISIBLE = r"[^\x00-\x20]"
+_TWO_VISIBLE = rf"{VISIBLE}[\x00-\x20]*{VISIBLE}"
 _EDGE_BLANKS = r"^[\x00-\x20]+|[\x00-\x20]+$"
 
 _HAN = r"\p{IsHan}"
@@ -32,8 +35,9 @@ def trim_blanks(c: Column) -> Column:
 
 
 def nonblank(c: Column) -> Column:
-    """Not null and longer than one character once trimmed."""
-    return F.coalesce(F.length(trim_blanks(c)) > 1, F.lit(False))
+    """Not null and longer than one character once trimmed, so with a first and a
+    last visible character. The search stops there instead of copying the text."""
+    return F.coalesce(c.rlike(_TWO_VISIBLE), F.lit(False))
 
 
 def nonblank_sql(c: Column) -> Column:

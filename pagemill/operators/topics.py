@@ -22,7 +22,7 @@ from pagemill.constants import (
     PROB_NO_PARENT_ANSWER,
     UNKNOWN,
 )
-from pagemill.functions.text import nonblank_sql, trim_blanks
+from pagemill.functions.text import VISIBLE, nonblank_sql
 from pagemill.operators.joins import sized
 from pagemill.schemas import EDITOR_TOPICS, FID_CAT, PREDICTION, conform
 from pagemill.sources.scratch import materialize
@@ -38,19 +38,24 @@ BROADCAST_MODELS = 10_000
 class TopicModels:
     """Naive Bayes models by name.
 
-    ``weights``: model, word, scores array<struct<label, weight>>. A label whose
-    training text lacks the word is left out, as its smoothed count is log(1) = 0;
-    the entry with a null label counts the word as known.
-    ``labels``: model, labels array<struct<label, prior, denominator>>.
-    Both carry the join hint that fits their size.
+    ``weights``: model, word, scores array<double>, the log of the smoothed count
+    under each label of the model.
+    ``labels``: model, labels array<struct<label, prior, denominator>>, the labels
+    in the order of the scores.
+    Both carry the join hint that fits their size. ``width`` is the largest number
+    of labels of a model.
     """
 
     weights: DataFrame
     labels: DataFrame
+    width: int
 
 
 def topic_models(weights: DataFrame, labels: DataFrame) -> TopicModels:
-    return TopicModels(sized(weights, BROADCAST_VOCABULARY), sized(labels, BROADCAST_MODELS))
+    width = labels.select(F.max(F.size("labels"))).first()[0]
+    return TopicModels(
+        sized(weights, BROADCAST_VOCABULARY), sized(labels, BROADCAST_MODELS), width or 0
+    )
 
 
 def fit_topics(lines: DataFrame) -> TopicModels:
@@ -61,15 +66,7 @@ def fit_topics(lines: DataFrame) -> TopicModels:
     """
     counts = word_counts(lines)
     is_word = F.col("word").isNotNull()
-    scores = F.collect_list(F.struct("label", F.log(F.col("n") + 1.0).alias("weight")))
-    known = F.struct(F.lit(None).cast("string").alias("label"), F.lit(1.0).alias("weight"))
-    weights = materialize(
-        counts.where(is_word)
-        .groupBy("model", "word")
-        .agg(F.array_append(scores, known).alias("scores"))
-    )
-    vocabulary = weights.groupBy("model").agg(F.count(F.lit(1)).alias("vocabulary"))
-    totals = (
+    label_totals = materialize(
         counts.groupBy("model", "label")
         .agg(
             F.sum(F.when(~is_word, F.col("n"))).alias("docs"),
@@ -81,6 +78,19 @@ def fit_topics(lines: DataFrame) -> TopicModels:
             F.array_sort(F.collect_list(F.struct("label", "docs", "tokens"))).alias("labels"),
         )
     )
+    by_label = F.map_from_entries(F.collect_list(F.struct("label", "n")))
+
+    def score(row: Column) -> Column:
+        return F.log(F.coalesce(F.element_at("by_label", row["label"]), F.lit(0)) + 1.0)
+
+    weights = materialize(
+        counts.where(is_word)
+        .groupBy("model", "word")
+        .agg(by_label.alias("by_label"))
+        .join(sized(label_totals, BROADCAST_MODELS), "model")
+        .select("model", "word", F.transform("labels", score).alias("scores"))
+    )
+    vocabulary = weights.groupBy("model").agg(F.count(F.lit(1)).alias("vocabulary"))
 
     def entry(row: Column) -> Column:
         return F.struct(
@@ -89,7 +99,9 @@ def fit_topics(lines: DataFrame) -> TopicModels:
             F.log(row["tokens"] + F.col("vocabulary")).alias("denominator"),
         )
 
-    labels = totals.join(vocabulary, "model").select("model", F.transform("labels", entry).alias("labels"))
+    labels = label_totals.join(vocabulary, "model").select(
+        "model", F.transform("labels", entry).alias("labels")
+    )
     return topic_models(weights, materialize(labels))
 
 
@@ -102,17 +114,24 @@ def word_counts(lines: DataFrame) -> DataFrame:
 
 
 def weight_rows(models: TopicModels) -> DataFrame:
-    """Log weight of each word under each label that has it."""
-    pairs = models.weights.select("model", "word", F.inline("scores")).where("label is not null")
-    label = models.labels.select("model", F.inline("labels"))
-    return pairs.join(label, ["model", "label"]).select(
-        "model", "label", "word", (F.col("weight") - F.col("denominator")).alias("log_weight"), "prior"
+    """Log weight of each word under each label of its model."""
+    zipped = F.arrays_zip(F.col("scores"), F.col("labels"))
+    rows = models.weights.join(models.labels, "model").select(
+        "model", "word", F.explode(zipped).alias("z")
+    )
+    label = F.col("z.labels")
+    return rows.select(
+        "model",
+        label["label"].alias("label"),
+        "word",
+        (F.col("z.scores") - label["denominator"]).alias("log_weight"),
+        label["prior"].alias("prior"),
     )
 
 
 def _with_fallbacks(scored: DataFrame) -> DataFrame:
     """(fid, words, model, cat, prob) to a prediction for every row."""
-    blank = F.length(trim_blanks(F.coalesce("words", F.lit("")))) == 0
+    blank = F.col("words").isNull() | ~F.col("words").rlike(VISIBLE)
     silent = F.col("cat").isNull()
     parent = F.col("model") == ALL_MODEL
     cat = (
@@ -132,14 +151,11 @@ def _with_fallbacks(scored: DataFrame) -> DataFrame:
 def _posterior(known: Column, sums: Column, labels: Column) -> Column:
     """Best (cat, prob) from per-label sums; ties go to the first label."""
 
-    def score(row: Column) -> Column:
-        total = row["prior"] - known * row["denominator"]
-        return F.struct(
-            (total + F.coalesce(F.element_at(sums, row["label"]), F.lit(0.0))).alias("score"),
-            row["label"].alias("label"),
-        )
+    def score(row: Column, total: Column) -> Column:
+        value = row["prior"] - known * row["denominator"] + total
+        return F.struct(value.alias("score"), row["label"].alias("label"))
 
-    scores = F.transform(labels, score)
+    scores = F.zip_with(labels, F.slice(sums, F.lit(1), F.size(labels)), score)
     best = F.array_max(F.transform(scores, lambda s: s["score"]))
     winners = F.filter(scores, lambda s: s["score"] == best)
     mass = F.aggregate(scores, F.lit(0.0), lambda acc, s: acc + F.exp(s["score"] - best))
@@ -159,21 +175,24 @@ def classify_by(docs: DataFrame, models: TopicModels) -> DataFrame:
     fid = F.coalesce("fid", F.lit(0).cast("bigint")).alias("fid")
     placed = docs.select(fid, "words", "model").repartition("fid")
     tokens = placed.select("fid", "model", F.explode(F.split("words", " ")).alias("word"))
-    sums = (
-        tokens.where("word != ''")
-        .join(models.weights, ["model", "word"])
-        .select("fid", "model", F.inline("scores"))
-        .groupBy("fid", "model", "label")
-        .agg(F.sum("weight").alias("total"))
+    # Grouping by the weights' own model name keeps the next join an equality even
+    # when all documents name one model.
+    weights = models.weights.select(
+        F.col("model").alias("own"), F.col("word").alias("known_word"), "scores"
     )
-    entries = F.collect_list(F.when(F.col("label").isNotNull(), F.struct("label", "total")))
-    per_doc = sums.groupBy("fid").agg(
-        F.map_from_entries(entries).alias("sums"),
-        F.max(F.when(F.col("label").isNull(), F.col("total"))).alias("known"),
-        F.max("model").alias("model"),
+    same = (F.col("model") == F.col("own")) & (F.col("word") == F.col("known_word"))
+    per_doc = (
+        tokens.where("word != ''")
+        .join(weights, same)
+        .groupBy("fid", "own")
+        .agg(
+            F.count(F.lit(1)).alias("known"),
+            *(F.sum(F.get("scores", F.lit(i))).alias(f"s{i}") for i in range(models.width)),
+        )
     )
-    best = per_doc.join(models.labels, "model").select(
-        "fid", F.inline(F.array(_posterior(F.col("known"), F.col("sums"), F.col("labels"))))
+    sums = F.array(*(F.col(f"s{i}") for i in range(models.width))).cast("array<double>")
+    best = per_doc.join(models.labels.withColumnRenamed("model", "own"), "own").select(
+        "fid", F.inline(F.array(_posterior(F.col("known"), sums, F.col("labels"))))
     )
     scored = _with_fallbacks(placed.join(best, "fid", "left"))
     return conform(scored, PREDICTION)

@@ -348,8 +348,9 @@ def oracle_sql() -> dict[str, str]:
         ),
         "training_lines": f"WITH {LINES} SELECT model, label, text FROM lines",
         "label_counts": f"WITH {LABELLED} SELECT label, count(*) AS n FROM lb GROUP BY label",
-        "fit_topic_weights": f"""WITH {FIT} SELECT model, label, word, round(ln(n + 1.0) - den, 6)::DOUBLE AS log_weight,
-            round(prior, 6)::DOUBLE AS prior FROM cnt JOIN den USING (model, label)""",
+        "fit_topic_weights": f"""WITH {FIT} SELECT model, label, word,
+            round(ln(coalesce(n, 0) + 1.0) - den, 6)::DOUBLE AS log_weight, round(prior, 6)::DOUBLE AS prior
+            FROM voc JOIN den USING (model) LEFT JOIN cnt USING (model, label, word)""",
         "parent_topics": f"WITH {PARENTS} SELECT fid, words, cat, prob FROM pc",
         "child_topics": f"WITH {CHILDREN} SELECT fid, words, cat, prob FROM cc",
         "child_topics_of_one": f"WITH {CHILDREN} SELECT fid, words, cc.cat, cc.prob FROM cc JOIN pc USING (fid, words) WHERE pc.cat = 'es'",

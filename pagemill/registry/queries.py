@@ -212,12 +212,12 @@ def block_keys(v: StandIns) -> DataFrame:
 
 @_query
 def near_pairs(v: StandIns) -> DataFrame:
-    return neardup.near_pairs(neardup.same_hash(v.hashes()))
+    return neardup.near_pairs(materialize(neardup.same_hash(v.hashes())))
 
 
 @_query
 def near_pairs_3_bits(v: StandIns) -> DataFrame:
-    return neardup.near_pairs(neardup.same_hash(v.hashes()), k=3)
+    return neardup.near_pairs(materialize(neardup.same_hash(v.hashes())), k=3)
 
 
 @_query
@@ -256,7 +256,9 @@ def member_string_capped(v: StandIns) -> DataFrame:
 
 
 def _junk_hashes(v: StandIns) -> DataFrame:
-    return v.hashes().join(v.junk_ids(), "fid", "left_semi").select("hash")
+    junk = neardup.keep_ids(v.documents().select("fid", "fcontent"), v.junk_ids())
+    hashed = neardup.hash_documents(junk.select("fid", tx.words(F.col("fcontent")).alias("words")))
+    return materialize(hashed.select("hash"))
 
 
 @_query
@@ -288,7 +290,7 @@ def url_drop_joined(v: StandIns) -> DataFrame:
 
 @_query
 def short_drop(v: StandIns) -> DataFrame:
-    return neardup.drop_short(v.hashes())
+    return neardup.drop_short(materialize(v.hashes()))
 
 
 @_query
@@ -298,7 +300,7 @@ def title_drop(v: StandIns) -> DataFrame:
 
 @_query
 def discard(v: StandIns) -> DataFrame:
-    keyed = textprep.prepare_pages(v.documents(), r"\p{L}")
+    keyed = materialize(textprep.prepare_pages(v.documents(), r"\p{L}"))
     urls = v.inline(value=["src1.", "//src17"])
     return neardup.discard(keyed, _junk_hashes(v), urls)
 
@@ -306,7 +308,7 @@ def discard(v: StandIns) -> DataFrame:
 @_query
 def discard_with_titles(v: StandIns) -> DataFrame:
     keyed = materialize(textprep.prepare_pages(v.pages(), r"\p{L}"))
-    junk = keyed.join(v.junk_titles().toDF("ftitle"), "ftitle", "left_semi").select("hash")
+    junk = materialize(keyed.join(v.junk_titles().toDF("ftitle"), "ftitle", "left_semi").select("hash"))
     return neardup.discard(keyed, junk, v.junk_urls(), v.junk_titles())
 
 
