@@ -57,7 +57,7 @@ def simhash_lists(lists: pa.ListArray) -> np.ndarray:
     bounds = bounds - bounds[0]
     bits = np.unpackbits(
         fnv1a(encoded.dictionary).astype(">u8").view(np.uint8).reshape(-1, 8), axis=1
-    ).astype(np.int32)
+    )
     out = np.zeros(len(lists), dtype=np.uint64)
     filled = np.flatnonzero(np.diff(bounds))
     starts, ends = bounds[filled], bounds[filled + 1]
@@ -66,7 +66,7 @@ def simhash_lists(lists: pa.ListArray) -> np.ndarray:
         # As many whole lists as fit the chunk, at least one.
         stop = max(at + 1, int(np.searchsorted(ends, starts[at] + _CHUNK_TOKENS, side="right")))
         chunk = bits[codes[starts[at] : ends[stop - 1]]]
-        ones = np.add.reduceat(chunk, starts[at:stop] - starts[at], axis=0)
+        ones = np.add.reduceat(chunk, starts[at:stop] - starts[at], axis=0, dtype=np.int64)
         majority = 2 * ones > (ends[at:stop] - starts[at:stop])[:, None]
         out[filled[at:stop]] = np.packbits(majority, axis=1).view(">u8").ravel()
         at = stop
@@ -81,9 +81,9 @@ def _simhash(word_lists: pa.Array) -> pa.Array:
 def simhash(ws: Column, min_tokens: int = MIN_TOKENS) -> Column:
     """Fingerprint of a word array, or -1 for ``min_tokens`` words or fewer.
 
-    All words of a document sit in one row, so this needs no shuffle. The FNV
-    fold over bytes has no native expression; written with ``aggregate`` it took
-    about ten times as long as this Arrow batch function.
+    All words of a document sit in one row, so this needs no shuffle. Spark has no
+    FNV function, and the fold over bytes written with ``aggregate`` took about ten
+    times as long as this Arrow batch function.
     """
     safe = F.coalesce(ws, F.array().cast("array<string>"))
     return F.when(F.size(safe) > min_tokens, _simhash(safe)).otherwise(F.lit(SHORT_HASH).cast("bigint"))

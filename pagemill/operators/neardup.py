@@ -26,7 +26,7 @@ from pagemill.functions.hashing import (
     within,
 )
 from pagemill.functions.text import contains_any, site_of, squash
-from pagemill.operators.joins import drop_listed, is_small, keep_listed
+from pagemill.operators.joins import drop_listed, is_small, keep_listed, sized
 from pagemill.schemas import DISTANCE, MEMBERS, SAME, conform
 from pagemill.sources.scratch import materialize
 
@@ -36,6 +36,8 @@ FOLD_ROWS = 64
 BROADCAST_HASHES = 10_000
 # Listed substrings up to this number are tested row by row.
 INLINE_URLS = 1_000
+# Documents of one hash from which on it is looked up in place.
+HOT_ROWS = 1_000_000
 _SALTS = 256
 
 
@@ -50,10 +52,25 @@ def same_hash(hashes: DataFrame) -> DataFrame:
     return conform(groups, SAME)
 
 
-def same_members(hashes: DataFrame) -> DataFrame:
-    """(rep_fid, fid) of every document, by exact hash."""
-    reps = same_hash(hashes).select("hash", F.col("fid").alias("rep_fid"))
-    return conform(hashes.join(reps, "hash"), MEMBERS)
+def _attach_reps(hashes: DataFrame, reps: DataFrame) -> DataFrame:
+    """(rep_fid, fid) of every document, from (hash, rep_fid, samelen) of every hash.
+
+    A hash shared by very many documents would send them all to one task. Such
+    hashes are few, at most one per ``HOT_ROWS`` documents, so they are looked up
+    where the documents are; only the others are shuffled.
+    """
+    hot = F.col("samelen") >= HOT_ROWS
+    lookup = sized(reps.where(hot).select("hash", F.col("rep_fid").alias("hot_fid")))
+    looked_up = hashes.join(lookup, "hash", "left")
+    found = looked_up.where("hot_fid IS NOT NULL").select(F.col("hot_fid").alias("rep_fid"), "fid")
+    others = looked_up.where("hot_fid IS NULL").select("hash", "fid")
+    spread = others.join(reps.where(~hot), "hash").select("rep_fid", "fid")
+    return conform(found.unionByName(spread), MEMBERS)
+
+
+def same_members(hashes: DataFrame, same: DataFrame) -> DataFrame:
+    """(rep_fid, fid) of every document, by exact hash; ``same`` is best stored."""
+    return _attach_reps(hashes, same.withColumnRenamed("fid", "rep_fid"))
 
 
 def block_keys(hashes: DataFrame) -> DataFrame:
@@ -231,8 +248,10 @@ def _final_leaders(rounds: list[DataFrame]) -> DataFrame:
 def cluster_members(hashes: DataFrame, same: DataFrame, rounds: list[DataFrame]) -> DataFrame:
     """(rep_fid, fid) of every document, from the merge rounds in order."""
     moved = _final_leaders([absorbed(r) for r in rounds]).withColumnRenamed("rep_fid", "last")
-    reps = same.join(moved, "fid", "left").select("hash", F.coalesce("last", "fid").alias("rep_fid"))
-    return conform(hashes.join(reps, "hash"), MEMBERS)
+    reps = same.join(moved, "fid", "left").select(
+        "hash", F.coalesce("last", "fid").alias("rep_fid"), "samelen"
+    )
+    return _attach_reps(hashes, materialize(reps))
 
 
 def near_dup_clusters(hashes: DataFrame, k: int = NEAR_BITS) -> tuple[DataFrame, DataFrame]:
@@ -276,7 +295,7 @@ def hash_ball(listed: DataFrame, k: int = NEAR_BITS) -> DataFrame:
     near = listed.toDF("hash").distinct()
     for _ in range(k):
         near = near.select(F.explode(ball(F.col("hash"))).alias("hash"))
-    return near.distinct() if k > 1 else near
+    return near
 
 
 def _match(df: DataFrame, listed: DataFrame, k: int, how: str) -> DataFrame:
@@ -318,7 +337,8 @@ def drop_urls(df: DataFrame, listed: DataFrame, inline_urls: int = INLINE_URLS)
     head = urls.limit(inline_urls + 1).collect()
     if len(head) <= inline_urls:
         return df.where(~contains_any(F.col("furl"), [r.piece for r in head]))
-    return drop_listed(df, _sites_containing(df, urls), "furl").select(*df.columns)
+    sites = materialize(_sites_containing(df, urls))
+    return drop_listed(df, sites, "furl").select(*df.columns)
 
 
 def drop_short(df: DataFrame) -> DataFrame:
@@ -328,7 +348,7 @@ def drop_short(df: DataFrame) -> DataFrame:
 
 def drop_titles(df: DataFrame, listed: DataFrame) -> DataFrame:
     """Rows whose title is not listed."""
-    return drop_listed(df, listed.toDF("ftitle").distinct(), "ftitle").select(*df.columns)
+    return drop_listed(df, listed.toDF("ftitle"), "ftitle").select(*df.columns)
 
 
 def keep_ids(df: DataFrame, listed: DataFrame) -> DataFrame:

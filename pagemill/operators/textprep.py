@@ -63,8 +63,8 @@ def drop_classes(
     A lexicon of few such words is tested inside the row. With more, words and
     lexicon are joined and each document's words gathered again by fid.
     """
-    listed = lexicon.where(has_class(F.col("cls"), classes)).select("word").distinct()
-    head = [r.word for r in listed.limit(inline_words + 1).collect()]
+    listed = lexicon.where(has_class(F.col("cls"), classes)).select("word")
+    head = [r.word for r in listed.distinct().limit(inline_words + 1).collect()]
     if len(head) <= inline_words:
         return df.withColumns({c: drop_listed(F.col(c), head) for c in cols})
     listed = sized(listed)

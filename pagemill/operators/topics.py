@@ -27,9 +27,9 @@ from pagemill.operators.joins import sized
 from pagemill.schemas import EDITOR_TOPICS, FID_CAT, PREDICTION, conform
 from pagemill.sources.scratch import materialize
 
-# Vocabulary rows up to which the weights are broadcast; each holds at most one
-# weight per label of its model.
-BROADCAST_VOCABULARY = 500_000
+# Scores up to which the weights are broadcast; a word has one per label of its
+# model, 8 bytes each.
+BROADCAST_SCORES = 8_000_000
 # Models up to which their label tables are broadcast; there is one per parent topic.
 BROADCAST_MODELS = 10_000
 
@@ -52,10 +52,9 @@ class TopicModels:
 
 
 def topic_models(weights: DataFrame, labels: DataFrame) -> TopicModels:
-    width = labels.select(F.max(F.size("labels"))).first()[0]
-    return TopicModels(
-        sized(weights, BROADCAST_VOCABULARY), sized(labels, BROADCAST_MODELS), width or 0
-    )
+    width = labels.select(F.max(F.size("labels"))).first()[0] or 0
+    most_words = BROADCAST_SCORES // max(width, 1)
+    return TopicModels(sized(weights, most_words), sized(labels, BROADCAST_MODELS), width)
 
 
 def fit_topics(lines: DataFrame) -> TopicModels:

@@ -202,7 +202,12 @@ def same_hash(v: StandIns) -> DataFrame:
 
 @_query
 def same_members(v: StandIns) -> DataFrame:
-    return neardup.same_members(v.hashes())
+    return _same_members(v)
+
+
+def _same_members(v: StandIns) -> DataFrame:
+    hashes = materialize(v.hashes())
+    return neardup.same_members(hashes, materialize(neardup.same_hash(hashes)))
 
 
 @_query
@@ -247,12 +252,12 @@ def near_dup_members(v: StandIns) -> DataFrame:
 
 @_query
 def member_string(v: StandIns) -> DataFrame:
-    return neardup.member_string(neardup.same_members(v.hashes()))
+    return neardup.member_string(_same_members(v))
 
 
 @_query
 def member_string_capped(v: StandIns) -> DataFrame:
-    return neardup.member_string(neardup.same_members(v.hashes()), cap=3)
+    return neardup.member_string(_same_members(v), cap=3)
 
 
 def _junk_hashes(v: StandIns) -> DataFrame:

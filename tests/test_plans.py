@@ -83,8 +83,10 @@ def test_relational_operators_stay_in_the_jvm(views):
         assert not any(node in plan(df) for node in PYTHON)
 
 
-def test_a_third_of_all_rows_under_one_hash(spark):
-    """Results stay whole when one hash and one block key are hot."""
+@pytest.mark.parametrize("hot_rows", [1_000_000, 1_000])
+def test_a_third_of_all_rows_under_one_hash(spark, monkeypatch, hot_rows):
+    """Results stay whole when one hash is hot, looked up in place or shuffled."""
+    monkeypatch.setattr(neardup, "HOT_ROWS", hot_rows)
     hot = signed64(0xFFFF000012345678)
     docs = spark.range(30_000).selectExpr(
         "id AS fid", f"CASE WHEN id % 3 = 0 THEN {hot}L ELSE xxhash64(id) END AS hash"

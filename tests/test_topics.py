@@ -46,9 +46,9 @@ def docs(spark, texts):
 TEXTS = ["goal", "vote vote team", "ball unseen law law law", "hole", "unseen", " ", None, ""]
 
 
-@pytest.mark.parametrize("broadcast", [500_000, 0])
+@pytest.mark.parametrize("broadcast", [8_000_000, 0])
 def test_parent_topics_equal_plain_bayes(spark, models, monkeypatch, broadcast):
-    monkeypatch.setattr(topics, "BROADCAST_VOCABULARY", broadcast)
+    monkeypatch.setattr(topics, "BROADCAST_SCORES", broadcast)
     models = topics.topic_models(models.weights, models.labels)
     got = {r.fid: (r.words, r.cat, r.prob) for r in topics.classify_parent(docs(spark, TEXTS), models).collect()}
     assert len(got) == len(TEXTS)
