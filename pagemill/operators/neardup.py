@@ -317,6 +317,7 @@ def drop_hashes(df: DataFrame, listed: DataFrame, k: int = NEAR_BITS) -> DataFra
 def _sites_containing(df: DataFrame, urls: DataFrame) -> DataFrame:
     """Distinct furl values that contain a listed string, found by equality on
     their substrings of the listed lengths."""
+    # One value per distinct length, so no more than the longest listed string is long.
     lengths = [r[0] for r in urls.select(F.length("piece")).distinct().collect()]
     site = F.col("furl")
 

@@ -14,6 +14,7 @@ from pagemill.constants import (
 )
 from pagemill.functions.text import trim_blanks
 from pagemill.operators.joins import sized
+from pagemill.sources.scratch import materialize
 
 
 @dataclass(frozen=True)
@@ -28,10 +29,13 @@ class Taxonomy:
 
 
 def lower_taxonomy(mapping: DataFrame, labels: DataFrame) -> Taxonomy:
-    """Lower-case the entries, so that mapped values can match the allowed labels."""
+    """Lower-case the entries, so that mapped values can match the allowed labels,
+    and keep one row per source value, so that mapping never multiplies rows."""
+    lower = mapping.select("kind", F.lower("src").alias("src"), F.lower("dst").alias("dst"))
+    unique = lower.groupBy("kind", "src").agg(F.max("dst").alias("dst"))
     return Taxonomy(
-        sized(mapping.select("kind", F.lower("src").alias("src"), F.lower("dst").alias("dst"))),
-        sized(labels.select(F.lower("label").alias("label"))),
+        sized(materialize(unique)),
+        sized(materialize(labels.select(F.lower("label").alias("label")).distinct())),
     )
 
 

@@ -44,8 +44,8 @@ INLINE_WORDS = 5_000
 
 
 def word_classes(df: DataFrame, lexicon: DataFrame, col: str = "words", unknown: str = "n") -> DataFrame:
-    """(fid, pos, word, cls) of every word; ``unknown`` is the class of a word the
-    lexicon (word, cls) lacks."""
+    """(fid, pos, word, cls) of every word. The lexicon has one class per word;
+    ``unknown`` is the class of a word it lacks."""
     tokens = df.select("fid", F.posexplode(col).alias("pos", "word"))
     tagged = tokens.join(sized(lexicon.select("word", "cls")), "word", "left")
     return tagged.select("fid", "pos", "word", F.coalesce("cls", F.lit(unknown)).alias("cls"))

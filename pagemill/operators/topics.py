@@ -165,7 +165,7 @@ def _posterior(known: Column, sums: Column, labels: Column) -> Column:
 
 
 def classify_by(docs: DataFrame, models: TopicModels) -> DataFrame:
-    """Score (fid, words, model) rows, each with the model it names.
+    """Score (fid, words, model) rows, each with the model it names, and add cat, prob.
 
     Documents are shuffled once, by fid. With broadcast weights the token sums and
     the join back to the documents then stay in the same partitions. A null fid
@@ -193,23 +193,27 @@ def classify_by(docs: DataFrame, models: TopicModels) -> DataFrame:
     best = per_doc.join(models.labels.withColumnRenamed("model", "own"), "own").select(
         "fid", F.inline(F.array(_posterior(F.col("known"), sums, F.col("labels"))))
     )
-    scored = _with_fallbacks(placed.join(best, "fid", "left"))
-    return conform(scored, PREDICTION)
+    return _with_fallbacks(placed.join(best, "fid", "left"))
 
 
 def classify_parent(docs: DataFrame, models: TopicModels) -> DataFrame:
     """Parent topic of (fid, words) rows."""
-    return classify_by(docs.withColumn("model", F.lit(ALL_MODEL)), models)
+    return conform(classify_by(docs.withColumn("model", F.lit(ALL_MODEL)), models), PREDICTION)
 
 
-def classify_children(parents: DataFrame, models: TopicModels) -> DataFrame:
-    """Child topics of all documents whose parent topic has a model of its own,
-    in one keyed pass instead of one pass per parent."""
+def children_by_parent(parents: DataFrame, models: TopicModels) -> DataFrame:
+    """Child topics, with column ``model`` naming the parent, of all documents whose
+    parent topic has a model of its own: one keyed pass, not one pass per parent."""
     own = models.labels.select("model").where(F.col("model") != ALL_MODEL)
     docs = parents.select("fid", "words", F.col("cat").alias("model"))
     return classify_by(docs.join(own, "model", "left_semi"), models)
 
 
+def classify_children(parents: DataFrame, models: TopicModels) -> DataFrame:
+    """Child topics of the documents of all parents."""
+    return conform(children_by_parent(parents, models), PREDICTION)
+
+
 def classify_child(parents: DataFrame, models: TopicModels, parent: str) -> DataFrame:
     """Child topics of the documents of one parent."""
     return classify_children(parents.where(F.col("cat") == parent), models)

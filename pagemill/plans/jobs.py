@@ -13,6 +13,8 @@ from pagemill.operators import neardup, textprep, topics, userstats
 from pagemill.operators.taxonomy import Taxonomy
 from pagemill.plans.store import Store
 from pagemill.schemas import (
+    ARTICLES,
+    CLICK_LOG,
     DISCARD,
     DISTANCE,
     DUP,
@@ -23,12 +25,15 @@ from pagemill.schemas import (
     KEY,
     LABEL_COUNTS,
     MEMBERS,
+    PAGES,
     PREDICTION,
+    READER_LOG,
     SAME,
     SEG,
     TRAIN,
     USER_PV,
     USER_TOPICS,
+    conform,
 )
 from pagemill.sources.tables import ensure_parallelism, sample_rows, write_training
 
@@ -72,6 +77,7 @@ def near_duplicates(
     min_tokens: int = MIN_TOKENS,
 ) -> DataFrame:
     """Clusters of near copies among crawled pages, and a report of the large ones."""
+    pages = conform(pages, PAGES)
     source = cutting.source(pages.select("fid", "fcontent"))
     cut = textprep.segment_pages(source, cutting.script, cutting.mode)
     kept = textprep.drop_classes(cut, lexicon)
@@ -100,6 +106,7 @@ def page_topics(
 ) -> DataFrame:
     """Parent and child topics of pages that are not junk, and a report of large
     clusters of near copies with their topics."""
+    pages = conform(pages, PAGES)
     source = cutting.source(pages.select("fid", "fcontent", "furl", "ftitle"))
     key = store.write(
         textprep.prepare_pages(source, cutting.script, cutting.mode, lexicon), "key", day, KEY
@@ -108,9 +115,8 @@ def page_topics(
         neardup.discard(key, junk_hashes, junk_urls, junk_titles), "discard", day, DISCARD
     )
     parents = store.write(topics.classify_parent(kept, models), "pcat", day, PREDICTION)
-    children = topics.classify_children(parents, models)
-    parent_cat = parents.select("fid", F.col("cat").alias("parent"))
-    child_cat = store.write(children.join(parent_cat, "fid"), "ccat", day, PREDICTION, by="parent")
+    children = topics.children_by_parent(parents, models)
+    child_cat = store.write(children, "ccat", day, PREDICTION, by="model")
 
     clusters = _clusters(store, kept.select("fid", "hash"), day, k)
     report = neardup.dup_report(clusters, pages, threshold, child_cat)
@@ -130,6 +136,8 @@ def user_topics(
     rest: str = REST_SUFFIX,
 ) -> DataFrame:
     """Topics read per user, from editor topics and predicted ones."""
+    articles = conform(articles, ARTICLES)
+    log, clicks = conform(log, READER_LOG), conform(clicks, CLICK_LOG)
     reads = store.write(userstats.user_reads(log, event), "user_pv", day, USER_PV)
     editor = store.write(topics.editor_topics(articles, reads), "uc", day, EDITOR_TOPICS)
 
@@ -162,7 +170,8 @@ def training_data(
     cutting: Cutting = Cutting(),
 ) -> DataFrame:
     """Labelled training text per model, and the number of rows per label."""
-    rows = textprep.training_rows(cutting.source(articles), taxonomy, lexicon, cutting.mode)
+    source = cutting.source(conform(articles, ARTICLES))
+    rows = textprep.training_rows(source, taxonomy, lexicon, cutting.mode)
     train = store.write(rows, "train", day, TRAIN)
     labelled = textprep.labelled_rows(train, taxonomy, text)
     write_training(textprep.training_lines(labelled, taxonomy), training_path(store, day))

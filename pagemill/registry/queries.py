@@ -64,7 +64,8 @@ def list_lookup_export(v: StandIns) -> DataFrame:
     listed, out = scratch_path(v.spark, "ids"), scratch_path(v.spark, "export")
     v.junk_ids().select(F.format_string("  %d ", "fid")).write.text(listed)
     rows = v.documents().select("fid", tx.words(F.col("fcontent")).alias("words"))
-    hashed = rows.select("fid", tx.join_words(F.col("words")).alias("words"), neardup.simhash(F.col("words")).alias("hash"))
+    hash_ = neardup.simhash(F.col("words")).alias("hash")
+    hashed = rows.select("fid", tx.join_words(F.col("words")).alias("words"), hash_)
     tables.export_ids(hashed, tables.read_list(v.spark, listed, as_long=True), out)
     return v.spark.read.schema("fid bigint, words string, hash bigint").csv(out)
 

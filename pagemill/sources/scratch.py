@@ -12,12 +12,13 @@ def shared_dir(spark: SparkSession) -> str:
     A local session without the setting gets a temporary folder; on a cluster
     there is no safe default, because executors must all reach the folder.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    sc = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not sc.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="pagemill-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        sc.setCheckpointDir(root)
     return root
 
 

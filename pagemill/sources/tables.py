@@ -6,7 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
+from pagemill.constants import LABEL_PREFIX
 from pagemill.functions.text import trim_blanks
+from pagemill.operators.joins import keep_listed
 
 DAY = "stat_date"
 CATEGORY_PART = "cat_part"
@@ -109,14 +111,12 @@ def split_training(lines: DataFrame) -> DataFrame:
     parts = F.split("line", "\t", 2)
     return lines.select(
         "model",
-        F.regexp_replace(F.get(parts, 0), "^__label__", "").alias("label"),
+        F.regexp_replace(F.get(parts, 0), f"^{LABEL_PREFIX}", "").alias("label"),
         F.get(parts, 1).alias("text"),
     )
 
 
 def export_ids(df: DataFrame, ids: DataFrame, path: str) -> None:
     """Rows (fid, words, hash) whose fid is listed, as CSV."""
-    from pagemill.operators.joins import keep_listed
-
     rows = keep_listed(df.select("fid", "words", "hash"), ids.toDF("fid"), "fid")
     rows.write.mode("overwrite").csv(path)

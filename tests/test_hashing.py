@@ -63,7 +63,8 @@ def test_block_keys(column):
 
 
 def test_within_counts_the_sign_bit(column):
-    assert column(lambda c: hashing.within(c, F.lit(0).cast("bigint"), 1), [0, 1, 3, -(1 << 63), -(1 << 63) + 1, None], "bigint") == [
+    values = [0, 1, 3, -(1 << 63), -(1 << 63) + 1, None]
+    assert column(lambda c: hashing.within(c, F.lit(0).cast("bigint"), 1), values, "bigint") == [
         True, True, False, True, False, None,
     ]
 
