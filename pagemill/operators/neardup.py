@@ -207,17 +207,22 @@ def merge_round(clusters: DataFrame, k: int = NEAR_BITS, block: int = 0) -> Data
     """One merge round over (fid, hash, samelen) rows with unique hashes.
 
     Leaders go by samelen descending, then fid. ``members`` are the rows of the
-    previous round that a leader absorbed, itself included.
+    previous round that a leader absorbed, itself included. Most rows are alone
+    under their key and pass through; all three branches read one shuffle.
     """
-    h = F.col("hash")
     row = F.struct((-F.col("samelen")).alias("rank"), "fid", "hash", "samelen")
-    groups = clusters.groupBy(block_key(h, block).alias("key")).agg(
-        F.array_sort(F.collect_list(row)).alias("rows")
-    )
-    size = F.size("rows")
-    small = groups.where(size <= FOLD_ROWS).select(F.inline(_fold_group(F.col("rows"), k)))
-    large = _merge_large(groups.where(size > FOLD_ROWS).select("rows"), k, block)
-    return conform(small.unionByName(large), DISTANCE)
+    keyed = clusters.select("fid", "hash", "samelen", block_key(F.col("hash"), block).alias("key"))
+    counted = keyed.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("key")))
+
+    def groups(condition: Column) -> DataFrame:
+        rows = F.array_sort(F.collect_list(row)).alias("rows")
+        return counted.where(condition).groupBy("key").agg(rows).select("rows")
+
+    n = F.col("n")
+    alone = counted.where(n == 1).select("fid", "hash", "samelen", F.array("fid").alias("members"))
+    small = groups((n > 1) & (n <= FOLD_ROWS)).select(F.inline(_fold_group(F.col("rows"), k)))
+    large = _merge_large(groups((n > 1) & (n > FOLD_ROWS)), k, block)
+    return conform(alone.unionByName(small).unionByName(large), DISTANCE)
 
 
 def absorbed(merged: DataFrame) -> DataFrame:
