@@ -48,9 +48,17 @@ def topic_events(reads: DataFrame, topics: DataFrame, clicks: DataFrame) -> Data
 def user_topic_counts(
     reads: DataFrame, topics: DataFrame, clicks: DataFrame, rest: str = REST_SUFFIX
 ) -> DataFrame:
-    """Reads and clicks per user, parent topic and child topic."""
-    split = topic_events(reads, topics, clicks).select(
-        "imei", F.inline(F.array(split_topic(F.col("cat"), rest))), "cnt"
+    """Reads and clicks per user, parent topic and child topic. Article topics are
+    split before the join, once per article and not once per read."""
+
+    def split(df: DataFrame, *others: str) -> DataFrame:
+        return df.select(*others, F.inline(F.array(split_topic(F.col("cat"), rest))))
+
+    read = reads.join(split(topics, "fid"), "fid").select(
+        "imei", "pcat", "ccat", F.col("sumcnt").alias("cnt")
+    )
+    clicked = split(clicks_with_topics(clicks), "imei", "cnt")
+    counts = (
+        read.unionByName(clicked).groupBy("imei", "pcat", "ccat").agg(F.sum("cnt").alias("cnt"))
     )
-    counts = split.groupBy("imei", "pcat", "ccat").agg(F.sum("cnt").alias("cnt"))
     return conform(counts, USER_TOPICS)
