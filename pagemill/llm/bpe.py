@@ -12,10 +12,11 @@ import base64
 import heapq
 from collections.abc import Iterator
 from itertools import chain
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import BinaryType
@@ -270,16 +271,14 @@ class Vocabulary:
         return found
 
 
-def read_vocabulary(spark: SparkSession, path: str) -> Vocabulary:
-    """A rank file: lines of a token in base64 and its rank, from 0 without gaps.
-
-    The file, a parameter of about a megabyte, is read whole by the driver.
-    """
-    lines = [r.value.split() for r in spark.read.text(path).collect() if r.value.strip()]
+def read_vocabulary(path: str) -> Vocabulary:
+    """A rank file of the driver: lines of a token in base64 and its rank, from 0
+    without gaps. It has about a megabyte and is shipped to the executors once."""
+    lines = [line.split() for line in Path(path).read_bytes().splitlines() if line.strip()]
     ranked = sorted((int(rank), base64.b64decode(token)) for token, rank in lines)
     if [r for r, _ in ranked] != list(range(len(ranked))):
         raise ValueError("ranks must run from 0 without gaps")
-    return Vocabulary([t for _, t in ranked], chars.classes())
+    return Vocabulary([t for _, t in ranked])
 
 
 def encode_texts(texts: pa.Array, vocabulary: Vocabulary) -> pa.StructArray:

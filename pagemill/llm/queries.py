@@ -17,13 +17,13 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def vocabulary(spark: SparkSession, name: str = TOKENIZER) -> bpe.Vocabulary:
-    return bpe.read_vocabulary(spark, f"file://{public_tokenizers.path(name)}")
+def vocabulary(name: str = TOKENIZER) -> bpe.Vocabulary:
+    return bpe.read_vocabulary(public_tokenizers.path(name))
 
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded bytes of every document."""
-    words = vocabulary(spark)
+    words = vocabulary()
     coded = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), words)
     return bpe.decode(coded.select("doc_id", "ids", "starts"), words).select(
         "doc_id",
