@@ -10,13 +10,13 @@ kept in a cache.
 
 import base64
 import heapq
-from collections.abc import Iterator
+from collections.abc import Sequence
 from itertools import chain
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 from pyspark.sql.types import BinaryType
@@ -39,9 +39,11 @@ _ONE_LETTER = "stmd"
 _TWO_LETTERS = ("re", "ve", "ll")
 
 # Pieces kept with their ids, and the longest piece kept.
-CACHED_PIECES = 300_000
+CACHED_PIECES = 150_000
 CACHED_BYTES = 48
 
+DECODED_ROWS = 256
+
 _NONE = np.int64(1 << 40)
 
 
@@ -243,6 +245,7 @@ class Vocabulary:
         self.ranks = {t: i for i, t in enumerate(tokens)}
         self.byte_ids = np.array([self.ranks[bytes([i])] for i in range(256)], np.int64)
         self.lengths = np.array([len(t) for t in tokens], np.int64)
+        self.arrow = pa.array(tokens, pa.binary())
         self.kept: dict[bytes, list[int]] = {}
 
     @staticmethod
@@ -320,26 +323,40 @@ def decode_ids(lists: pa.Array, tokens: pa.Array) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(lists), [None, pa.py_buffer(offsets), data])
 
 
-_ENCODED = "struct<ids:array<int>,starts:array<int>>"
+_PARTS = {"ids": "array<int>", "starts": "array<int>", "packed": "binary", "decoded": "binary"}
+
 
+def encode(
+    df: DataFrame, vocabulary: Vocabulary, text: str = "text", parts: Sequence[str] = ("ids", "starts")
+) -> DataFrame:
+    """``df`` with the parts asked for of its whole texts; no shuffle.
 
-def encode(df: DataFrame, vocabulary: Vocabulary, text: str = "text") -> DataFrame:
-    """``df`` with ``ids`` and ``starts`` of its whole texts; no shuffle.
+    ``ids`` are the tokens and ``starts`` the bytes at which they start, ``packed`` is
+    the ids as unsigned 32-bit integers with the lowest byte first, and ``decoded``
+    the bytes that the ids, decoded again, stand for. All of them take one Python pass.
 
     A null or empty text has no tokens. Malformed UTF-8 is read as U+FFFD. Every
     length is encoded: a text is one row of a batch, and a piece of any length is
-    merged with a heap. Columns named ids or starts are replaced.
+    merged with a heap. Columns of these names are replaced.
     """
     shipped = df.sparkSession.sparkContext.broadcast(vocabulary.tables)
 
-    @arrow_udf(_ENCODED)
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            done = [encode_texts(part, Vocabulary.shipped(shipped.value)) for part in chars.chunks(batch)]
-            yield pa.concat_arrays(done)
+    @arrow_udf("struct<" + ",".join(f"{p}:{_PARTS[p]}" for p in parts) + ">")
+    def run(texts: pa.Array) -> pa.Array:
+        own = Vocabulary.shipped(shipped.value)
+        done = []
+        for part in chars.chunks(texts):
+            coded = encode_texts(part, own)
+            made = {"ids": coded.field("ids"), "starts": coded.field("starts")}
+            if "packed" in parts:
+                made["packed"] = little_endian(coded.field("ids"))
+            if "decoded" in parts:
+                made["decoded"] = decode_ids(coded.field("ids"), own.arrow).cast(pa.binary())
+            done.append(pa.StructArray.from_arrays([made[p] for p in parts], names=list(parts)))
+        return pa.concat_arrays(done)
 
     coded = df.withColumn("_coded", run(chars.text_or_empty(F.col(text))))
-    return coded.withColumns({"ids": F.col("_coded.ids"), "starts": F.col("_coded.starts")}).drop("_coded")
+    return coded.withColumns({p: F.col(f"_coded.{p}") for p in parts}).drop("_coded")
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFrame:
@@ -347,22 +364,17 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFrame
     shipped = df.sparkSession.sparkContext.broadcast(vocabulary.tables)
 
     @arrow_udf(BinaryType())
-    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            done = [decode_ids(batch.slice(i, 256), pa.array(shipped.value["tokens"], pa.binary())) for i in range(0, len(batch), 256)]
-            yield pa.concat_arrays(done).cast(pa.binary())
+    def run(lists: pa.Array) -> pa.Array:
+        own = Vocabulary.shipped(shipped.value)
+        done = [decode_ids(lists.slice(i, DECODED_ROWS), own.arrow) for i in range(0, len(lists), DECODED_ROWS)]
+        return pa.concat_arrays(done).cast(pa.binary())
 
     return df.withColumn("decoded", run(F.coalesce(F.col(ids), F.array().cast("array<int>"))))
 
 
-@arrow_udf(BinaryType())
 def little_endian(lists: pa.Array) -> pa.Array:
     """Ids as unsigned 32-bit integers, the lowest byte first."""
     rows = lists.offsets.to_numpy().astype(np.int64)
     values = np.ascontiguousarray(lists.flatten().to_numpy(), "<i4")
     offsets = ((rows - rows[0]) * 4).astype(np.int32)
     return pa.Array.from_buffers(pa.binary(), len(lists), [None, pa.py_buffer(offsets), pa.py_buffer(values)])
-
-
-def ids_sha256(ids: Column) -> Column:
-    return F.sha2(little_endian(ids), 256)

@@ -23,14 +23,12 @@ def vocabulary(name: str = TOKENIZER) -> bpe.Vocabulary:
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded bytes of every document."""
-    words = vocabulary()
-    coded = bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), words)
-    return bpe.decode(coded.select("doc_id", "ids", "starts"), words).select(
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode(docs, vocabulary(), parts=("packed", "decoded")).select(
         "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        bpe.ids_sha256(F.col("ids")).alias("ids_sha256"),
+        (F.length("packed") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("packed", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
-        F.element_at("starts", -1).alias("last_token_byte"),
     )
 
 
