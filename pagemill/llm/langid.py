@@ -119,17 +119,27 @@ def fit_weights(rows: list[tuple[np.ndarray, np.ndarray, int]], k: int) -> tuple
 
 
 def fit_temperature(scores: list[np.ndarray], wanted: list[int]) -> float:
-    """The temperature that makes the wanted languages most likely, by golden section."""
+    """The temperature that makes the wanted languages most likely, by golden section.
+
+    One document in n + 2 is taken to be wrong, so that n right answers do not call
+    for a temperature of zero.
+    """
+    if not scores or len(scores[0]) < 2:
+        return 1.0
+    matrix, wrong = np.array(scores), 1 / (len(scores) + 2)
+    targets = np.full(matrix.shape, wrong / (matrix.shape[1] - 1))
+    targets[np.arange(len(wanted)), wanted] = 1 - wrong
 
     def loss(log_t: float) -> float:
-        t = np.exp(log_t)
-        return -sum(float(np.log(max(softmax(s / t)[y], 1e-12))) for s, y in zip(scores, wanted))
+        s = matrix / np.exp(log_t)
+        s = s - s.max(axis=1, keepdims=True)
+        return -float((targets * (s - np.log(np.exp(s).sum(axis=1, keepdims=True)))).sum())
 
     low, high, ratio = np.log(0.05), np.log(20.0), (5**0.5 - 1) / 2
     for _ in range(40):
         a, b = high - ratio * (high - low), low + ratio * (high - low)
         low, high = (low, b) if loss(a) < loss(b) else (a, high)
-    return float(np.exp((low + high) / 2)) if scores else 1.0
+    return float(np.exp((low + high) / 2))
 
 
 def inverse_frequencies(docs: DataFrame, classes) -> np.ndarray:

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pagemill.llm.chars import text_or_empty
 from pagemill.sources.scratch import materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -25,12 +26,13 @@ SHARD_SCALE = 4.0
 
 
 def word_count(text: Column) -> Column:
-    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("bigint")
+    return F.regexp_count(text, F.lit(WORD)).cast("bigint")
 
 
 def sized_documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, source, size) of every document; the size of a null text is 0."""
-    return docs.select("doc_id", "source", word_count(F.col("text")).alias("size"))
+    """(doc_id, source, size, text_hash) of every document; a null text has size 0."""
+    text = text_or_empty(F.col("text"))
+    return docs.select("doc_id", "source", word_count(text).alias("size"), F.xxhash64(text).alias("text_hash"))
 
 
 def ranked(keys: DataFrame, *order: Column) -> DataFrame:
@@ -139,7 +141,7 @@ def mix(
     block_words: int = BLOCK_WORDS,
     seed: int = 1,
 ) -> DataFrame:
-    """(doc_id, source, size, source_size, target, passes, cut_from, cut_to, taken) of
+    """(doc_id, source, text_hash, size, source_size, target, passes, cut_from, cut_to, taken) of
     every row of (doc_id, source, text).
 
     A document is taken whole ``passes`` times, and once more its words from
@@ -161,11 +163,11 @@ def mix(
         sizes.alias("a")
         .join(listed.alias("b"), F.col("a.source").eqNullSafe(F.col("b.source")))
         .select("a.*", "source_size", "target", F.col("quota").alias("_seats"), "n_shards")
-        .withColumn("_hash", _hash(seed, "doc_id", "size"))
+        .withColumn("_hash", _hash(seed, "doc_id", "text_hash"))
         .withColumn("shard", F.pmod("_hash", F.col("n_shards")))
     )
     in_shard = Window.partitionBy("source", "shard")
-    running = in_shard.orderBy(_hash(seed + 1, "doc_id", "size"), "doc_id", "size")
+    running = in_shard.orderBy(_hash(seed + 1, "doc_id", "text_hash"), "doc_id", "text_hash", "size")
     placed = materialize(placed.withColumns({
         "_end": F.sum("size").over(running.rowsBetween(Window.unboundedPreceding, 0)),
         "shard_size": F.sum("size").over(in_shard),
@@ -203,6 +205,7 @@ def mix(
     return joined.select(
         "doc_id",
         "a.source",
+        "text_hash",
         "size",
         "source_size",
         "target",
@@ -211,3 +214,34 @@ def mix(
         F.when(both, around).otherwise(cut_to).cast("bigint").alias("cut_to"),
         (F.col("passes") * size + F.greatest(extra, F.lit(0))).cast("bigint").alias("taken"),
     )
+
+
+def take(docs: DataFrame, **options: int) -> DataFrame:
+    """The rows of ``docs`` as the mix takes them, all columns: a whole text once for
+    each pass, and a row with the words of the cut where there is one. A text keeps the
+    blanks between the words it keeps."""
+    keys = ["doc_id", "source", "text_hash"]
+    cut = F.when(F.col("cut_from") != F.col("cut_to"), F.struct("cut_from", "cut_to"))
+    shares = mix(docs, **options).groupBy(*keys).agg(
+        F.sum("passes").alias("_passes"), F.collect_list(cut).alias("_cuts")
+    )
+    named = shares.select(*(F.col(k).alias(f"_{k}") for k in keys), "_passes", "_cuts")
+    hashed = docs.withColumn("text_hash_", F.xxhash64(text_or_empty(F.col("text"))))
+    one = hashed.dropDuplicates(["doc_id", "source", "text_hash_"])
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("_doc_id"))
+        & F.col("source").eqNullSafe(F.col("_source"))
+        & (F.col("text_hash_") == F.col("_text_hash"))
+    )
+    pieces = F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
+
+    def cut_text(c: Column) -> Column:
+        low, high = c["cut_from"].cast("int"), c["cut_to"].cast("int")
+        inner = F.slice(pieces, low + 1, F.greatest(high - low, F.lit(0)))
+        outer = F.concat(F.slice(pieces, F.lit(1), high), F.slice(pieces, low + 1, F.size(pieces)))
+        return F.array_join(F.when(low < high, inner).otherwise(outer), "")
+
+    whole = F.array_repeat(F.col("text"), F.col("_passes").cast("int"))
+    texts = F.concat(whole, F.transform("_cuts", cut_text))
+    taken = one.join(named, same).withColumn("_texts", texts).withColumn("_text", F.explode("_texts"))
+    return taken.select(*(F.col("_text").alias("text") if c == "text" else F.col(c) for c in docs.columns))

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, jaccard, mixing, vectors
+from pagemill.llm import bpe, fingerprints, jaccard, langid, licenses, lines, mixing, pii, vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +49,44 @@ def op4_lattice_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectors.near_vectors(_table(spark, sf_dir, "embeddings"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    return licenses.digest(licenses.scan(_table(spark, sf_dir, "documents")))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document, learned from those not held out."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    predicted = langid.predict(docs.select("doc_id", "text"), langid.fit(docs))
+    return predicted.select("doc_id", langid.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and dropped lines of every document, and a digest of what is left."""
+    cleaned = lines.drop_spread_lines(_table(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("text_sha256"))
+
+
+def op9_piecewise_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document and its edited text, and how alike they are."""
+    return fingerprints.edit_probe(_table(spark, sf_dir, "documents"))
+
+
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data found in every document."""
+    return pii.digest(pii.find(_table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Query]:
-    listed = (op1_byte_bpe, op2_ngram_jaccard, op3_source_mix, op4_lattice_dedup)
+    listed = (
+        op1_byte_bpe,
+        op2_ngram_jaccard,
+        op3_source_mix,
+        op4_lattice_dedup,
+        op5_license_scan,
+        op7_language_id,
+        op8_line_dedup,
+        op9_piecewise_fingerprints,
+        op10_personal_data,
+    )
     return {q.__name__: q for q in listed}
