@@ -123,8 +123,9 @@ def _passes(kind: Column, span: Column) -> Column:
 
 
 def candidates(docs: DataFrame) -> DataFrame:
-    """(doc_id, _key, kind, base, start, end, span, before) of every proposal; ``base``
-    marks the finds of the rules. Rows equal in id and text give theirs once."""
+    """(doc_id, _key, kind, start, end, base, span, before, touches) of every proposed
+    span; ``base`` marks the finds of the rules and ``touches`` other spans that overlap
+    one. Rows equal in id and text give theirs once."""
     text = text_or_empty(F.col("text"))
     rows = docs.select("doc_id", text.alias("text")).select(
         "doc_id", F.xxhash64("text").alias("_key"), F.inline(_proposals(F.col("text")))
@@ -133,15 +134,22 @@ def candidates(docs: DataFrame) -> DataFrame:
     stop = F.sum(F.col("gap") + F.length("span")).over(own)
     kinds = F.array(*(F.lit(r.kind) for r in RULES))
     is_base = F.array(*(F.lit(r.base) for r in RULES))
-    placed = rows.dropDuplicates(["doc_id", "_key", "rule", "i"]).withColumns({
+    placed = rows.repartition("doc_id", "_key").dropDuplicates(["doc_id", "_key", "rule", "i"]).withColumns({
         "end": stop,
         "start": stop - F.length("span"),
         "kind": F.get(kinds, F.col("rule")),
         "_rule": F.get(is_base, F.col("rule")),
     })
-    return placed.select(
-        "doc_id", "_key", "kind", (F.col("_rule") & _passes(F.col("kind"), F.col("span"))).alias("base"), "start", "end", "span", "before"
+    found = F.max(F.col("_rule") & _passes(F.col("kind"), F.col("span"))).alias("base")
+    spans = placed.groupBy("doc_id", "_key", "kind", "start", "end").agg(
+        found, F.min("span").alias("span"), F.min("before").alias("before")
     )
+    by_place = Window.partitionBy("doc_id", "_key").orderBy("start")
+    reached = F.max(F.when(F.col("base"), F.col("end"))).over(by_place)
+    following = by_place.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    ahead = F.min(F.when(F.col("base"), F.col("start"))).over(following)
+    near = (F.coalesce(reached, F.lit(0)) > F.col("start")) | (F.coalesce(ahead, F.col("end")) < F.col("end"))
+    return spans.withColumn("touches", near & ~F.col("base"))
 
 
 FEATURES = ("length", "digits", "letters", "marks", "groups", "longest", "distinct", "cue", "word_before", "space_before", "kind_no")
@@ -179,13 +187,14 @@ def _unit(*cols: str) -> Column:
 
 
 def selected(spans: DataFrame, rows: int = TRAIN_ROWS, precision: float = PRECISION) -> DataFrame:
-    """The proposals that are no finds of a rule but score as high as finds do.
+    """The proposals that are no finds of a rule, touch none, and score as high as finds do.
 
     Trees learn to tell finds from other proposals on about ``rows`` of them, chosen by
     hash. Half of these set the thresholds: for each kind the lowest score from which on
     the share of finds is at least ``precision``. Without both finds and others
     nothing is selected.
     """
+    spans = spans.where("NOT touches")
     totals = spans.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("base").cast("int")), F.lit(0))).first()
     chosen = spans.withColumn("_at", _unit("doc_id", "_key", "kind", "start", "end"))
     share = min(1.0, rows / max(totals[0], 1))
@@ -227,7 +236,7 @@ def find(docs: DataFrame) -> DataFrame:
     text), ordered by kind and place, in code points, the end exclusive.
 
     Finds of the rules all stay. A further span is added where the trees select it and
-    it overlaps no find and no longer span already added. A null or empty text has no
+    it overlaps no find and no longer span that is added. A null or empty text has no
     spans; rows equal in id and text get the same, null ids too; an empty table gives
     no rows.
     """

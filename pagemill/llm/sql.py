@@ -1,5 +1,105 @@
-"""The queries that SQL can express, as DuckDB SQL over the same tables."""
+"""The queries that SQL can express, as DuckDB SQL over the same tables.
+
+The others rest on a tokenizer, a learned model or a seeded hash that SQL lacks; they
+are tested against brute force.
+"""
+
+from math import ceil
+
+from pagemill.llm import jaccard, licenses, lines, vectors
+
+
+def _components(edges: str) -> str:
+    """CTE ``reach`` of (a, class) from a CTE of directed links (a, b), both ways."""
+    return f"""
+    walk(a, b) AS (SELECT a, b FROM {edges} UNION SELECT w.a, e.b FROM walk w JOIN {edges} e ON e.a = w.b),
+    reach AS (SELECT a, least(a, min(b)) AS class FROM walk GROUP BY a)"""
+
+
+def _near_documents() -> str:
+    n = jaccard.NGRAM
+    return rf"""
+WITH RECURSIVE ws AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}]+') AS w FROM documents),
+    grams AS (SELECT doc_id, list_distinct(list_transform(range(1, greatest(len(w) - {n - 1}, 1) + 1),
+        lambda i: array_to_string(w[i:i + {n - 1}], ' '))) AS g FROM ws WHERE len(w) > 0),
+    flat AS (SELECT doc_id, len(g) AS size, unnest(g) AS gram FROM grams),
+    pairs AS (SELECT x.doc_id AS a, y.doc_id AS b FROM flat x JOIN flat y ON x.gram = y.gram AND x.doc_id <> y.doc_id
+        GROUP BY x.doc_id, y.doc_id, x.size, y.size
+        HAVING count(*) >= {jaccard.SIMILARITY} * (x.size + y.size - count(*))),
+    links AS (SELECT a, count(*) AS n FROM pairs GROUP BY a),
+    {_components("pairs")}
+SELECT doc_id, coalesce(class, doc_id) AS class_id, coalesce(n, 0)::BIGINT AS n_links,
+    coalesce(class, doc_id) = doc_id AS kept
+FROM documents LEFT JOIN links l ON l.a = doc_id LEFT JOIN reach r ON r.a = doc_id"""
+
+
+def _near_vectors() -> str:
+    return f"""
+WITH RECURSIVE fit AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+        WHERE label IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    pairs AS (SELECT x.vec_id AS a, y.vec_id AS b FROM fit x JOIN fit y ON x.label = y.label AND x.vec_id <> y.vec_id
+        WHERE list_cosine_similarity(x.v, y.v) >= {vectors.COSINE}),
+    links AS (SELECT a, count(*) AS n FROM pairs GROUP BY a),
+    {_components("pairs")}
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(class, vec_id) AS component_id,
+    coalesce(class, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN links l ON l.a = vec_id LEFT JOIN reach r ON r.a = vec_id"""
+
+
+def _license_scan() -> str:
+    upper, lower = licenses.ascii_uppercase, licenses.ascii_lowercase
+    notices = ", ".join(
+        f"({words!r}, '{label}', {ceil(licenses.CONTAINED * len(words))})"
+        for words, label in licenses.notice_words(licenses.NOTICES)
+    )
+
+    def words(text: str) -> str:
+        return f"regexp_extract_all(translate({text}, '{upper}', '{lower}'), '{licenses.WORD}')"
+
+    found = []
+    for phrase, label in licenses.PHRASES:
+        same = " AND ".join(f"w[i + {k}] = '{word}'" for k, word in enumerate(phrase.split()))
+        found.append(
+            f"SELECT doc_id, i - 1 AS place, '{label}' AS label FROM "
+            f"(SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM ws) WHERE {same}"
+        )
+    return f"""
+WITH ws AS (SELECT doc_id, {words("coalesce(text, '')")} AS w FROM documents),
+    places AS ({" UNION ALL ".join(found)}),
+    base AS (SELECT doc_id, count(*) AS n, min(place) AS low, max(place) AS high, list(label) AS own FROM places GROUP BY doc_id),
+    notice(nw, label, need) AS (VALUES {notices}),
+    blocks AS (SELECT doc_id, list_distinct({words("line")}) AS b
+        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
+    held AS (SELECT doc_id, label, len(list_intersect(b, nw)) / len(nw) AS share
+        FROM blocks, notice WHERE len(list_intersect(b, nw)) >= need),
+    method AS (SELECT doc_id, list(label) AS more, max(share) AS best FROM held GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, low::BIGINT AS first_word,
+    high::BIGINT AS last_word, array_to_string(list_sort(list_distinct(coalesce(own, []))), ',') AS base_labels,
+    array_to_string(list_sort(list_distinct(list_concat(coalesce(own, []), coalesce(more, [])))), ',') AS labels,
+    (CASE WHEN n > 0 THEN 1.0 ELSE coalesce(best, 0.0) END)::DOUBLE AS score
+FROM ws d LEFT JOIN base USING (doc_id) LEFT JOIN method USING (doc_id)"""
+
+
+def _line_dedup() -> str:
+    plain = r"lower(trim(regexp_replace(line, '[ \t\n\x0B\f\r]+', ' ', 'g'), ' '))"
+    return f"""
+WITH cut AS (SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
+        generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents WHERE text IS NOT NULL),
+    plain AS (SELECT *, {plain} AS p FROM cut),
+    spread AS (SELECT p FROM plain WHERE p <> '' GROUP BY p HAVING count(DISTINCT source) >= {lines.SITES}),
+    marked AS (SELECT doc_id, pos, line, p IN (FROM spread)
+        AND row_number() OVER (PARTITION BY p ORDER BY doc_id, pos) > 1 AS gone FROM plain),
+    per_doc AS (SELECT doc_id, count(*) AS n, count(*) FILTER (gone) AS dropped,
+        coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '') AS kept FROM marked GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_lines, coalesce(dropped, 0)::BIGINT AS n_dropped, sha256(kept) AS text_sha256
+FROM documents LEFT JOIN per_doc USING (doc_id)"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_ngram_jaccard": _near_documents(),
+        "op4_lattice_dedup": _near_vectors(),
+        "op5_license_scan": _license_scan(),
+        "op8_line_dedup": _line_dedup(),
+    }
