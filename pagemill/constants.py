@@ -13,10 +13,10 @@ PROB_NO_PARENT_ANSWER = -3.0
 PROB_NO_CHILD_ANSWER = -4.0
 
 # Hash of a document too short to fingerprint, the word count it
-# must exceed, the longest stored member list, the usual Hamming distance.
+# must exceed, the ids in a part of a member list, the usual Hamming distance.
 SHORT_HASH = -1
 MIN_TOKENS = 5
-MEMBER_CAP = 50_000
+MEMBER_PART = 50_000
 NEAR_BITS = 1
 
 # Initials of the word classes dropped before fingerprinting
@@ -30,6 +30,22 @@ HAN_CLASS = r"一-鿋"
 # Boilerplate phrases cut out of article bodies.
 ARTICLE_BOILERPLATE = ("点击加载图片", "查看原文", "图片来源")
 
+# Patterns of the text clean-up and their replacements, in order. Lines
+# are joined first, since ``.`` does not cross a line end; paragraph ends then become
+# the only line ends.
+HTML_STEPS = (
+    ("\n", " "),
+    ("<script>.*?</script>", ""),
+    ("(</p>|</br>)\n*", "\n"),
+    ("<[^>]+?>", " "),
+)
+RULER = r"([\-#=]{3,})"
+BLANK_STEPS = ((r"\s*\n\s*", "\n"), ("[ \t]+", " "))
+TAG = "<.*?>"
+SQUASHED = "[\n\r\t ,]+"
+CATEGORY_BREAKS = "[ _-]+"
+CATEGORY_BREAK = "[ _-]"
+
 # Category spelling variant, its standard form, and the report
 # suffix for "the rest of this topic".
 CATEGORY_VARIANT = "其它"

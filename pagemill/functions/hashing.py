@@ -16,6 +16,8 @@ FNV_PRIME = 0x100000001B3
 BLOCKS = 4
 BLOCK_BITS = 16
 _CHUNK_TOKENS = 1 << 16
+# Words of more bytes than this are hashed one by one.
+_LONG_WORD = 256
 
 
 def signed64(value: int) -> int:
@@ -41,9 +43,18 @@ def fnv1a(distinct: pa.Array) -> np.ndarray:
     lengths = lengths[longest_first]
     state = np.full(len(raw), FNV_OFFSET, dtype=np.uint64)
     prime = np.uint64(FNV_PRIME)
-    for pos in range(int(lengths[0]) if len(lengths) else 0):
-        live = int(np.searchsorted(-lengths, -pos, side="left"))
-        state[:live] = (state[:live] ^ data[starts[:live] + pos].astype(np.uint64)) * prime
+    n_long = int(np.count_nonzero(lengths > _LONG_WORD))
+    for i in range(n_long):
+        word = data[starts[i] : starts[i] + lengths[i]].tobytes()
+        value = FNV_OFFSET
+        for byte in word:
+            value = ((value ^ byte) * FNV_PRIME) & 0xFFFFFFFFFFFFFFFF
+        state[i] = value
+    # Words still being hashed at each byte position, counted once for all of them.
+    ended = np.cumsum(np.bincount(lengths[n_long:], minlength=_LONG_WORD + 1))
+    for pos in range(int(lengths[n_long]) if n_long < len(lengths) else 0):
+        part = slice(n_long, len(lengths) - int(ended[pos]))
+        state[part] = (state[part] ^ data[starts[part] + pos].astype(np.uint64)) * prime
     hashes = np.empty_like(state)
     hashes[longest_first] = state
     return hashes

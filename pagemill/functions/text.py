@@ -5,7 +5,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pagemill.constants import ARTICLE_BOILERPLATE, HAN_CLASS
+from pagemill.constants import (
+    ARTICLE_BOILERPLATE,
+    BLANK_STEPS,
+    HAN_CLASS,
+    HTML_STEPS,
+    RULER,
+    SQUASHED,
+    TAG,
+)
 
 # A character that trimming keeps, and two of them in a row but for blanks.
 VISIBLE = r"[^\x00-\x20]"
@@ -62,29 +70,20 @@ def keep_han(c: Column) -> Column:
 def strip_tags(c: Column) -> Column:
     """Light clean-up: trim, join lines, tags to spaces."""
     one_line = F.regexp_replace(trim_blanks(blank_if_null(c)), "\n", " ")
-    return F.regexp_replace(one_line, "<.*?>", " ")
+    return F.regexp_replace(one_line, TAG, " ")
 
 
 def strip_html(c: Column, boilerplate: Sequence[str] = ARTICLE_BOILERPLATE) -> Column:
-    """Full clean-up of an article body. Lines are joined first, since ``.``
-    does not cross a line end; paragraph ends then become the only line ends."""
-    noise = "|".join([rf"(\Q{p}\E)" for p in boilerplate] + [r"([\-#=]{3,})"])
-    for pattern, replacement in (
-        ("\n", " "),
-        ("<script>.*?</script>", ""),
-        ("(</p>|</br>)\n*", "\n"),
-        ("<[^>]+?>", " "),
-        (noise, " "),
-        (r"\s*\n\s*", "\n"),
-        ("[ \t]+", " "),
-    ):
+    """Full clean-up of an article body."""
+    noise = "|".join([rf"(\Q{p}\E)" for p in boilerplate] + [RULER])
+    for pattern, replacement in (*HTML_STEPS, (noise, " "), *BLANK_STEPS):
         c = F.regexp_replace(c, pattern, replacement)
     return blank_if_null(c)
 
 
 def squash(c: Column) -> Column:
     """Remove runs of line ends, tabs, spaces and commas."""
-    return F.regexp_replace(blank_if_null(c), "[\n\r\t ,]+", "")
+    return F.regexp_replace(blank_if_null(c), SQUASHED, "")
 
 
 def site_of(c: Column) -> Column:

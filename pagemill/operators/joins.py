@@ -3,24 +3,32 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows up to which a list of keys is broadcast, about 10 MB per million longs.
-BROADCAST_ROWS = 1_000_000
+from pagemill.sources.scratch import materialize
 
+# Estimated bytes up to which a list is broadcast, and what a row takes besides its values.
+BROADCAST_BYTES = 64 << 20
+ROW_BYTES = 32
 
-def is_small(df: DataFrame, max_rows: int) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no more than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
 
+def fits(df: DataFrame, max_bytes: int | None = None) -> bool:
+    """Whether a list is estimated at no more than ``max_bytes``: the length of its
+    values as text and an overhead for each row. Reads no more rows than could fit."""
+    most = BROADCAST_BYTES if max_bytes is None else max_bytes
+    size = F.octet_length(F.to_json(F.struct(*df.columns))) + ROW_BYTES
+    read = df.limit(most // ROW_BYTES + 1).agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    return read <= most
 
-def sized(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a side known to be small; have any other shuffled and merged,
-    where the adaptive planner splits hot keys."""
-    return F.broadcast(df) if is_small(df, max_rows) else df.hint("merge")
 
+def sized(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
+    """A list, stored, and broadcast if it is known to be small; any other is shuffled
+    and merged, where the adaptive planner splits hot keys."""
+    stored = materialize(df)
+    return F.broadcast(stored) if fits(stored, max_bytes) else stored.hint("merge")
 
-def keep_listed(df: DataFrame, keys: DataFrame, on: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    return df.join(sized(keys, max_rows), on, "left_semi")
 
+def keep_listed(df: DataFrame, keys: DataFrame, on: str, max_bytes: int | None = None) -> DataFrame:
+    return df.join(sized(keys, max_bytes), on, "left_semi")
 
-def drop_listed(df: DataFrame, keys: DataFrame, on: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    return df.join(sized(keys, max_rows), on, "left_anti")
+
+def drop_listed(df: DataFrame, keys: DataFrame, on: str, max_bytes: int | None = None) -> DataFrame:
+    return df.join(sized(keys, max_bytes), on, "left_anti")

@@ -2,8 +2,9 @@
 
 Hashes are unique once ``same_hash`` has run. Rows that share a 48-bit block key
 then differ in one 16-bit block only, so a block group never exceeds 65,536 rows
-however large or skewed the input is. Block keys find every pair for k = 1; for a
-larger k they miss pairs whose differing bits fall into several blocks.
+however large or skewed the input is. For k > 1 a merge round does not see pairs whose
+differing bits fall into several blocks; that is how the merge is defined. ``near_pairs``
+lists all pairs.
 """
 
 from collections.abc import Iterator
@@ -15,30 +16,31 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pagemill.constants import MEMBER_CAP, NEAR_BITS, SHORT_HASH
+from pagemill.constants import MEMBER_PART, NEAR_BITS, SHORT_HASH
 from pagemill.functions.hashing import (
     BLOCK_BITS,
     BLOCKS,
     ball,
     block_key,
     block_shift,
+    signed64,
     simhash,
     within,
 )
 from pagemill.functions.text import contains_any, site_of, squash
-from pagemill.operators.joins import drop_listed, is_small, keep_listed, sized
+from pagemill.operators.joins import drop_listed, fits, keep_listed, sized
+from pagemill.operators.ordering import ranked
 from pagemill.schemas import DISTANCE, MEMBERS, SAME, conform
 from pagemill.sources.scratch import materialize
 
 # Block groups up to this size are merged by an expression, larger ones by numpy.
 FOLD_ROWS = 64
-# Listed hashes up to this number are broadcast; each stands for its whole ball.
-BROADCAST_HASHES = 10_000
+# Estimated bytes of the neighbours of listed hashes up to which they are broadcast.
+BROADCAST_BYTES = 64 << 20
 # Listed substrings up to this number are tested row by row.
 INLINE_URLS = 1_000
 # Documents of one hash from which on it is looked up in place.
 HOT_ROWS = 1_000_000
-_SALTS = 256
 
 
 def hash_documents(df: DataFrame, words: str = "words", min_tokens: int = 5) -> DataFrame:
@@ -47,8 +49,9 @@ def hash_documents(df: DataFrame, words: str = "words", min_tokens: int = 5) ->
 
 
 def same_hash(hashes: DataFrame) -> DataFrame:
-    """One row per hash: smallest fid and number of documents."""
-    groups = hashes.groupBy("hash").agg(F.min("fid").alias("fid"), F.count("fid").alias("samelen"))
+    """One row per hash: smallest fid and number of documents. Documents too short to
+    fingerprint are no copies of one another and have no row."""
+    groups = drop_short(hashes).groupBy("hash").agg(F.min("fid").alias("fid"), F.count("fid").alias("samelen"))
     return conform(groups, SAME)
 
 
@@ -69,8 +72,15 @@ def _attach_reps(hashes: DataFrame, reps: DataFrame) -> DataFrame:
 
 
 def same_members(hashes: DataFrame, same: DataFrame) -> DataFrame:
-    """(rep_fid, fid) of every document, by exact hash; ``same`` is best stored."""
-    return _attach_reps(hashes, same.withColumnRenamed("fid", "rep_fid"))
+    """(rep_fid, fid) of every document, by exact hash; ``same`` is best stored. A
+    document too short to fingerprint stands for itself."""
+    reps = same.withColumnRenamed("fid", "rep_fid")
+    return _attach_reps(drop_short(hashes), reps).unionByName(_alone(hashes))
+
+
+def _alone(hashes: DataFrame) -> DataFrame:
+    short = hashes.where(F.col("hash").eqNullSafe(F.lit(SHORT_HASH)))
+    return conform(short.select(F.col("fid").alias("rep_fid"), "fid"), MEMBERS)
 
 
 def block_keys(hashes: DataFrame) -> DataFrame:
@@ -88,33 +98,38 @@ def _flip_masks(k: int) -> list[int]:
     return sorted(sum(1 << i for i in bits) for n in sizes for bits in combinations(range(BLOCK_BITS), n))
 
 
+def _kept_blocks(k: int) -> list[int]:
+    """Masks that keep three of k + 3 blocks of the hash. Bits that differ in k places
+    leave three blocks at least untouched, so every near pair agrees under some mask."""
+    edges = [64 * i // (k + 3) for i in range(k + 4)]
+    blocks = [(1 << high) - (1 << low) for low, high in zip(edges, edges[1:])]
+    return [signed64(sum(kept)) for kept in combinations(blocks, 3)]
+
+
 def near_pairs(same: DataFrame, k: int = NEAR_BITS) -> DataFrame:
-    """Pairs of distinct hashes within ``k`` bits that differ in one block only.
+    """All pairs of distinct hashes within ``k`` bits, k being 1, 2 or 3.
 
-    Rows alone under a block key drop out. The others look their neighbours up by
-    value: each probe is one equality on a unique hash, so no group is paired with
-    itself. A pair is probed only from the side whose highest differing bit is 1.
+    Every hash is filed under the keys that three of its k + 3 blocks make, 32 bits of it
+    or more, and meets the hashes of equal key. A pair counts under the first key that it
+    shares, so it comes out once.
     """
-    alone = Window.partitionBy("block", "key")
-    grouped = (
-        block_keys(same.select("fid", "hash"))
-        .withColumn("n", F.count(F.lit(1)).over(alone))
-        .where("n > 1")
-    )
-    mask, width = F.col("mask"), F.length(F.bin("mask"))
-    shift = F.lit(64 - BLOCK_BITS) - F.col("block") * BLOCK_BITS
-    probes = (
-        grouped.withColumn("mask", F.explode(F.lit(_flip_masks(k)).cast("array<bigint>")))
-        .withColumn("mask", F.call_function("shiftleft", mask, shift))
-        .where(F.call_function("shiftrightunsigned", F.col("hash"), width - 1).bitwiseAND(F.lit(1)) == 1)
-        .select("fid", "hash", F.col("hash").bitwiseXOR(mask).alias("probe"))
-    )
-    other = same.select(F.col("fid").alias("other_fid"), F.col("hash").alias("probe"))
+    if k not in (1, 2, 3):
+        raise ValueError("pairs are listed within 1, 2 or 3 bits")
+    masks = _kept_blocks(k)
+
+    def keyed(fid: str, hash_: str) -> DataFrame:
+        keys = F.array(*(F.col("hash").bitwiseAND(F.lit(m).cast("bigint")) for m in masks))
+        return same.select(
+            F.col("fid").alias(fid), F.col("hash").alias(hash_), F.posexplode(keys).alias("number", "key")
+        )
+
     a, b = F.col("fid"), F.col("other_fid")
-    return probes.hint("merge").join(other, "probe").select(
-        F.least(a, b).alias("fid_a"),
-        F.greatest(a, b).alias("fid_b"),
-        F.bit_count(F.col("hash").bitwiseXOR(F.col("probe"))).cast("int").alias("distance"),
+    differ = F.col("hash").bitwiseXOR(F.col("other_hash"))
+    agree = F.array(*(differ.bitwiseAND(F.lit(m).cast("bigint")) == 0 for m in masks))
+    met = keyed("fid", "hash").hint("merge").join(keyed("other_fid", "other_hash"), ["number", "key"])
+    first = F.array_position(agree, F.lit(True)) - 1 == F.col("number")
+    return met.where((a < b) & (F.bit_count(differ) <= k) & first).select(
+        a.alias("fid_a"), b.alias("fid_b"), F.bit_count(differ).cast("int").alias("distance")
     )
 
 
@@ -251,12 +266,13 @@ def _final_leaders(rounds: list[DataFrame]) -> DataFrame:
 
 
 def cluster_members(hashes: DataFrame, same: DataFrame, rounds: list[DataFrame]) -> DataFrame:
-    """(rep_fid, fid) of every document, from the merge rounds in order."""
+    """(rep_fid, fid) of every document, from the merge rounds in order; documents too
+    short to fingerprint stand for themselves."""
     moved = _final_leaders([absorbed(r) for r in rounds]).withColumnRenamed("rep_fid", "last")
     reps = same.join(moved, "fid", "left").select(
         "hash", F.coalesce("last", "fid").alias("rep_fid"), "samelen"
     )
-    return _attach_reps(hashes, materialize(reps))
+    return _attach_reps(drop_short(hashes), materialize(reps)).unionByName(_alone(hashes))
 
 
 def near_dup_clusters(hashes: DataFrame, k: int = NEAR_BITS) -> tuple[DataFrame, DataFrame]:
@@ -274,27 +290,24 @@ def near_dup_clusters(hashes: DataFrame, k: int = NEAR_BITS) -> tuple[DataFrame,
     return level, cluster_members(hashes, same, rounds)
 
 
-def member_string(members: DataFrame, cap: int = MEMBER_CAP, sep: str = ",") -> DataFrame:
-    """The ``cap`` smallest fids of each cluster as one string, and the cluster size.
+def member_string(members: DataFrame, part_ids: int = MEMBER_PART, sep: str = ",") -> DataFrame:
+    """(rep_fid, part, samefid): the fids of each cluster in order, in strings of at most
+    ``part_ids`` ids, the parts numbered from 0. All ids are kept.
 
-    A cluster is first cut per salt and only then per representative, so the
-    largest one is spread over tasks and the last cut sees a bounded number.
+    Ids are numbered by one sort over ranges, so that a large cluster is spread over
+    tasks and no group holds more than one part.
     """
-    salted = members.withColumn("salt", F.pmod(F.xxhash64("fid"), F.lit(_SALTS)))
-    by_salt = Window.partitionBy("rep_fid", "salt").orderBy("fid")
-    by_rep = Window.partitionBy("rep_fid").orderBy("fid")
-    first = (
-        salted.withColumn("n", F.row_number().over(by_salt))
-        .where(F.col("n") <= cap)
-        .withColumn("n", F.row_number().over(by_rep))
-        .where(F.col("n") <= cap)
-    )
+    placed = ranked(members.select("rep_fid", "fid"), F.col("rep_fid"), F.col("fid"))
+    first = placed.groupBy("rep_fid").agg(F.min("rank").alias("first"))
+    part = F.floor((F.col("rank") - F.col("first")) / part_ids).alias("part")
     fids = F.transform(F.array_sort(F.collect_list("fid")), lambda f: f.cast("string"))
-    return first.groupBy("rep_fid").agg(F.array_join(fids, sep).alias("samefid"))
+    parts = placed.join(first, "rep_fid").select("rep_fid", "fid", part).groupBy("rep_fid", "part")
+    return parts.agg(F.array_join(fids, sep).alias("samefid"))
 
 
 def hash_ball(listed: DataFrame, k: int = NEAR_BITS) -> DataFrame:
     """Every hash within ``k`` bits of a listed one, so that distance becomes equality."""
+    # The ball of 3 bits would have 43,745 hashes for each listed one.
     if k not in range(3):
         raise ValueError("listed hashes are matched within 0, 1 or 2 bits")
     near = listed.toDF("hash").distinct()
@@ -305,8 +318,8 @@ def hash_ball(listed: DataFrame, k: int = NEAR_BITS) -> DataFrame:
 
 def _match(df: DataFrame, listed: DataFrame, k: int, how: str) -> DataFrame:
     near = hash_ball(listed, k)
-    fits = is_small(listed, BROADCAST_HASHES // 65 ** max(k - 1, 0))
-    return df.join(F.broadcast(near) if fits else near.hint("merge"), "hash", how).select(*df.columns)
+    side = F.broadcast(near) if fits(near, BROADCAST_BYTES) else near.hint("merge")
+    return df.join(side, "hash", how).select(*df.columns)
 
 
 def match_hashes(df: DataFrame, listed: DataFrame, k: int = NEAR_BITS) -> DataFrame:
@@ -379,10 +392,13 @@ def dup_report(
     """Clusters of at least ``threshold`` documents with the page fields of their
     representative; with topics, also the topic, and the text fields condensed."""
     large = clusters.where(F.col("samelen") >= threshold).select("fid", "hash", "samelen")
-    report = large.join(pages.select("fid", "furl", "ftitle", "fkeywords", "fcontent"), "fid")
+    if topics is not None:
+        large = large.join(topics.select("fid", "cat", "prob"), "fid")
+    # The narrow list first; the pages' texts are shuffled only if it is too long to ship.
+    report = pages.select("fid", "furl", "ftitle", "fkeywords", "fcontent").join(sized(large), "fid")
     if topics is None:
-        return report
-    return report.join(topics.select("fid", "cat", "prob"), "fid").select(
+        return report.select("fid", "hash", "samelen", "furl", "ftitle", "fkeywords", "fcontent")
+    return report.select(
         "fid",
         "hash",
         "samelen",

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pagemill.constants import (
+    CATEGORY_BREAK,
+    CATEGORY_BREAKS,
     ALL_MODEL,
     CATEGORY_STANDARD,
     CATEGORY_VARIANT,
@@ -54,7 +56,7 @@ def _standard(c: Column) -> Column:
 
 def normalize_cat(c: Column) -> Column:
     """Trim, lower, one spelling variant, separator runs to one comma."""
-    return F.regexp_replace(_standard(trim_blanks(c)), "[ _-]+", ",")
+    return F.regexp_replace(_standard(trim_blanks(c)), CATEGORY_BREAKS, ",")
 
 
 def map_category(df: DataFrame, taxonomy: Taxonomy, col: str = "cat") -> DataFrame:
@@ -107,7 +109,7 @@ def parent_of(c: Column) -> Column:
 
 def split_topic(c: Column, rest: str = REST_SUFFIX) -> Column:
     """(pcat, ccat) of a topic; without a child it is the parent plus ``rest``."""
-    topic = F.regexp_replace(_standard(c), "[ _-]", ",")
+    topic = F.regexp_replace(_standard(c), CATEGORY_BREAK, ",")
     parts = F.split(topic, ",")
     parent, child = F.get(parts, F.lit(0)), F.get(parts, F.lit(1))
     of_rest = child.isNull() | (child == "other")

@@ -2,8 +2,13 @@
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import ArrayType, StringType
 
 from pagemill.constants import (
     ALL_MODEL,
@@ -17,7 +22,6 @@ from pagemill.functions.hashing import simhash
 from pagemill.functions.text import (
     blank_if_null,
     decode_b64,
-    drop_listed,
     has_class,
     join_words,
     keep_script,
@@ -29,7 +33,7 @@ from pagemill.functions.text import (
     strip_tags,
     words,
 )
-from pagemill.operators.joins import sized
+from pagemill.operators.joins import fits, sized
 from pagemill.operators.taxonomy import (
     Taxonomy,
     allowed_label,
@@ -38,9 +42,7 @@ from pagemill.operators.taxonomy import (
     parents_with_children,
 )
 from pagemill.schemas import KEY, SEG, TRAIN, conform
-
-# Dropped words up to this number become part of the expression.
-INLINE_WORDS = 5_000
+from pagemill.sources.scratch import materialize
 
 
 def word_classes(df: DataFrame, lexicon: DataFrame, col: str = "words", unknown: str = "n") -> DataFrame:
@@ -56,36 +58,45 @@ def drop_classes(
     lexicon: DataFrame,
     classes: str = NON_TOPIC_CLASSES,
     cols: Sequence[str] = ("words",),
-    inline_words: int = INLINE_WORDS,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Drop the words of array columns ``cols`` whose lexicon class is listed.
 
-    A lexicon of few such words is tested inside the row. With more, words and
-    lexicon are joined and each document's words gathered again by fid.
+    Each row is filtered by itself, whatever its id. The listed words are looked up in
+    a set that every worker holds; a list of more than ``max_bytes`` is joined with the
+    words instead, under row numbers made for the purpose, and drops the same words.
     """
-    listed = lexicon.where(has_class(F.col("cls"), classes)).select("word")
-    head = [r.word for r in listed.distinct().limit(inline_words + 1).collect()]
-    if len(head) <= inline_words:
-        return df.withColumns({c: drop_listed(F.col(c), head) for c in cols})
-    listed = sized(listed)
-    for c in cols:
-        df = _drop_joined(df, listed, c)
-    return df
-
+    listed = materialize(lexicon.where(has_class(F.col("cls"), classes)).select("word").distinct())
+    if not fits(listed, max_bytes):
+        return _drop_joined(df, listed, cols)
+    shipped = df.sparkSession.sparkContext.broadcast(listed.toArrow()["word"].combine_chunks())
+
+    @arrow_udf(ArrayType(StringType()))
+    def kept(lists: pa.Array) -> pa.Array:
+        flat = lists.flatten()
+        keep = pc.invert(pc.is_in(flat, value_set=shipped.value))
+        before = np.append(0, np.cumsum(keep.to_numpy(zero_copy_only=False)))
+        ends = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        return pa.ListArray.from_arrays(pa.array(before[ends], pa.int32()), flat.filter(keep))
 
-def _drop_joined(df: DataFrame, listed: DataFrame, col: str) -> DataFrame:
-    kept = (
-        df.select("fid", F.posexplode(col).alias("pos", "word"))
-        .join(listed, "word", "left_anti")
-        .groupBy("fid")
-        .agg(F.array_sort(F.collect_list(F.struct("pos", "word")))["word"].alias("_kept"))
-    )
     empty = F.array().cast("array<string>")
-    return (
-        df.join(kept, "fid", "left")
-        .withColumn(col, F.when(F.col(col).isNotNull(), F.coalesce("_kept", empty)))
-        .drop("_kept")
-    )
+    return df.withColumns({c: F.when(F.col(c).isNotNull(), kept(F.coalesce(c, empty))) for c in cols})
+
+
+def _drop_joined(df: DataFrame, listed: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """As ``drop_classes``; the rows are numbered in storage, so a retry numbers alike."""
+    numbered = materialize(df.withColumn("_row", F.monotonically_increasing_id()))
+    out, empty = numbered, F.array().cast("array<string>")
+    for c in cols:
+        kept = (
+            numbered.select("_row", F.posexplode(c).alias("pos", "word"))
+            .join(listed.hint("merge"), "word", "left_anti")
+            .groupBy("_row")
+            .agg(F.array_sort(F.collect_list(F.struct("pos", "word")))["word"].alias("_kept"))
+        )
+        value = F.when(F.col(c).isNotNull(), F.coalesce("_kept", empty))
+        out = out.join(kept, "_row", "left").withColumn(c, value).drop("_kept")
+    return out.select(*df.columns)
 
 
 def segment_pages(pages: DataFrame, script: str, mode: str = "letters") -> DataFrame:

@@ -1,17 +1,21 @@
 """Two-level topic classification and the choice between competing topics.
 
-The built-in classifier is multinomial naive Bayes, fitted and applied with joins
-and sums. A model is a table of word weights, so it is never shipped by hand; an
-external classifier can be plugged in with ``score_with`` instead.
+The built-in classifier is multinomial naive Bayes, fitted with joins and sums. A model
+is a table of word weights; small ones are shipped to the tasks, which score every
+document where it is. External classifiers take their place as ``ExternalModels``.
 """
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from math import exp
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from pagemill.constants import (
     ALL_MODEL,
@@ -23,17 +27,10 @@ from pagemill.constants import (
     UNKNOWN,
 )
 from pagemill.functions.text import VISIBLE, nonblank_sql
-from pagemill.operators.joins import sized
+from pagemill.operators.joins import fits, keep_listed, sized
 from pagemill.schemas import EDITOR_TOPICS, FID_CAT, PREDICTION, conform
 from pagemill.sources.scratch import materialize
 
-# Scores up to which the weights are broadcast; a word has one per label of its
-# model, 8 bytes each.
-BROADCAST_SCORES = 8_000_000
-# Models up to which their label tables are broadcast; there is one per parent topic.
-BROADCAST_MODELS = 10_000
-
-
 @dataclass(frozen=True)
 class TopicModels:
     """Naive Bayes models by name.
@@ -42,19 +39,25 @@ class TopicModels:
     under each label of the model.
     ``labels``: model, labels array<struct<label, prior, denominator>>, the labels
     in the order of the scores.
-    Both carry the join hint that fits their size. ``width`` is the largest number
-    of labels of a model.
+    ``width`` is the largest number of labels of a model; ``small`` tells that both
+    tables stay within the bytes a list may have to be broadcast.
     """
 
     weights: DataFrame
     labels: DataFrame
     width: int
+    small: bool
+
+    def score(self, docs: DataFrame) -> DataFrame:
+        return _score_in_row(docs, self) if self.small else _score_joined(docs, self)
 
+    def named(self) -> DataFrame:
+        return self.labels.select("model")
 
-def topic_models(weights: DataFrame, labels: DataFrame) -> TopicModels:
+
+def topic_models(weights: DataFrame, labels: DataFrame, max_bytes: int | None = None) -> TopicModels:
     width = labels.select(F.max(F.size("labels"))).first()[0] or 0
-    most_words = BROADCAST_SCORES // max(width, 1)
-    return TopicModels(sized(weights, most_words), sized(labels, BROADCAST_MODELS), width)
+    return TopicModels(weights, labels, width, fits(labels, max_bytes) and fits(weights, max_bytes))
 
 
 def fit_topics(lines: DataFrame) -> TopicModels:
@@ -86,7 +89,7 @@ def fit_topics(lines: DataFrame) -> TopicModels:
         counts.where(is_word)
         .groupBy("model", "word")
         .agg(by_label.alias("by_label"))
-        .join(sized(label_totals, BROADCAST_MODELS), "model")
+        .join(sized(label_totals), "model")
         .select("model", "word", F.transform("labels", score).alias("scores"))
     )
     vocabulary = weights.groupBy("model").agg(F.count(F.lit(1)).alias("vocabulary"))
@@ -164,26 +167,83 @@ def _posterior(known: Column, sums: Column, labels: Column) -> Column:
     )
 
 
-def classify_by(docs: DataFrame, models: TopicModels) -> DataFrame:
-    """Score (fid, words, model) rows, each with the model it names, and add cat, prob.
-
-    Documents are shuffled once, by fid. With broadcast weights the token sums and
-    the join back to the documents then stay in the same partitions. A null fid
-    becomes 0, so that no null check sets the two uses of the shuffle apart.
-    """
-    fid = F.coalesce("fid", F.lit(0).cast("bigint")).alias("fid")
-    placed = docs.select(fid, "words", "model").repartition("fid")
-    tokens = placed.select("fid", "model", F.explode(F.split("words", " ")).alias("word"))
-    # Grouping by the weights' own model name keeps the next join an equality even
-    # when all documents name one model.
+@dataclass(frozen=True)
+class _Shipped:
+    """One small model as arrays: words, a row of scores for each, and its labels."""
+
+    words: pa.Array
+    scores: np.ndarray
+    labels: list[str]
+    priors: np.ndarray
+    denominators: np.ndarray
+
+
+def _model_arrays(models: TopicModels) -> dict[str, tuple]:
+    """The fields of ``_Shipped`` by model name; called for small models only."""
+    weights = models.weights.toArrow()
+    names = weights["model"].combine_chunks()
+    arrays = {}
+    for row in models.labels.collect():
+        own = weights.filter(pc.equal(names, row.model))
+        flat = own["scores"].combine_chunks().flatten().to_numpy()
+        labels = [x.label for x in row.labels]
+        values = (np.array([x[c] for x in row.labels]) for c in ("prior", "denominator"))
+        arrays[row.model] = (own["word"].combine_chunks(), flat.reshape(-1, len(labels)), labels, *values)
+    return arrays
+
+
+def score_texts(texts: pa.Array, model: _Shipped) -> tuple[list[str | None], list[float | None]]:
+    """Best label and its probability of each text, None where no word is known."""
+    lists = pc.split_pattern(texts, " ")
+    tokens = lists.flatten().dictionary_encode()
+    known = pc.index_in(tokens.dictionary, value_set=model.words).fill_null(-1).to_numpy()
+    ids = known[tokens.indices.to_numpy()] if len(tokens) else np.zeros(0, np.int64)
+    owner = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))[ids >= 0]
+    ids = ids[ids >= 0]
+    counts = np.bincount(owner, minlength=len(texts))
+    sums = np.stack(
+        [np.bincount(owner, model.scores[ids, k], minlength=len(texts)) for k in range(len(model.labels))], axis=1
+    )
+    scores = model.priors - counts[:, None] * model.denominators + sums
+    best = scores.argmax(axis=1)
+    mass = np.exp(scores - scores.max(axis=1, keepdims=True)).sum(axis=1)
+    cats = [model.labels[b] if n else None for b, n in zip(best, counts)]
+    return cats, [1 / m if n else None for m, n in zip(mass, counts)]
+
+
+def _score_in_row(docs: DataFrame, models: TopicModels) -> DataFrame:
+    """Every row scored where it is: ids are not looked at and nothing is shuffled."""
+    shipped = docs.sparkSession.sparkContext.broadcast(_model_arrays(models))
+
+    @arrow_udf("struct<cat:string,prob:double>")
+    def run(words: pa.Array, names: pa.Array) -> pa.Array:
+        cats = np.full(len(words), None, object)
+        probs = np.full(len(words), None, object)
+        for name in names.unique().to_pylist():
+            if name not in shipped.value:
+                continue
+            rows = np.flatnonzero(pc.equal(names, name).to_numpy(zero_copy_only=False))
+            cats[rows], probs[rows] = score_texts(words.take(pa.array(rows)), _Shipped(*shipped.value[name]))
+        return pa.StructArray.from_arrays([pa.array(cats, pa.string()), pa.array(probs, pa.float64())], ["cat", "prob"])
+
+    return docs.withColumn("_said", run(F.coalesce("words", F.lit("")), F.col("model"))).select(
+        "*", F.col("_said.cat").alias("cat"), F.col("_said.prob").alias("prob")
+    ).drop("_said")
+
+
+def _score_joined(docs: DataFrame, models: TopicModels) -> DataFrame:
+    """As ``_score_in_row``, for models too large to ship. Rows are numbered in storage
+    and only their words are shuffled, with that number."""
+    placed = materialize(docs.withColumn("_row", F.monotonically_increasing_id()))
+    tokens = placed.select("_row", "model", F.explode(F.split("words", " ")).alias("word"))
     weights = models.weights.select(
         F.col("model").alias("own"), F.col("word").alias("known_word"), "scores"
     )
     same = (F.col("model") == F.col("own")) & (F.col("word") == F.col("known_word"))
     per_doc = (
         tokens.where("word != ''")
-        .join(weights, same)
-        .groupBy("fid", "own")
+        .join(weights.hint("merge"), same)
+        .groupBy("_row", "own")
         .agg(
             F.count(F.lit(1)).alias("known"),
             *(F.sum(F.get("scores", F.lit(i))).alias(f"s{i}") for i in range(models.width)),
@@ -191,30 +251,36 @@ def classify_by(docs: DataFrame, models: TopicModels) -> DataFrame:
     )
     sums = F.array(*(F.col(f"s{i}") for i in range(models.width))).cast("array<double>")
     best = per_doc.join(models.labels.withColumnRenamed("model", "own"), "own").select(
-        "fid", F.inline(F.array(_posterior(F.col("known"), sums, F.col("labels"))))
+        "_row", F.inline(F.array(_posterior(F.col("known"), sums, F.col("labels"))))
     )
-    return _with_fallbacks(placed.join(best, "fid", "left"))
+    return placed.join(best, "_row", "left").drop("_row")
+
+
+def classify_by(docs: DataFrame, models: "Classifier") -> DataFrame:
+    """Score (fid, words, model) rows, each with the model it names, and add cat, prob.
+    Null and repeated ids are rows like any other."""
+    return _with_fallbacks(models.score(docs.select("fid", "words", "model")))
 
 
-def classify_parent(docs: DataFrame, models: TopicModels) -> DataFrame:
+def classify_parent(docs: DataFrame, models: "Classifier") -> DataFrame:
     """Parent topic of (fid, words) rows."""
     return conform(classify_by(docs.withColumn("model", F.lit(ALL_MODEL)), models), PREDICTION)
 
 
-def children_by_parent(parents: DataFrame, models: TopicModels) -> DataFrame:
+def children_by_parent(parents: DataFrame, models: "Classifier") -> DataFrame:
     """Child topics, with column ``model`` naming the parent, of all documents whose
     parent topic has a model of its own: one keyed pass, not one pass per parent."""
-    own = models.labels.select("model").where(F.col("model") != ALL_MODEL)
+    own = models.named().where(F.col("model") != ALL_MODEL)
     docs = parents.select("fid", "words", F.col("cat").alias("model"))
-    return classify_by(docs.join(own, "model", "left_semi"), models)
+    return classify_by(keep_listed(docs, own, "model"), models)
 
 
-def classify_children(parents: DataFrame, models: TopicModels) -> DataFrame:
+def classify_children(parents: DataFrame, models: "Classifier") -> DataFrame:
     """Child topics of the documents of all parents."""
     return conform(children_by_parent(parents, models), PREDICTION)
 
 
-def classify_child(parents: DataFrame, models: TopicModels, parent: str) -> DataFrame:
+def classify_child(parents: DataFrame, models: "Classifier", parent: str) -> DataFrame:
     """Child topics of the documents of one parent."""
     return classify_children(parents.where(F.col("cat") == parent), models)
 
@@ -223,35 +289,59 @@ def label_only(predictions: DataFrame) -> DataFrame:
     return predictions.select("fid", "cat")
 
 
-Scorer = Callable[[str], tuple[str, float] | None]
+# Texts to a (label, log probability) each, or None for no answer.
+Scorer = Callable[[pd.Series], Sequence[tuple[str, float] | None]]
 
 
-def score_with(docs: DataFrame, make_scorer: Callable[[], Scorer], model: str = ALL_MODEL) -> DataFrame:
-    """Score (fid, words) with an external classifier.
+@dataclass(frozen=True)
+class ExternalModels:
+    """External classifiers by name, to be used wherever ``TopicModels`` are.
 
-    ``make_scorer`` runs once per task, where it can open files sent with
-    ``SparkContext.addFile``. The scorer returns (label, log probability), or None
-    for no answer; a text it fails on is marked as unknown.
+    ``make_scorer`` gets a name and returns a scorer; it runs once per task and name,
+    where it can open files sent with ``SparkContext.addFile``. A batch that a scorer
+    fails on is given to it text by text, and the texts it fails on are marked unknown.
     """
 
-    def one(scorer: Scorer, text: str | None) -> tuple[str | None, float | None]:
-        if text is None:
-            return None, None
-        try:
-            answer = scorer(text)
-        except Exception:
-            return UNKNOWN, PROB_BLANK_OR_ERROR
-        return (answer[0], exp(answer[1])) if answer is not None else (None, None)
-
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        scorer = make_scorer()
-        for batch in batches:
-            answers = [one(scorer, w) for w in batch["words"]]
-            yield batch.assign(cat=[a[0] for a in answers], prob=[a[1] for a in answers])
-
-    named = docs.select("fid", "words", F.lit(model).alias("model"))
-    scored = named.mapInPandas(score, "fid bigint, words string, model string, cat string, prob double")
-    return conform(_with_fallbacks(scored), PREDICTION)
+    make_scorer: Callable[[str], Scorer]
+    names: DataFrame
+
+    def named(self) -> DataFrame:
+        return self.names.toDF("model")
+
+    def score(self, docs: DataFrame) -> DataFrame:
+        make_scorer = self.make_scorer
+
+        def answers(scorer: Scorer, texts: pd.Series) -> list[tuple[str, float] | None]:
+            try:
+                return [a and (a[0], exp(a[1])) for a in scorer(texts)]
+            except Exception:
+                if len(texts) == 1:
+                    return [(UNKNOWN, PROB_BLANK_OR_ERROR)]
+                return [answers(scorer, texts.iloc[i : i + 1])[0] for i in range(len(texts))]
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            scorers: dict[str, Scorer] = {}
+            for batch in batches:
+                batch = batch.assign(cat=None, prob=None)
+                for name, rows in batch[batch["words"].notna()].groupby("model"):
+                    if name not in scorers:
+                        scorers[name] = make_scorer(name)
+                    found = answers(scorers[name], rows["words"])
+                    batch.loc[rows.index, "cat"] = [a[0] if a else None for a in found]
+                    batch.loc[rows.index, "prob"] = [a[1] if a else None for a in found]
+                yield batch.astype({"prob": "float64"})
+
+        return docs.mapInPandas(run, "fid bigint, words string, model string, cat string, prob double")
+
+
+Classifier = TopicModels | ExternalModels
+
+
+def score_with(docs: DataFrame, make_scorer: Callable[[str], Scorer], model: str = ALL_MODEL) -> DataFrame:
+    """Score (fid, words) with an external classifier."""
+    spark = docs.sparkSession
+    external = ExternalModels(make_scorer, spark.createDataFrame([(model,)], "model string"))
+    return conform(classify_by(docs.withColumn("model", F.lit(model)), external), PREDICTION)
 
 
 def union_predictions(*predictions: DataFrame) -> DataFrame:

@@ -9,12 +9,13 @@ from pagemill.schemas import USER_PV, USER_TOPICS, conform
 
 
 def user_reads(log: DataFrame, event: str = VIEW_EVENT) -> DataFrame:
-    """Reads per user and article. Ids are compared as numbers; one that is not a
-    number becomes a null fid and finds no partner later."""
+    """Reads per user and article. Ids are compared as numbers, decimals cut to
+    their whole part; one that is not a number becomes a null fid and finds no partner
+    later."""
     wanted = log.where(
         (F.col("event_name") == event) & F.col("imei").isNotNull() & (F.col("article_id") != "")
     )
-    fid = F.col("article_id").try_cast("bigint").alias("fid")
+    fid = F.col("article_id").try_cast("decimal(38,18)").try_cast("bigint").alias("fid")
     return conform(wanted.groupBy("imei", fid).agg(F.sum("read_cnt").alias("sumcnt")), USER_PV)
 
 

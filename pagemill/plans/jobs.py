@@ -35,7 +35,7 @@ from pagemill.schemas import (
     USER_TOPICS,
     conform,
 )
-from pagemill.sources.tables import ensure_parallelism, sample_rows, write_training
+from pagemill.sources.tables import ensure_parallelism, write_training
 
 # Partitions wanted before words are cut.
 MIN_PARTITIONS = 200
@@ -43,15 +43,14 @@ MIN_PARTITIONS = 200
 
 @dataclass(frozen=True)
 class Cutting:
-    """How text becomes words: kept characters, cutting mode, parallelism, debug cap."""
+    """How text becomes words: kept characters, cutting mode, parallelism."""
 
     script: str = HAN_CLASS
     mode: str = "han"
     partitions: int = MIN_PARTITIONS
-    debug_rows: int | None = None
 
     def source(self, df: DataFrame) -> DataFrame:
-        return ensure_parallelism(sample_rows(df, self.debug_rows), self.partitions, "fid")
+        return ensure_parallelism(df, self.partitions, "fid")
 
 
 def _clusters(store: Store, hashes: DataFrame, day: int, k: int) -> DataFrame:
@@ -97,7 +96,7 @@ def page_topics(
     lexicon: DataFrame | None,
     junk_hashes: DataFrame,
     junk_urls: DataFrame,
-    models: topics.TopicModels,
+    models: topics.Classifier,
     day: int,
     k: int = NEAR_BITS,
     threshold: int = 2,
@@ -128,7 +127,7 @@ def user_topics(
     articles: DataFrame,
     log: DataFrame,
     clicks: DataFrame,
-    models: topics.TopicModels,
+    models: topics.Classifier,
     day: int,
     event: str = VIEW_EVENT,
     editor_only: bool = False,
@@ -144,7 +143,7 @@ def user_topics(
     predictions = None
     if not editor_only:
         prepared = textprep.prepare_articles(articles, reads, cutting.mode)
-        prepared = sample_rows(prepared, cutting.debug_rows).persist()
+        prepared = prepared.persist()
         title = store.write(textprep.title_words(prepared), "title_seg", day, SEG)
         content = store.write(textprep.content_words(prepared), "content_seg", day, SEG)
         prepared.unpersist()

@@ -50,7 +50,7 @@ ARTICLES = f"""{DOCS},
         CASE WHEN toxic = 1 THEN 1 ELSE 2 END::BIGINT AS fresource_type
         FROM docs d LEFT JOIN labels l ON l.doc_id = d.fid)"""
 LOG = """
-    log AS (SELECT user_id::VARCHAR AS imei, json_extract_string(props, '$.k') AS article_id,
+    log AS (SELECT user_id::VARCHAR AS imei, (event_id // 10)::VARCHAR AS article_id,
         event_type AS event_name, strftime(ts, '%Y%m%d')::INT AS stat_date FROM events)"""
 READS = f"""{LOG},
     rd AS (SELECT imei, try_cast(article_id AS BIGINT) AS fid, count(*)::BIGINT AS sumcnt FROM log
@@ -67,7 +67,10 @@ MAP = f"""
     lab(label) AS (VALUES {_values([(x,) for x in LABELS])})"""
 _NORM = r"regexp_replace(replace(lower(trim({c})), '其它', '其他'), '[ _-]+', ',', 'g')"
 
-SAME = "same AS (SELECT hash, min(fid) AS fid, count(*)::BIGINT AS samelen FROM dh GROUP BY hash)"
+SAME = "same AS (SELECT hash, min(fid) AS fid, count(*)::BIGINT AS samelen FROM dh WHERE hash <> -1 GROUP BY hash)"
+# Documents without a fingerprint stand for themselves.
+SHORT = "UNION ALL SELECT fid AS rep_fid, fid FROM dh WHERE hash = -1"
+MEMBERS = f"mem AS (SELECT s.fid AS rep_fid, d.fid FROM dh d JOIN same s USING (hash) {SHORT})"
 JUNK = "junk AS (SELECT DISTINCT hash FROM dh WHERE fid IN (SELECT doc_id FROM labels WHERE toxic = 1))"
 TITLES = "shared AS (SELECT ftitle FROM pg GROUP BY ftitle HAVING count(*) > 2)"
 _SITE = "array_to_string(string_split(regexp_replace({c}, '/+$', ''), '/')[1:3], '/')"
@@ -84,10 +87,9 @@ def _keys(source: str, cols: str) -> str:
 
 
 def _pairs(k: int) -> str:
-    return f"""WITH {DOC_HASHES}, {SAME}, ks AS ({_keys('same', 'fid, hash')})
+    return f"""WITH {DOC_HASHES}, {SAME}
         SELECT a.fid AS fid_a, b.fid AS fid_b, bit_count(xor(a.hash, b.hash))::INT AS distance
-        FROM ks a JOIN ks b ON a.block = b.block AND a.key = b.key AND a.fid < b.fid
-        WHERE bit_count(xor(a.hash, b.hash)) <= {k}"""
+        FROM same a JOIN same b ON a.fid < b.fid AND bit_count(xor(a.hash, b.hash)) <= {k}"""
 
 
 def _round(name: str, source: str, k: int, block: int) -> str:
@@ -208,6 +210,17 @@ def _child_input(name: str, source: str) -> str:
     )
 
 
+def _external(name: str, source: str) -> str:
+    """CTEs down to ``name``: the answers of the registered external classifier."""
+    first, n = "split_part(words, ' ', 1)", "len(string_split(words, ' '))"
+    blank, fails, silent = "length(trim(coalesce(words, ''))) = 0", f"starts_with({first}, 'th')", f"{n} % 5 = 0"
+    return f"""{name} AS (SELECT fid, words, CASE WHEN {blank} OR {fails} THEN 'unknow'
+            WHEN {silent} THEN CASE WHEN model = 'all' THEN 'unknow' ELSE model || '_other' END
+            ELSE left(model, 1) || left({first}, 2) END AS cat,
+        round(CASE WHEN {blank} OR {fails} THEN -1.0 WHEN {silent} THEN CASE WHEN model = 'all' THEN -3.0 ELSE -4.0 END
+            ELSE exp(-({n} % 7)) END, 6)::DOUBLE AS prob FROM {source})"""
+
+
 DOC_INPUT = f"""{FIT}, din AS (SELECT fid, array_to_string({_words('fcontent')}, ' ') AS words, 'all' AS model FROM docs)"""
 PARENTS = f"{DOC_INPUT}, {_score('pc', 'din')}"
 CHILDREN = f"{PARENTS}, {_child_input('cin', 'pc')}, {_score('cc', 'cin')}"
@@ -255,6 +268,9 @@ _COUNTS = "SELECT imei, {} AS pcat, {} AS ccat, sum(cnt)::BIGINT AS cnt FROM ev
     *_topic_split("cat")
 )
 _PAGE_WORDS = rf"pw AS (SELECT *, {_words('fcontent')} AS ws FROM pg WHERE length(trim(fcontent)) > 1)"
+_JOB_HASHES = f"""{DOC_WORDS}, {STOP},
+    sw AS (SELECT fid, list_filter(dw.ws, lambda w: NOT list_contains(stop.ws, w)) AS ws FROM dw, stop),
+    jw AS (SELECT fid, ws FROM sw WHERE length(array_to_string(ws, ',')) > 1), {_hashes('dh', 'jw')}"""
 _DOC_KEY = f"""{DOC_HASHES}, {SAME}, {JUNK}"""
 
 
@@ -268,8 +284,8 @@ def oracle_sql() -> dict[str, str]:
     site = _SITE.format(c="furl")
     sql = {
         "read_day_pruned": f"WITH {LOG} SELECT imei, article_id, event_name FROM log WHERE stat_date = 20240115",
-        "written_day_readback": f"WITH {DOCS} SELECT fid, ftitle, lang FROM docs",
-        "category_partition_readback": f"WITH {DOCS} SELECT fid, ftitle FROM docs WHERE lang = 'de'",
+        "written_day_readback": f"WITH {DOCS} SELECT fid, ftitle, fcontent, lang FROM docs",
+        "category_partition_readback": f"WITH {DOCS} SELECT fid, ftitle, fcontent FROM docs WHERE lang = 'de'",
         "dimension_read": "SELECT doc_id, lang, n_chars FROM documents",
         "list_lookup_export": f"""WITH {DOC_HASHES} SELECT fid, array_to_string(ws, ' ') AS words, hash
             FROM dw JOIN dh USING (fid) WHERE fid IN (SELECT doc_id FROM labels WHERE toxic = 1)""",
@@ -301,7 +317,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT fid, dh.hash AS body_hash, th.hash AS title_hash FROM dh JOIN th USING (fid)
             WHERE bit_count(xor(dh.hash, th.hash)) <= 20""",
         "same_hash": f"WITH {DOC_HASHES}, {SAME} SELECT hash, fid, samelen FROM same",
-        "same_members": f"WITH {DOC_HASHES}, {SAME} SELECT s.fid AS rep_fid, d.fid FROM dh d JOIN same s USING (hash)",
+        "same_members": f"WITH {DOC_HASHES}, {SAME}, {MEMBERS} SELECT rep_fid, fid FROM mem",
         "block_keys": f"WITH {DOC_HASHES} {_keys('dh', 'fid, hash')}",
         "near_pairs": _pairs(1),
         "near_pairs_3_bits": _pairs(3),
@@ -311,11 +327,12 @@ def oracle_sql() -> dict[str, str]:
         "near_dup_clusters_3_bits": f"WITH {DOC_HASHES}, {SAME}, {_rounds(3)} SELECT fid, hash, samelen FROM r3",
         "near_dup_members": f"""WITH {DOC_HASHES}, {SAME}, {_rounds(1)}, {_edges()}
             SELECT m3.rep AS rep_fid, d.fid FROM dh d JOIN same s USING (hash)
-            JOIN m0 ON m0.fid = s.fid JOIN m1 ON m1.fid = m0.rep JOIN m2 ON m2.fid = m1.rep JOIN m3 ON m3.fid = m2.rep""",
-        "member_string": f"""WITH {DOC_HASHES}, {SAME} SELECT s.fid AS rep_fid, string_agg(d.fid, ',' ORDER BY d.fid) AS samefid
-            FROM dh d JOIN same s USING (hash) GROUP BY s.fid""",
-        "member_string_capped": f"""WITH {DOC_HASHES}, {SAME} SELECT s.fid AS rep_fid,
-            array_to_string(list(d.fid ORDER BY d.fid)[1:3], ',') AS samefid FROM dh d JOIN same s USING (hash) GROUP BY s.fid""",
+            JOIN m0 ON m0.fid = s.fid JOIN m1 ON m1.fid = m0.rep JOIN m2 ON m2.fid = m1.rep JOIN m3 ON m3.fid = m2.rep {SHORT}""",
+        "member_string": f"""WITH {DOC_HASHES}, {SAME}, {MEMBERS} SELECT rep_fid, 0::BIGINT AS part,
+            string_agg(fid, ',' ORDER BY fid) AS samefid FROM mem GROUP BY rep_fid""",
+        "member_string_parts": f"""WITH {DOC_HASHES}, {SAME}, {MEMBERS},
+            num AS (SELECT *, (row_number() OVER (PARTITION BY rep_fid ORDER BY fid) - 1) // 3 AS part FROM mem)
+            SELECT rep_fid, part, string_agg(fid, ',' ORDER BY fid) AS samefid FROM num GROUP BY rep_fid, part""",
         "hash_matches": f"WITH {_DOC_KEY} SELECT fid, hash FROM dh WHERE {_near('dh.hash', 'junk', 1)}",
         "hash_matches_2_bits": f"WITH {_DOC_KEY} SELECT fid, hash FROM dh WHERE {_near('dh.hash', 'junk', 2)}",
         "hash_drop": f"WITH {_DOC_KEY} SELECT fid, hash FROM dh WHERE NOT {_near('dh.hash', 'junk', 1)}",
@@ -359,6 +376,20 @@ def oracle_sql() -> dict[str, str]:
                 WHERE lang IN (SELECT model FROM lst WHERE model <> 'all')),
             {_score('xp', 'fp')}, {_score('xc', 'fc')}
             SELECT fid, cat, prob FROM xp UNION ALL SELECT fid, cat, prob FROM xc""",
+        "external_topics": f"""WITH {DOC_WORDS},
+            ein AS (SELECT fid, array_to_string(ws, ' ') AS words, 'all' AS model FROM dw), {_external('ep', 'ein')},
+            ecin AS (SELECT fid, words, cat AS model FROM ep WHERE cat IN ('ain', 'aof')), {_external('ec', 'ecin')}
+            SELECT fid, cat, prob FROM ep UNION ALL SELECT fid, cat, prob FROM ec""",
+        "job_near_duplicates": f"""WITH {_JOB_HASHES}, {SAME}, {_rounds(1)}
+            SELECT fid, hash, samelen, furl, ftitle, fkeywords, fcontent FROM r3 JOIN docs USING (fid) WHERE samelen >= 2""",
+        "job_near_duplicate_members": f"""WITH {_JOB_HASHES}, {SAME}, {_rounds(1)}, {_edges()}
+            SELECT m3.rep AS rep_fid, d.fid FROM dh d JOIN same s USING (hash)
+            JOIN m0 ON m0.fid = s.fid JOIN m1 ON m1.fid = m0.rep JOIN m2 ON m2.fid = m1.rep JOIN m3 ON m3.fid = m2.rep {SHORT}""",
+        "job_page_topics": f"""WITH {FIT}, dw AS (SELECT fid, {_words('fcontent')} AS ws FROM docs), {_hashes('dh', 'dw')}, {JUNK},
+            jin AS (SELECT fid, array_to_string(ws, ' ') AS words, 'all' AS model FROM docs JOIN dw USING (fid) JOIN dh USING (fid)
+            WHERE length(trim(fcontent)) > 1 AND hash <> -1 AND NOT contains({site}, 'src1.')
+            AND NOT contains({site}, '//src17') AND NOT {_near('dh.hash', 'junk', 1)}), {_score('jp', 'jin')}
+            SELECT fid, words, cat, prob FROM jp""",
         "predicted_labels": f"WITH {PARENTS} SELECT fid, cat FROM pc",
         "stacked_predictions": f"WITH {PREDICTIONS} SELECT fid, cat, prob FROM preds",
         "picked_topic": f"WITH {PREDICTIONS} SELECT fid, cat FROM picked",
@@ -374,5 +405,10 @@ def oracle_sql() -> dict[str, str]:
             top AS (SELECT fid, fcategory AS cat FROM ed UNION ALL SELECT fid, cat FROM picked), {_EVENTS} {_COUNTS}""",
     }
     sql["class_filter_joined"] = sql["class_filter"]
+    any_id = "SELECT nullif(fid % 7, 0) AS fid, {cols} FROM ({query}), (VALUES (1), (2)) twice(n)"
+    sql["class_filter_any_id"] = any_id.format(cols="words", query=sql["class_filter"])
+    sql["parent_topics_any_id"] = any_id.format(cols="words, cat, prob", query=sql["parent_topics"])
+    sql["job_training_data"] = sql["label_counts"]
+    sql["job_user_topics"] = sql["user_topic_counts"]
     sql["url_drop_joined"] = sql["url_drop"]
     return sql

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pagemill.functions import text as tx
 from pagemill.functions.hashing import within
 from pagemill.operators import neardup, taxonomy, textprep, topics, userstats
+from pagemill.plans import jobs
+from pagemill.plans.store import Store
 from pagemill.registry.standins import DAY, REST, StandIns
 from pagemill.sources import tables
 from pagemill.sources.scratch import materialize, scratch_path
@@ -41,17 +43,17 @@ def read_day_pruned(v: StandIns) -> DataFrame:
 @_query
 def written_day_readback(v: StandIns) -> DataFrame:
     path = scratch_path(v.spark, "documents")
-    docs = v.documents().select("fid", "ftitle", "lang")
+    docs = v.documents().select("fid", "ftitle", "fcontent", "lang")
     tables.write_day(docs, path, DAY)
-    tables.write_day(docs.select("fid", F.lit("").alias("ftitle"), "lang"), path, DAY + 1)
+    tables.write_day(docs.withColumn("ftitle", F.lit("")), path, DAY + 1)
     return tables.read_day(v.spark, path, DAY)
 
 
 @_query
 def category_partition_readback(v: StandIns) -> DataFrame:
     path = scratch_path(v.spark, "by_category")
-    tables.write_day(v.documents().select("fid", "ftitle", "lang"), path, DAY, by="lang")
-    return tables.read_day(v.spark, path, DAY, ["fid", "ftitle"], F.col("cat_part") == "de")
+    tables.write_day(v.documents().select("fid", "ftitle", "fcontent", "lang"), path, DAY, by="lang")
+    return tables.read_day(v.spark, path, DAY, ["fid", "ftitle", "fcontent"], F.col("cat_part") == "de")
 
 
 @_query
@@ -72,8 +74,7 @@ def list_lookup_export(v: StandIns) -> DataFrame:
 
 @_query
 def parallel_scan(v: StandIns) -> DataFrame:
-    docs = tables.sample_rows(v.documents().select("fid", "furl"), None)
-    return tables.ensure_parallelism(docs, 16, "fid")
+    return tables.ensure_parallelism(v.documents().select("fid", "furl"), 16, "fid")
 
 
 @_query
@@ -137,10 +138,22 @@ def class_filter(v: StandIns) -> DataFrame:
 
 @_query
 def class_filter_joined(v: StandIns) -> DataFrame:
-    kept = textprep.drop_classes(v.word_lists(), v.lexicon(), inline_words=0)
+    kept = textprep.drop_classes(v.word_lists(), v.lexicon(), max_bytes=0)
     return kept.select("fid", tx.join_words(F.col("words")).alias("words"))
 
 
+def _any_id(df: DataFrame) -> DataFrame:
+    """The rows under few ids, one of them null."""
+    return df.withColumn("fid", F.nullif(F.col("fid") % 7, F.lit(0)))
+
+
+@_query
+def class_filter_any_id(v: StandIns) -> DataFrame:
+    """Null and repeated ids, by both ways of dropping words."""
+    both = [textprep.drop_classes(_any_id(v.word_lists()), v.lexicon(), max_bytes=b) for b in (None, 0)]
+    return both[0].unionByName(both[1]).select("fid", tx.join_words(F.col("words")).alias("words"))
+
+
 @_query
 def min_word_len(v: StandIns) -> DataFrame:
     return v.word_lists().select("fid", tx.join_words(tx.min_word_len(F.col("words"), 2)).alias("words"))
@@ -257,8 +270,8 @@ def member_string(v: StandIns) -> DataFrame:
 
 
 @_query
-def member_string_capped(v: StandIns) -> DataFrame:
-    return neardup.member_string(_same_members(v), cap=3)
+def member_string_parts(v: StandIns) -> DataFrame:
+    return neardup.member_string(_same_members(v), part_ids=3)
 
 
 def _junk_hashes(v: StandIns) -> DataFrame:
@@ -417,6 +430,39 @@ def parent_topics(v: StandIns) -> DataFrame:
     return _rounded(topics.classify_parent(_documents(v), _models(v)))
 
 
+@_query
+def parent_topics_any_id(v: StandIns) -> DataFrame:
+    """Null and repeated ids, by both ways of scoring."""
+    small = _models(v)
+    large = topics.topic_models(small.weights, small.labels, max_bytes=0)
+    docs = _any_id(_documents(v))
+    both = [topics.classify_parent(docs, models) for models in (small, large)]
+    return _rounded(both[0].unionByName(both[1]))
+
+
+def _letters(model: str) -> topics.Scorer:
+    """A classifier by first letters that leaves some texts unanswered and fails on others."""
+
+    def score(texts):
+        answers = []
+        for text in texts:
+            words = text.split(" ")
+            if words[0].startswith("th"):
+                raise ValueError(text)
+            answers.append(None if len(words) % 5 == 0 else (f"__label__{model[:1]}{words[0][:2]}", -float(len(words) % 7)))
+        return answers
+
+    return score
+
+
+@_query
+def external_topics(v: StandIns) -> DataFrame:
+    """Parent and child topics by an external classifier, with its missing answers and errors."""
+    external = topics.ExternalModels(_letters, v.inline(model=["all", "ain", "aof"]))
+    parents = materialize(topics.classify_parent(_documents(v), external))
+    return _rounded(topics.union_predictions(parents, topics.classify_children(parents, external)))
+
+
 @_query
 def child_topics(v: StandIns) -> DataFrame:
     models = _models(v)
@@ -449,7 +495,7 @@ def predicted_labels(v: StandIns) -> DataFrame:
 def _predictions(v: StandIns) -> DataFrame:
     """Title and content, parent and child predictions for uncategorised articles."""
     models = _models(v)
-    prepared = textprep.prepare_articles(v.articles(), _reads(v)).persist()
+    prepared = materialize(textprep.prepare_articles(v.articles(), _reads(v)))
     stacked = []
     for part in (textprep.title_words(prepared), textprep.content_words(prepared)):
         parents = materialize(_rounded(topics.classify_parent(part, models)))
@@ -486,7 +532,7 @@ def article_topics_editor_only(v: StandIns) -> DataFrame:
 
 
 def _reads(v: StandIns) -> DataFrame:
-    return userstats.user_reads(v.reader_log(), "view")
+    return materialize(userstats.user_reads(v.reader_log(), "view"))
 
 
 @_query
@@ -517,3 +563,50 @@ def user_topic_counts(v: StandIns) -> DataFrame:
 @_query
 def user_topic_counts_all(v: StandIns) -> DataFrame:
     return userstats.user_topic_counts(_reads(v), article_topics(v), v.click_log(), REST)
+
+
+# The daily jobs, read back from what they store
+
+
+def _store(v: StandIns) -> Store:
+    return Store(v.spark, scratch_path(v.spark, "store"))
+
+
+CUTTING = jobs.Cutting(script=r"\p{L}", mode="letters", partitions=16)
+
+
+@_query
+def job_near_duplicates(v: StandIns) -> DataFrame:
+    return jobs.near_duplicates(_store(v), v.documents(), v.lexicon(), DAY, threshold=2, cutting=CUTTING)
+
+
+@_query
+def job_near_duplicate_members(v: StandIns) -> DataFrame:
+    store = _store(v)
+    jobs.near_duplicates(store, v.documents(), v.lexicon(), DAY, threshold=2, cutting=CUTTING)
+    return store.read("members", DAY)
+
+
+@_query
+def job_training_data(v: StandIns) -> DataFrame:
+    store = _store(v)
+    return jobs.training_data(store, v.articles(), v.taxonomy(), v.lexicon(), DAY, "content", CUTTING)
+
+
+@_query
+def job_user_topics(v: StandIns) -> DataFrame:
+    log, clicks = v.reader_log(), v.click_log()
+    return jobs.user_topics(
+        _store(v), v.articles(), log, clicks, _models(v), DAY, "view", editor_only=True, cutting=CUTTING, rest=REST
+    )
+
+
+@_query
+def job_page_topics(v: StandIns) -> DataFrame:
+    """Parent topics of the pages that are not junk, as the job stores them."""
+    store = _store(v)
+    urls = v.inline(value=["src1.", "//src17"])
+    jobs.page_topics(
+        store, v.documents(), v.lexicon(), _junk_hashes(v), urls, _models(v), DAY, cutting=CUTTING
+    )
+    return _rounded(store.read("pcat", DAY))

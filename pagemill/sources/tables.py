@@ -62,11 +62,14 @@ def write_day(
 
 
 def clean_list(lines: DataFrame, as_long: bool = False) -> DataFrame:
-    """One-column lines to trimmed, non-empty values in column ``value``."""
+    """One-column lines to trimmed, non-empty values in column ``value``. A list of
+    numbers that holds anything else fails when it is read: it is not used in part."""
     value = trim_blanks(F.col(lines.columns[0]))
     kept = lines.select(value.alias("value")).where(F.length("value") > 0)
     if as_long:
-        kept = kept.select(F.col("value").try_cast("bigint").alias("value")).where("value is not null")
+        number = F.col("value").try_cast("bigint")
+        wrong = F.raise_error(F.concat(F.lit("not a number in a list of ids: "), "value"))
+        kept = kept.select(F.when(number.isNotNull(), number).otherwise(wrong.cast("bigint")).alias("value"))
     return kept
 
 
@@ -85,11 +88,6 @@ def ensure_parallelism(df: DataFrame, n: int, key: str | None = None) -> DataFra
     return df.repartition(n, key) if key else df.repartition(n)
 
 
-def sample_rows(df: DataFrame, n: int | None) -> DataFrame:
-    """The debug row cap; no cap for ``None``."""
-    return df if n is None else df.limit(n)
-
-
 def write_training(lines: DataFrame, path: str) -> None:
     """Labelled text, one folder per model; a model too big for one task is split."""
     (

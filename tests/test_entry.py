@@ -4,9 +4,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from pagemill.registry import oracle
+from pagemill.registry import queries as registry
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = registry.queries(), oracle.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -17,6 +19,10 @@ def duck():
     return con
 
 
+def test_entry_lists_the_registry():
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
 

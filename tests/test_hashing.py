@@ -72,3 +72,17 @@ def test_within_counts_the_sign_bit(column):
 def test_ball(column):
     (ball,) = column(hashing.ball, [5], "bigint")
     assert len(set(ball)) == 65 and all(((b ^ 5) & MASK).bit_count() <= 1 for b in ball)
+
+
+def test_one_huge_word_does_not_slow_the_others():
+    import time
+
+    words = pa.array([f"word{i}" for i in range(200_000)] + ["x" * 1_000_000, "", "y" * 300])
+    begin = time.perf_counter()
+    got = hashing.fnv1a(words)
+    assert time.perf_counter() - begin < 5
+    for i in (0, 199_999, 200_000, 200_001, 200_002):
+        value = hashing.FNV_OFFSET
+        for byte in words[i].as_py().encode():
+            value = ((value ^ byte) * hashing.FNV_PRIME) % (1 << 64)
+        assert int(got[i]) == value

@@ -73,11 +73,3 @@ def test_user_topics(views, store, models):
     jobs.user_topics(store, views.articles(), log, clicks, models, DAY + 1, "view", editor_only=True, rest=REST)
     assert 0 < store.read("fid_cat", DAY + 1).count() < before
     assert store.read("fid_cat", DAY).count() == before
-
-
-def test_debug_cap(views, store):
-    capped = jobs.Cutting(r"\p{L}", "letters", 4, debug_rows=20)
-    jobs.near_duplicates(
-        Store(store.spark, store.root, "v2"), views.documents(), views.lexicon(), DAY, cutting=capped
-    )
-    assert Store(store.spark, store.root, "v2").read("seg", DAY).count() == 20

@@ -109,22 +109,22 @@ def test_clusters_chain_the_rounds(spark, k):
 
 
 @pytest.mark.parametrize("k", [1, 2, 3])
-def test_near_pairs_equal_all_pairs_of_each_block_key(spark, k):
+def test_near_pairs_equal_all_pairs(spark, k):
     rows = clustered_hashes(11, 300)
     df = spark.createDataFrame(rows, "fid bigint, hash bigint, samelen bigint")
     wanted = sorted(
         (a[0], b[0], bits(a[1], b[1]))
         for i, a in enumerate(rows)
         for b in rows[i + 1 :]
-        if bits(a[1], b[1]) <= k and any(key_of(a[1], x) == key_of(b[1], x) for x in range(4))
+        if bits(a[1], b[1]) <= k
     )
     assert wanted == sorted(tuple(r) for r in neardup.near_pairs(df, k).collect())
 
 
 @pytest.mark.parametrize("k", [0, 1, 2])
-@pytest.mark.parametrize("broadcast_hashes", [10_000, 0])
-def test_listed_hashes_equal_a_loop_over_the_list(spark, monkeypatch, k, broadcast_hashes):
-    monkeypatch.setattr(neardup, "BROADCAST_HASHES", broadcast_hashes)
+@pytest.mark.parametrize("broadcast_bytes", [64 << 20, 0])
+def test_listed_hashes_equal_a_loop_over_the_list(spark, monkeypatch, k, broadcast_bytes):
+    monkeypatch.setattr(neardup, "BROADCAST_BYTES", broadcast_bytes)
     rows = clustered_hashes(3, 200)
     listed = [h for _, h, _ in rows[::17]] + [rows[0][1]]
     df = spark.createDataFrame(rows, "fid bigint, hash bigint, samelen bigint")
@@ -151,7 +151,23 @@ def test_drop_titles_and_short(spark):
     assert sorted(r.fid for r in neardup.drop_short(df).collect()) == [2, 3]
 
 
-def test_member_string_keeps_the_smallest(spark):
+def test_member_string_keeps_every_id(spark):
     members = spark.range(3000).selectExpr("IF(id < 2990, 0L, id) AS rep_fid", "id AS fid")
-    got = {r.rep_fid: r.samefid for r in neardup.member_string(members, cap=5).collect()}
-    assert got[0] == "0,1,2,3,4" and got[2995] == "2995" and len(got) == 11
+    got = {(r.rep_fid, r.part): r.samefid for r in neardup.member_string(members, part_ids=100).collect()}
+    joined = ",".join(got[0, part] for part in range(30))
+    assert joined == ",".join(map(str, range(2990))) and got[2995, 0] == "2995" and len(got) == 40
+
+
+def test_short_texts_are_no_copies_of_one_another(spark):
+    rows = [(1, -1), (2, -1), (3, 7), (4, 7)]
+    hashes = spark.createDataFrame(rows, "fid bigint, hash bigint")
+    clusters, members = neardup.near_dup_clusters(hashes)
+    assert [(r.fid, r.samelen) for r in clusters.collect()] == [(3, 2)]
+    assert sorted(map(tuple, members.collect())) == [(1, 1), (2, 2), (3, 3), (3, 4)]
+    same = neardup.same_hash(hashes)
+    assert sorted(map(tuple, neardup.same_members(hashes, same).collect())) == [(1, 1), (2, 2), (3, 3), (3, 4)]
+
+
+def test_near_pairs_refuse_more_bits(spark):
+    with pytest.raises(ValueError):
+        neardup.near_pairs(spark.createDataFrame([(1, 2, 1)], "fid bigint, hash bigint, samelen bigint"), 4)

@@ -3,7 +3,7 @@
 import pytest
 
 from pagemill.functions.hashing import signed64
-from pagemill.operators import neardup, textprep, topics, userstats
+from pagemill.operators import joins, neardup, textprep, topics, userstats
 from pagemill.registry.standins import StandIns
 
 SF = "/root/testdata/sf0.001"
@@ -27,7 +27,7 @@ PYTHON = ("ArrowEvalPython", "MapInArrow", "MapInPandas", "FlatMapGroups", "Batc
 
 def test_only_the_scanned_columns_are_read(views):
     text = plan(userstats.user_reads(views.reader_log(), "view"))
-    assert "ReadSchema: struct<user_id:bigint,event_type:string,props:string>" in text
+    assert "ReadSchema: struct<event_id:bigint,user_id:bigint,event_type:string>" in text
     assert "EqualTo(event_type,view)" in text
     assert shuffles(userstats.user_reads(views.reader_log(), "view")) == 1
 
@@ -52,19 +52,34 @@ def test_no_pairing_by_nested_loop(spark):
         assert "NestedLoop" not in plan(df) and "Cartesian" not in plan(df)
 
 
-def test_scoring_shuffles_documents_once(spark):
+def test_scoring_with_small_models_does_not_shuffle(spark):
     lines = spark.createDataFrame([("all", "a", "x y"), ("all", "b", "z")], "model string, label string, text string")
     models = topics.fit_topics(lines)
     docs = spark.createDataFrame([(1, "x z")], "fid bigint, words string")
-    df = topics.classify_parent(docs, models)
-    df.collect()
-    text = df._jdf.queryExecution().executedPlan().toString()
-    final = text.split("Initial Plan")[0]
-    assert final.count("+- Exchange") == 1 and final.count("ReusedExchange") == 1
+    text = plan(topics.classify_parent(docs, models))
+    assert "Exchange" not in text and "Join" not in text
+    large = topics.topic_models(models.weights, models.labels, max_bytes=0)
+    text = plan(topics.classify_parent(docs, large))
     assert "SortAggregate" not in text and "NestedLoop" not in text and "Cartesian" not in text
     assert not any(node in text for node in PYTHON)
 
 
+def test_few_but_huge_rows_are_merged(spark):
+    rows = spark.range(40).selectExpr("id", "repeat('x', 2 * 1024 * 1024) AS title")
+    assert not joins.fits(rows) and joins.fits(rows.select("id"))
+    assert "strategy=merge" in joins.sized(rows)._jdf.queryExecution().analyzed().toString()
+
+
+def test_a_short_cluster_list_leaves_the_texts_in_place(spark):
+    pages = spark.range(50).selectExpr(
+        "id AS fid", "'u' AS furl", "'t' AS ftitle", "'k' AS fkeywords", "repeat('x', 9) AS fcontent"
+    )
+    clusters = spark.range(5).selectExpr("id AS fid", "id AS hash", "3L AS samelen")
+    topic = spark.range(9).selectExpr("id AS fid", "'c' AS cat", "0.5D AS prob")
+    for df in (neardup.dup_report(clusters, pages, 2), neardup.dup_report(clusters, pages, 2, topic)):
+        assert df.count() == 5 and not shuffles(df) and "BroadcastHashJoin" in plan(df)
+
+
 def test_merge_round_shuffles_once_for_all_branches(spark):
     rows = spark.range(10).selectExpr("id AS fid", "xxhash64(id) AS hash", "1L AS samelen")
     df = neardup.merge_round(rows)
@@ -77,7 +92,6 @@ def test_relational_operators_stay_in_the_jvm(views):
     article_reads = userstats.user_reads(views.reader_log(), "view")
     for df in (
         textprep.prepare_articles(views.articles(), article_reads),
-        textprep.training_rows(views.articles(), views.taxonomy(), views.lexicon()),
         topics.pick_topic(views.spark.createDataFrame([(1, "a", 0.5)], "fid bigint, cat string, prob double")),
     ):
         assert not any(node in plan(df) for node in PYTHON)

@@ -16,14 +16,25 @@ def lexicon(spark):
     return spark.createDataFrame(rows, "word string, cls string")
 
 
-@pytest.mark.parametrize("inline_words", [100, 0])
-def test_drop_classes_inline_and_joined_agree(spark, lexicon, inline_words):
+@pytest.mark.parametrize("max_bytes", [None, 0])
+def test_drop_classes_shipped_and_joined_agree(spark, lexicon, max_bytes):
     rows = [(1, ["b", "the", "a", "and", "b"]), (2, ["the"]), (3, []), (4, None)]
     df = spark.createDataFrame(rows, "fid bigint, words array<string>")
-    kept = textprep.drop_classes(df, lexicon, inline_words=inline_words)
+    kept = textprep.drop_classes(df, lexicon, max_bytes=max_bytes)
     assert {r.fid: r.words for r in kept.collect()} == {1: ["b", "a", "b"], 2: [], 3: [], 4: None}
 
 
+@pytest.mark.parametrize("max_bytes", [None, 0])
+def test_drop_classes_keeps_rows_of_null_and_repeated_ids_apart(spark, lexicon, max_bytes):
+    rows = [(1, ["the", "cat"], ["x"]), (1, ["a", "dog"], []), (None, ["x", None, "the"], ["the"]), (None, ["y"], None)]
+    df = spark.createDataFrame(rows, "fid bigint, title array<string>, body array<string>")
+    kept = textprep.drop_classes(df, lexicon, cols=("title", "body"), max_bytes=max_bytes)
+    got = sorted((r.fid or 0, r.title, r.body) for r in kept.collect())
+    assert [g[0] for g in got] == [0, 0, 1, 1] and kept.columns == df.columns
+    assert [g[1] for g in got][1:] == [["y"], ["a", "dog"], ["cat"]] and got[0][2] == []
+    assert got[0][1] == ["x", None]
+
+
 def test_word_classes(spark, lexicon):
     df = spark.createDataFrame([(1, ["goal", "x", "the"])], "fid bigint, words array<string>")
     got = textprep.word_classes(df, lexicon.where("word != 'of'")).collect()

@@ -46,10 +46,21 @@ def docs(spark, texts):
 TEXTS = ["goal", "vote vote team", "ball unseen law law law", "hole", "unseen", " ", None, ""]
 
 
-@pytest.mark.parametrize("broadcast", [8_000_000, 0])
-def test_parent_topics_equal_plain_bayes(spark, models, monkeypatch, broadcast):
-    monkeypatch.setattr(topics, "BROADCAST_SCORES", broadcast)
-    models = topics.topic_models(models.weights, models.labels)
+@pytest.mark.parametrize("max_bytes", [None, 0])
+def test_rows_of_null_and_repeated_ids_are_scored_alone(spark, models, max_bytes):
+    models = topics.topic_models(models.weights, models.labels, max_bytes)
+    rows = [(None, "goal goal"), (None, "law"), (0, "law law law"), (5, "goal"), (5, "law law"), (5, None)]
+    docs = spark.createDataFrame(rows, "fid bigint, words string")
+    got = {(r.fid, r.words): (r.cat, r.prob) for r in topics.classify_parent(docs, models).collect()}
+    assert set(got) == set(rows)
+    for (_, words), (cat, prob) in got.items():
+        wanted = plain_bayes("all", words) if words else ("unknow", -1.0)
+        assert (cat, prob) == (wanted[0], pytest.approx(wanted[1]))
+
+
+@pytest.mark.parametrize("max_bytes", [None, 0])
+def test_parent_topics_equal_plain_bayes(spark, models, max_bytes):
+    models = topics.topic_models(models.weights, models.labels, max_bytes)
     got = {r.fid: (r.words, r.cat, r.prob) for r in topics.classify_parent(docs(spark, TEXTS), models).collect()}
     assert len(got) == len(TEXTS)
     for fid, text in enumerate(TEXTS):
@@ -74,11 +85,11 @@ def test_children_are_scored_by_their_parents_model(spark, models):
 
 @pytest.fixture
 def make_scorer():
-    def make():
-        def score(text):
-            if "boom" in text:
-                raise RuntimeError(text)
-            return None if "none" in text else ("__label__" + text.split()[0], math.log(0.25))
+    def make(name):
+        def score(texts):
+            if any("boom" in text for text in texts):
+                raise RuntimeError(name)
+            return [None if "none" in t else ("__label__" + (t.split() or ["x"])[0], math.log(0.25)) for t in texts]
 
         return score
 
