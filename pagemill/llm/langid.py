@@ -178,11 +178,14 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, sample: int = SAMPLE,
     order = F.xxhash64(F.lit(seed), "doc_id")
     by_language = Window.partitionBy("lang").orderBy("_order", "doc_id")
     chosen = (
-        known.select("lang", "doc_id", order.alias("_order"))
+        known.select("lang", "doc_id")
+        .distinct()
+        .withColumn("_order", order)
         .withColumn("_place", F.row_number().over(by_language))
         .where(F.col("_place") <= per_language)
         .orderBy("_place", "lang")
         .limit(sample)
+        .select("lang", "doc_id", "_order")
     )
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,7 +197,8 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, sample: int = SAMPLE,
             lists = [pa.array(x, pa.list_(pa.int64())) for x in (buckets, counts)]
             yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("_order"), *lists], ["lang", "_order", "buckets", "counts"])
 
-    texts = chosen.select("lang", "doc_id", "_order").join(known, ["lang", "doc_id"])
+    # ``sample`` bounds the rows that are broadcast.
+    texts = known.join(F.broadcast(chosen), ["lang", "doc_id"]).dropDuplicates(["lang", "doc_id"])
     got = texts.select("lang", "_order", "text").mapInArrow(
         features, "lang string, _order long, buckets array<long>, counts array<long>"
     ).toArrow()
