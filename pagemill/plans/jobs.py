@@ -6,9 +6,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pagemill.constants import HAN_CLASS, MIN_TOKENS, NEAR_BITS, REST_SUFFIX, VIEW_EVENT
+from pagemill.constants import (
+    HAN_CLASS,
+    MIN_TOKENS,
+    NEAR_BITS,
+    NON_TOPIC_CLASSES,
+    REST_SUFFIX,
+    VIEW_EVENT,
+)
 from pagemill.functions.hashing import BLOCKS, simhash
-from pagemill.functions.text import join_words, nonblank
+from pagemill.functions.text import drop_tagged, join_words, nonblank, parse_tagged
 from pagemill.operators import neardup, textprep, topics, userstats
 from pagemill.operators.taxonomy import Taxonomy
 from pagemill.plans.store import Store
@@ -122,6 +129,29 @@ def page_topics(
     return store.write(report, "dup_topics", day, DUP_TOPICS)
 
 
+def tagged_topics(
+    store: Store,
+    tagged: DataFrame,
+    models: topics.Classifier,
+    day: int,
+    classes: str = NON_TOPIC_CLASSES,
+) -> DataFrame:
+    """Parent and child topics of (fid, words) rows whose words come tagged with their
+    class, as ``word/class,word/class``; words of the listed classes are dropped."""
+    kept = drop_tagged(parse_tagged(F.col("words")), classes)
+    seg = store.write(tagged.select("fid", join_words(kept).alias("words")), "tagged_seg", day, SEG)
+    parents = store.write(topics.classify_parent(seg, models), "tagged_pcat", day, PREDICTION)
+    children = topics.children_by_parent(parents, models)
+    return store.write(children, "tagged_ccat", day, PREDICTION, by="model")
+
+
+def matching_pages(
+    store: Store, hashes: DataFrame, listed: DataFrame, day: int, k: int = NEAR_BITS
+) -> DataFrame:
+    """Pages whose fingerprint is within ``k`` bits of a listed one."""
+    return store.write(neardup.match_hashes(hashes, listed, k), f"match_{k}", day, HASH)
+
+
 def user_topics(
     store: Store,
     articles: DataFrame,

@@ -390,6 +390,9 @@ def oracle_sql() -> dict[str, str]:
             WHERE length(trim(fcontent)) > 1 AND hash <> -1 AND NOT contains({site}, 'src1.')
             AND NOT contains({site}, '//src17') AND NOT {_near('dh.hash', 'junk', 1)}), {_score('jp', 'jin')}
             SELECT fid, words, cat, prob FROM jp""",
+        "job_tagged_topics": f"""WITH {FIT}, gin AS (SELECT fid, array_to_string(list_filter({_words('fcontent')},
+            lambda w: length(w) <= 2 OR left(lang, 1) NOT IN ('e', 'f')), ' ') AS words, 'all' AS model FROM docs),
+            {_score('gp', 'gin')} SELECT fid, cat, prob FROM gp""",
         "predicted_labels": f"WITH {PARENTS} SELECT fid, cat FROM pc",
         "stacked_predictions": f"WITH {PREDICTIONS} SELECT fid, cat, prob FROM preds",
         "picked_topic": f"WITH {PREDICTIONS} SELECT fid, cat FROM picked",
@@ -408,6 +411,7 @@ def oracle_sql() -> dict[str, str]:
     any_id = "SELECT nullif(fid % 7, 0) AS fid, {cols} FROM ({query}), (VALUES (1), (2)) twice(n)"
     sql["class_filter_any_id"] = any_id.format(cols="words", query=sql["class_filter"])
     sql["parent_topics_any_id"] = any_id.format(cols="words, cat, prob", query=sql["parent_topics"])
+    sql["job_matching_pages"] = sql["hash_matches"]
     sql["job_training_data"] = sql["label_counts"]
     sql["job_user_topics"] = sql["user_topic_counts"]
     sql["url_drop_joined"] = sql["url_drop"]

@@ -159,15 +159,19 @@ def min_word_len(v: StandIns) -> DataFrame:
     return v.word_lists().select("fid", tx.join_words(tx.min_word_len(F.col("words"), 2)).alias("words"))
 
 
-@_query
-def parse_tagged(v: StandIns) -> DataFrame:
+def _tagged(v: StandIns) -> DataFrame:
+    """Words of documents, those of three letters and more tagged with the language."""
     tag = F.when(F.length("lang") > 0, F.concat(F.lit("/"), "lang"))
-    docs = v.documents()
     tagged = F.transform(
         tx.words(F.col("fcontent")), lambda w: F.when(F.length(w) > 2, F.concat(w, tag)).otherwise(w)
     )
-    pairs = tx.parse_tagged(F.array_join(tagged, ","))
-    return docs.select("fid", tx.join_words(tx.drop_tagged(pairs, "ef")).alias("words"))
+    return v.documents().select("fid", F.array_join(tagged, ",").alias("words"))
+
+
+@_query
+def parse_tagged(v: StandIns) -> DataFrame:
+    pairs = tx.parse_tagged(F.col("words"))
+    return _tagged(v).select("fid", tx.join_words(tx.drop_tagged(pairs, "ef")).alias("words"))
 
 
 @_query
@@ -587,6 +591,19 @@ def job_near_duplicate_members(v: StandIns) -> DataFrame:
     return store.read("members", DAY)
 
 
+@_query
+def job_tagged_topics(v: StandIns) -> DataFrame:
+    """Parent topics as the job stores them, without the words."""
+    store = _store(v)
+    jobs.tagged_topics(store, _tagged(v), _models(v), DAY, "ef")
+    return _rounded(store.read("tagged_pcat", DAY)).select("fid", "cat", "prob")
+
+
+@_query
+def job_matching_pages(v: StandIns) -> DataFrame:
+    return jobs.matching_pages(_store(v), v.hashes(), _junk_hashes(v), DAY)
+
+
 @_query
 def job_training_data(v: StandIns) -> DataFrame:
     store = _store(v)
