@@ -23,8 +23,9 @@ Linked = Callable[[np.ndarray, np.ndarray], np.ndarray]
 
 
 def blocked(members: DataFrame, key: str, node: str, size: Column, part_rows: int = PART_ROWS) -> DataFrame:
-    """Members (key, node, ...) once per block they take part in, as ``block`` and
-    ``part``, dealt out and sorted by block. ``size`` is the size of the group."""
+    """Members (key, node, ...) once per block they take part in, dealt out and sorted by
+    ``block``, with their ``part`` and whether the block is ``mixed``, of two parts.
+    ``size`` is the size of the group."""
     parts = F.greatest(F.ceil(size / part_rows), F.lit(1)).cast("int")
     part = F.pmod(F.xxhash64(F.lit(7), node), F.col("_parts")).cast("int")
     other = F.col("_other")
@@ -33,8 +34,7 @@ def blocked(members: DataFrame, key: str, node: str, size: Column, part_rows: in
         .withColumn("part", part)
         .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
         .withColumn("block", F.xxhash64(key, F.least("part", other), F.greatest("part", other)))
-        .withColumn("mixed", F.lit(True) & (F.col("_parts") > 1))
-        .withColumn("mixed", F.col("mixed") & (F.least("part", other) != F.greatest("part", other)))
+        .withColumn("mixed", F.col("part") != other)
         .drop("_parts", "_other", key)
         .repartition("block")
         .sortWithinPartitions("block", node)

@@ -244,6 +244,6 @@ def one_of_each(docs: DataFrame, **options: float) -> DataFrame:
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")
     )
     text = F.xxhash64(chars.text_or_empty(F.col("text")))
-    hashed = docs.withColumns({"_text_hash": text})
+    hashed = docs.withColumn("_text_hash", text)
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash"))
     return hashed.join(keys.distinct(), same, "left_semi").dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
