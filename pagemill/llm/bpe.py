@@ -39,7 +39,7 @@ _ONE_LETTER = "stmd"
 _TWO_LETTERS = ("re", "ve", "ll")
 
 # Pieces kept with their ids, and the longest piece kept.
-CACHED_PIECES = 150_000
+CACHED_PIECES = 60_000
 CACHED_BYTES = 48
 
 DECODED_ROWS = 256

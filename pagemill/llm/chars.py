@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Bytes of text worked on at once; a longer text is worked on alone.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 OTHER, LETTER, NUMBER, SPACE, BLANK = range(5)
 
