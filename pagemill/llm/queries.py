@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, fingerprints, jaccard, langid, licenses, lines, mixing, pii, vectors
+from pagemill.llm import bpe, fingerprints, jaccard, langid, licenses, lines, mixing, pii, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,6 +54,15 @@ def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(_table(spark, sf_dir, "documents")))
 
 
+def op6_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Not-modified records of every page, resolved."""
+    resolved = warc.resolve_revisits(warc.page_records(_table(spark, sf_dir, "pages")))
+    pairs = F.transform("headers", lambda h: F.concat_ws(": ", h["key"], h["value"]))
+    return resolved.select(
+        "record_id", "key", "full_id", "outcome", F.array_join(pairs, "|").alias("headers"), F.sha2("body", 256).alias("body_sha256")
+    )
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document, learned from those not held out."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -84,6 +93,7 @@ def queries() -> dict[str, Query]:
         op3_source_mix,
         op4_lattice_dedup,
         op5_license_scan,
+        op6_revisits,
         op7_language_id,
         op8_line_dedup,
         op9_piecewise_fingerprints,

@@ -6,7 +6,7 @@ are tested against brute force.
 
 from math import ceil
 
-from pagemill.llm import jaccard, licenses, lines, vectors
+from pagemill.llm import jaccard, licenses, lines, vectors, warc
 
 
 def _components(edges: str) -> str:
@@ -96,10 +96,35 @@ SELECT doc_id, coalesce(n, 0)::BIGINT AS n_lines, coalesce(dropped, 0)::BIGINT A
 FROM documents LEFT JOIN per_doc USING (doc_id)"""
 
 
+def _revisits() -> str:
+    rest = "regexp_replace(regexp_replace(url, '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '')"
+    query = f"""array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '\\?(.*)$', 1), '&'),
+        lambda p: p <> '' AND NOT regexp_matches(p, '{warc.TRACKING}'))), '&')"""
+    return f"""
+WITH cut AS (SELECT *, {rest} AS rest, page_id * 1000 AS made, '"' || md5(html) || '"' AS tag FROM pages),
+    pg AS (SELECT *, regexp_replace(lower(regexp_extract(rest, '^[^/?]*')), '^www\\.|:(80|443)$', '', 'g')
+        || regexp_replace(regexp_extract(rest, '^[^/?]*([^?]*)', 1), '/+$', '')
+        || CASE WHEN {query} <> '' THEN '?' || {query} ELSE '' END AS key FROM cut),
+    asked AS (SELECT page_id * 4 + 1 AS record_id, key, made + 400 AS seen, made - 50 AS modified, 'max-age=90' AS age,
+            CASE length(html) % 3 WHEN 0 THEN tag WHEN 2 THEN '"changed"' END AS etag FROM pg
+        UNION ALL SELECT page_id * 4 + 2, key, made - 400, made - 50, 'no-cache', NULL FROM pg),
+    met AS (SELECT a.*, f.page_id, f.html, f.tag, f.made - 50 AS stored FROM asked a LEFT JOIN pg f
+        ON f.key = a.key AND f.made < a.seen
+        QUALIFY row_number() OVER (PARTITION BY a.record_id ORDER BY f.made DESC NULLS LAST) = 1),
+    said AS (SELECT *, CASE WHEN page_id IS NULL THEN 'missing' WHEN etag IS NOT NULL THEN
+        CASE WHEN etag = tag THEN 'etag' ELSE 'mismatch' END WHEN modified = stored THEN 'modified' ELSE 'mismatch' END AS outcome FROM met)
+SELECT record_id, key, CASE WHEN outcome IN ('etag', 'modified') THEN page_id * 4 END AS full_id, outcome,
+    CASE WHEN outcome IN ('etag', 'modified') THEN
+        'cache-control: ' || age || '|content-type: text/html|date: ' || seen END AS headers,
+    CASE WHEN outcome IN ('etag', 'modified') THEN sha256(html) END AS body_sha256
+FROM said"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_ngram_jaccard": _near_documents(),
         "op4_lattice_dedup": _near_vectors(),
         "op5_license_scan": _license_scan(),
+        "op6_revisits": _revisits(),
         "op8_line_dedup": _line_dedup(),
     }
