@@ -23,6 +23,7 @@ from pagemill.llm.shingles import mix64
 BUCKETS = 1 << 14
 PER_LANGUAGE = 400
 SAMPLE = 20_000
+SALTS = 64
 EPOCHS = 4
 # Step size and its offset, and the penalties on absolute and squared weights.
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.01
@@ -176,11 +177,16 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, sample: int = SAMPLE,
     idf = inverse_frequencies(known.select("text"), classes)
 
     order = F.xxhash64(F.lit(seed), "doc_id")
+    # A common language is cut to the first of each salt before it comes together.
+    by_salt = Window.partitionBy("lang", "_salt").orderBy("_order", "doc_id")
     by_language = Window.partitionBy("lang").orderBy("_order", "doc_id")
     chosen = (
         known.select("lang", "doc_id")
         .distinct()
         .withColumn("_order", order)
+        .withColumn("_salt", F.pmod("_order", F.lit(SALTS)))
+        .withColumn("_place", F.row_number().over(by_salt))
+        .where(F.col("_place") <= per_language)
         .withColumn("_place", F.row_number().over(by_language))
         .where(F.col("_place") <= per_language)
         .orderBy("_place", "lang")
