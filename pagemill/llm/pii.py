@@ -60,12 +60,12 @@ RULES = (
     Rule("email", True, "@", lambda t: _joints(t, _HOST, r"\.", _HOST),
          rf"(?:\G|(?<!{_LOCAL})){_LOCAL}++@{_HOST}++{MARK}[A-Za-z0-9{MARK}-]*+"),
     Rule("ip", True, r"[0-9]\.[0-9]", lambda t: t, r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"),
-    Rule("card", True, "[0-9]{2}", lambda t: _joints(t, "[0-9]", "[ -]", "[0-9]"), rf"[0-9{MARK}]{{13,}}+"),
+    Rule("card", True, "[0-9][ -]?[0-9]", lambda t: _joints(t, "[0-9]", "[ -]", "[0-9]"), rf"[0-9{MARK}]{{13,}}+"),
     Rule("phone", True, r"\+[0-9]", lambda t: t, r"\+[0-9][ ().0-9-]+[0-9]"),
     Rule("email", False, r"@|\([aA][tT]\)|\[[aA][tT]\]", lambda t: t,
          rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?(?:@|\([aA][tT]\)|\[[aA][tT]\]) ?{_HOST}++"),
-    Rule("card", False, "[0-9]{4}", lambda t: _joints(t, "[0-9]", "[ .-]", "[0-9]"), rf"[0-9{MARK}]{{12,23}}+"),
-    Rule("phone", False, "[0-9]{3}", lambda t: t, r"(?<![0-9])[(0-9][ ().0-9-]{7,20}[0-9]"),
+    Rule("card", False, "[0-9][ .-]?[0-9]", lambda t: _joints(t, "[0-9]", "[ .-]", "[0-9]"), rf"[0-9{MARK}]{{12,23}}+"),
+    Rule("phone", False, "[(0-9][ ().0-9-]{7}", lambda t: t, r"(?<![0-9])[(0-9][ ().0-9-]{7,20}[0-9]"),
     Rule("ip", False, r"[0-9]\.[0-9]", lambda t: t, r"(?<![0-9.])[0-9]{1,3}[.:][0-9]{1,3}[.:][0-9]{1,3}[.:][0-9]{1,3}"),
 )
 

@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from pagemill.llm import licenses, pii
 
@@ -49,6 +50,26 @@ def test_personal_data_base_spans(spark):
         assert order == sorted(order)
 
 
+def test_cards_with_a_joint_between_all_digits(spark):
+    """Fully spaced and fully hyphenated cards, in texts without two adjacent digits."""
+    cards = ["4111111111111111", "4539578763621486", "4222222222222", "4111111111111112"]
+    texts = [f"pay {joint.join(card)} now" for card in cards for joint in " -"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in pii.digest(pii.find(docs)).collect()}
+    for i, text in enumerate(texts):
+        spans = plain_base(text)
+        assert got[i].n_card == len(spans) == (i < 6)
+        assert got[i].base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()
+
+
+@pytest.mark.parametrize("text", ["4 1 1 1 1 1 1 1 1 1 1 1 1 1 1 1", "4.1.1.1.1.1.1.1.1.1.1.1", "4-1-1-1-1-1-1-1-1-1-1-1-1", "(1 2 3 4 5", "1 2 3 4 5 6"])
+def test_hints_are_implied_by_their_patterns(column, text):
+    for rule in pii.RULES:
+        (matches,) = column(lambda c: F.regexp_extract_all(rule.prepare(c), F.lit(rule.pattern), F.lit(0)), [text])
+        (hinted,) = column(lambda c: c.rlike(rule.hint), [text])
+        assert hinted or not matches
+
+
 def test_personal_data_of_odd_tables(spark):
     docs = spark.createDataFrame([(1, "x@y.zz"), (1, "x@y.zz"), (None, "x@y.zz"), (2, None)], "doc_id long, text string")
     rows = pii.digest(pii.find(docs)).collect()
