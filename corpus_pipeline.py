@@ -12,6 +12,8 @@ from pagemill.sources.scratch import scratch_path
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 # Documents whose language is less certain than this are rejected.
 LEAST_SCORE = 0.4
+# A line on so many sites is boilerplate, a long one on so many.
+CROSS_SITES, LONG_CROSS_SITES = 3, 2
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -24,8 +26,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops lines that stand on many sites, and documents that had nothing else."""
-    cleaned = lines.drop_spread_lines(docs)
+    """Drops lines that stand on several sites, and documents that had nothing else.
+
+    A document of null source is a site of its own. Repeats within one source are left
+    to the join of near copies.
+    """
+    alone = F.concat(F.lit("\0"), F.coalesce(F.col("doc_id").cast("string"), F.sha2("text", 256)))
+    site = F.coalesce(F.col("source"), alone)
+    cleaned = lines.drop_spread_lines(docs, CROSS_SITES, LONG_CROSS_SITES, site)
     left = (F.col("n_dropped") == 0) | F.col("text").rlike(r"\S")
     return cleaned.where(left).withColumn("n_chars", F.length("text").cast("bigint")).select(COLUMNS)
 

@@ -12,15 +12,22 @@ from pagemill.llm.chars import text_or_empty
 from pagemill.sources.scratch import materialize
 
 SITES = 10
+# A line of so many characters, blanks squeezed, is a passage that sites do not share by chance.
+LONG_CHARS = 150
 # Sketches have 2^12 registers, a standard error of 1.6 %. Estimates within this share
 # of the threshold, and always within two, are counted exactly.
 SKETCH_BITS = 12
 NEAR = 0.1
 
 
+def plain_line(line: Column) -> Column:
+    """The line in lower case, blanks squeezed."""
+    return F.lower(F.trim(F.regexp_replace(line, r"\s+", " ")))
+
+
 def line_hash(line: Column) -> Column:
     """Hash of a line in lower case, blanks squeezed; null for a blank line."""
-    plain = F.lower(F.trim(F.regexp_replace(line, r"\s+", " ")))
+    plain = plain_line(line)
     return F.when(plain != "", F.xxhash64(plain))
 
 
@@ -28,36 +35,48 @@ def split_lines(text: Column) -> Column:
     return F.split(text_or_empty(text), "\n")
 
 
-def spread_lines(lines: DataFrame, sites: int = SITES) -> DataFrame:
-    """(hash) of the lines that stand on at least ``sites`` distinct sites, from rows
-    (hash, site). A line needs as many occurrences as sites, so only frequent ones get
-    a sketch; a common line is counted and sketched where its rows are."""
-    often = lines.groupBy("hash").agg(F.count("site").alias("n")).where(F.col("n") >= sites).select("hash")
-    common = lines.join(often, "hash").where("site IS NOT NULL")
+def spread_lines(lines: DataFrame) -> DataFrame:
+    """(hash) of the lines that stand on at least ``least`` distinct sites, from rows
+    (hash, site, least). A line needs as many occurrences as sites, so only frequent ones
+    get a sketch; a common line is counted and sketched where its rows are."""
+    often = lines.groupBy("hash").agg(F.count("site").alias("n"), F.min("least").alias("least"))
+    often = often.where(F.col("n") >= F.col("least")).select("hash", "least")
+    common = lines.drop("least").join(often, "hash").where("site IS NOT NULL")
     sketched = common.groupBy("hash").agg(
-        F.hll_sketch_estimate(F.hll_sketch_agg("site", SKETCH_BITS)).alias("estimate")
+        F.hll_sketch_estimate(F.hll_sketch_agg("site", SKETCH_BITS)).alias("estimate"), F.min("least").alias("least")
     )
     sketched = materialize(sketched)
-    off = F.abs(F.col("estimate") - sites)
-    near = sketched.where(off <= max(2.0, NEAR * sites)).select("hash")
-    exact = common.join(near, "hash").select("hash", "site").distinct().groupBy("hash").agg(F.count(F.lit(1)).alias("n"))
-    sure = sketched.where((off > max(2.0, NEAR * sites)) & (F.col("estimate") > sites)).select("hash")
-    return sure.unionByName(exact.where(F.col("n") >= sites).select("hash"))
+    off = F.abs(F.col("estimate") - F.col("least"))
+    close = off <= F.greatest(F.lit(2.0), NEAR * F.col("least"))
+    near = sketched.where(close).select("hash", "least")
+    exact = common.drop("least").join(near, "hash").select("hash", "site", "least").distinct()
+    exact = exact.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("least"))
+    sure = sketched.where(~close & (F.col("estimate") > F.col("least"))).select("hash")
+    return sure.unionByName(exact.where(F.col("n") >= F.col("least")).select("hash"))
 
 
-def drop_spread_lines(docs: DataFrame, sites: int = SITES) -> DataFrame:
+def drop_spread_lines(
+    docs: DataFrame, sites: int = SITES, long_sites: int | None = None, site: Column | None = None
+) -> DataFrame:
     """``docs`` with the text less the lines that stand on ``sites`` sources or more,
-    and n_lines, n_dropped; all columns stay.
+    and n_lines, n_dropped; all columns stay. Lines of ``LONG_CHARS`` characters or more
+    go from ``long_sites`` sources on, if given. ``site`` names the site of a document
+    where that is not its source.
 
     The first place of a line, by id, then text hash and position, keeps it, so that
-    no content is lost from the whole. Blank lines stay. A null source is no site; a
-    null text stays null and has no lines; a null id comes last. Rows equal in id and
+    no content is lost from the whole. Blank lines stay. A null source is no site, and a
+    line that repeats within one source only stands on one site, however often; a null text stays null and has no lines; a null id comes last. Rows equal in id and
     text are treated alike. An empty table gives no rows.
     """
     keyed = docs.withColumn("_key", F.xxhash64(text_or_empty(F.col("text"))))
-    lines = keyed.select("doc_id", "_key", F.col("source").alias("site"), F.posexplode(split_lines(F.col("text"))).alias("pos", "line"))
-    lines = materialize(lines.select("doc_id", "_key", "site", "pos", line_hash(F.col("line")).alias("hash")).where("hash IS NOT NULL"))
-    spread = materialize(spread_lines(lines.select("hash", "site"), sites))
+    site = F.col("source") if site is None else site
+    least = F.lit(sites)
+    if long_sites is not None:
+        least = F.when(F.length(plain_line(F.col("line"))) >= LONG_CHARS, long_sites).otherwise(sites)
+    lines = keyed.select("doc_id", "_key", site.alias("site"), F.posexplode(split_lines(F.col("text"))).alias("pos", "line"))
+    hashed = lines.select("doc_id", "_key", "site", "pos", line_hash(F.col("line")).alias("hash"), least.alias("least"))
+    lines = materialize(hashed.where("hash IS NOT NULL"))
+    spread = materialize(spread_lines(lines.select("hash", "site", "least")))
     hits = lines.join(spread, "hash").select("doc_id", "_key", "pos", "hash")
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "_key", "pos")
     first = hits.groupBy("hash").agg(F.min(place).alias("first"))

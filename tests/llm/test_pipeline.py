@@ -36,6 +36,21 @@ def test_clean_documents_stay(stages):
     assert unique.count() == unique.select("doc_id").distinct().count() <= cleaned.count()
 
 
+def test_passages_of_few_sites_go_but_once(spark):
+    """50 words shared by otherwise different documents: of two sources, of none, of one."""
+    def passage(name):
+        return " ".join(f"{name}{k}" for k in range(50))
+
+    rows = [(i, f"own text of {i}\n{passage('two')}\nshort", "xx", f"s{i}", 0) for i in range(2)]
+    rows += [(10 + i, f"own text of {10 + i}\n{passage('none')}", "xx", None, 0) for i in range(3)]
+    rows += [(20 + i, f"own text of {20 + i}\n{passage('one')}", "xx", "s9", 0) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = {r.doc_id: r for r in pipeline.drop_boilerplate(spark, docs, SF).collect()}
+    changed = {1: "own text of 1\nshort", 11: "own text of 11", 12: "own text of 12"}
+    assert {i: got[i].text for i in got} == {r[0]: changed.get(r[0], r[1]) for r in rows}
+    assert {i: got[i].source for i in got} == {r[0]: r[3] for r in rows}
+
+
 def test_last_stage_encodes_the_mix(spark, stages):
     ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(public_tokenizers.path(TOKENIZER), "rb"))}
     encoding = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
