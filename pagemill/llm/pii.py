@@ -189,46 +189,39 @@ def _unit(*cols: str) -> Column:
 def selected(spans: DataFrame, rows: int = TRAIN_ROWS, precision: float = PRECISION) -> DataFrame:
     """The proposals that are no finds of a rule, touch none, and score as high as finds do.
 
-    Trees learn to tell finds from other proposals on about ``rows`` of them, chosen by
-    hash. Half of these set the thresholds: for each kind the lowest score from which on
-    the share of finds is at least ``precision``. Without both finds and others
-    nothing is selected.
+    Trees learn to tell finds from other proposals on at most about ``rows`` of them, an
+    equal part for finds and others of every kind, chosen by hash; a rare kind is taken
+    whole. Thresholds come from the scores of all proposals: for each kind the lowest
+    score from which on the share of finds is at least ``precision``. Without both finds
+    and others nothing is selected.
     """
     spans = spans.where("NOT touches")
-    totals = spans.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.col("base").cast("int")), F.lit(0))).first()
-    chosen = spans.withColumn("_at", _unit("doc_id", "_key", "kind", "start", "end"))
-    share = min(1.0, rows / max(totals[0], 1))
-    sample = chosen.where(F.col("_at") < share).withColumn("label", F.col("base").cast("double"))
+    totals = {(r.kind, r.base): r.n for r in spans.groupBy("kind", "base").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if {base for _, base in totals} != {True, False}:
+        return spans.limit(0)
+    part = rows / (2 * len(KINDS))
+    share = F.lit(1.0)
+    for (kind, base), n in totals.items():
+        share = F.when((F.col("kind") == kind) & (F.col("base") == base), min(1.0, part / n)).otherwise(share)
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    half = F.pmod(F.xxhash64("start", "_key"), F.lit(2))
-    sample = materialize(vectors.transform(with_features(sample)).select("kind", "features", "label", half.alias("half")))
-    training = sample.where("half = 0")
-    seen = {r[0] for r in training.select("label").distinct().collect()}
-    if len(seen) < 2:
+    sample = spans.where(_unit("doc_id", "_key", "kind", "start", "end") < share).withColumn("label", F.col("base").cast("double"))
+    training = materialize(vectors.transform(with_features(sample)).select("features", "label"))
+    if training.select("label").distinct().count() < 2:
         return spans.limit(0)
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="features", labelCol="label")
     model = trees.fit(training)
     score = F.get(vector_to_array("probability"), F.lit(1))
-    bins = (
-        model.transform(sample.where("half = 1"))
-        .groupBy("kind", F.floor(score * BINS).alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"), F.sum("label").alias("hits"))
-        .collect()
-    )
-    thresholds = {}
+    scored = model.transform(vectors.transform(with_features(spans)))
+    scored = materialize(scored.select(*spans.columns, F.floor(score * BINS).alias("bin")))
+    bins = scored.groupBy("kind", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("base").cast("int")).alias("hits")).collect()
+    limit = F.lit(BINS + 1)
     for kind in KINDS:
         n = hits = 0
         for row in sorted((r for r in bins if r.kind == kind), key=lambda r: -r.bin):
             n, hits = n + row.n, hits + row.hits
             if hits >= precision * n:
-                thresholds[kind] = row.bin / BINS
-    if not thresholds:
-        return spans.limit(0)
-    limit = F.lit(2.0)
-    for kind, value in thresholds.items():
-        limit = F.when(F.col("kind") == kind, value).otherwise(limit)
-    others = vectors.transform(with_features(spans.where("NOT base")))
-    return model.transform(others).where(score >= limit).select(*spans.columns)
+                limit = F.when(F.col("kind") == kind, row.bin).otherwise(limit)
+    return scored.where(~F.col("base") & (F.col("bin") >= limit)).select(*spans.columns)
 
 
 def find(docs: DataFrame) -> DataFrame:

@@ -86,6 +86,15 @@ def test_trees_add_spans_that_look_like_finds(spark):
     assert added and added <= {i for i in range(0, 600, 40)}
 
 
+def test_a_rare_kind_is_learned_beside_a_dominant_one(spark):
+    """Phone-like spans fill a sample of all; cards of the form of finds are added still."""
+    rows = [(i, 1, "phone", 0, 16, i % 2 == 0, "+49 170 1234567" if i % 2 == 0 else "12-34-56", "", False) for i in range(4000)]
+    rows += [(5000 + i, 1, "card", 0, 16, i >= 2, "4539578763621486", "card ", False) for i in range(80)]
+    spans = spark.createDataFrame(rows, "doc_id long, _key long, kind string, start long, end long, base boolean, span string, before string, touches boolean")
+    added = pii.selected(spans, rows=80).collect()
+    assert sorted(r.doc_id for r in added) == [5000, 5001] and {r.kind for r in added} == {"card"}
+
+
 @pytest.fixture(scope="module")
 def scanned(spark):
     texts = [None, "", "CC-BY cc by", "xcc by ccc-by cc, by", "All Rights\nReserved", "gnu General  public-license é all rights", "c " * 30_000 + "cc by"]
