@@ -6,11 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, fingerprints, jaccard, langid, licenses, lines, mixing, pii, vectors, warc
+from pagemill.llm import bpe, fingerprints, jaccard, langid, licenses, lines, mixing, packing, pii, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
+PACKED_TOKENIZER = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -86,6 +87,15 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(_table(spark, sf_dir, "documents")))
 
 
+def op12_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every piece of every document lies in the packed sequences."""
+    model = packing.read_model(public_tokenizers.path(PACKED_TOKENIZER))
+    packed = packing.pack(_table(spark, sf_dir, "documents"), model)
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("packed").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
 def queries() -> dict[str, Query]:
     listed = (
         op1_byte_bpe,
@@ -98,5 +108,6 @@ def queries() -> dict[str, Query]:
         op8_line_dedup,
         op9_piecewise_fingerprints,
         op10_personal_data,
+        op12_cost_packing,
     )
     return {q.__name__: q for q in listed}

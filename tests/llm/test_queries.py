@@ -28,7 +28,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(q.split("_")[0][2:]) for q in QUERIES) == list(range(1, 11))
+    assert sorted(int(q.split("_")[0][2:]) for q in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("name", ["op3_source_mix", "op10_personal_data"])
