@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, fingerprints, jaccard, langid, licenses, lines, mixing, packing, pii, vectors, warc
+from pagemill.llm import bpe, codes, fingerprints, jaccard, langid, licenses, lines, mixing, packing, pii, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -96,6 +96,18 @@ def op12_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Codes of every embedding, their errors, and a digest of the codebooks."""
+    coded, books = codes.compress(_table(spark, sf_dir, "embeddings"))
+    return codes.with_label_errors(coded).select(
+        F.col("id").alias("vec_id"),
+        F.lower(F.hex("codes")).alias("code"),
+        "error",
+        "label_error",
+        F.lit(codes.codebooks_digest(books)).alias("codebooks_sha256"),
+    )
+
+
 def queries() -> dict[str, Query]:
     listed = (
         op1_byte_bpe,
@@ -109,5 +121,6 @@ def queries() -> dict[str, Query]:
         op9_piecewise_fingerprints,
         op10_personal_data,
         op12_cost_packing,
+        op13_vector_codes,
     )
     return {q.__name__: q for q in listed}

@@ -6,7 +6,7 @@ are tested against brute force.
 
 from math import ceil
 
-from pagemill.llm import jaccard, licenses, lines, vectors, warc
+from pagemill.llm import codes, jaccard, licenses, lines, vectors, warc
 
 
 def _components(edges: str) -> str:
@@ -120,6 +120,40 @@ SELECT record_id, key, CASE WHEN outcome IN ('etag', 'modified') THEN page_id *
 FROM said"""
 
 
+def _vector_codes() -> str:
+    n, last = codes.ENTRIES, codes.ROUNDS
+    gap = "list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))"
+
+    def assigned(book: str) -> str:
+        return f"""SELECT r, p, x, min({gap} * {n} + e) % {n} AS e, min({gap} * {n} + e) // {n} AS d
+        FROM parts JOIN (SELECT p, e, x AS c FROM {book}) USING (p) GROUP BY r, p, x"""
+
+    rounds = "".join(
+        f""",
+    a{k} AS MATERIALIZED ({assigned(f"b{k - 1}")}),
+    m{k} AS (SELECT p, e, list((s - ((s % n) + n) % n) // n ORDER BY i) AS x FROM (
+        SELECT p, e, i, sum(x[i]) AS s, count(*) AS n FROM a{k}, unnest(range(1, len(x) + 1)) t(i) GROUP BY p, e, i)
+        GROUP BY p, e),
+    b{k} AS MATERIALIZED (SELECT p, e, coalesce(m.x, b.x) AS x FROM b{k - 1} b LEFT JOIN m{k} m USING (p, e))"""
+        for k in range(1, last + 1)
+    )
+    return f"""
+WITH kept AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, v) - 1 AS r, * FROM (
+        SELECT vec_id, label, list_transform(embedding, lambda x: floor(x::DOUBLE * {codes.SCALE})::BIGINT) AS v
+        FROM embeddings WHERE embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)),
+    parts AS MATERIALIZED (SELECT r, p, v[p * len(v) // {codes.PARTS} + 1:(p + 1) * len(v) // {codes.PARTS}] AS x
+        FROM kept, unnest(range({codes.PARTS})) t(p)),
+    b0 AS MATERIALIZED (SELECT p, r AS e, x::HUGEINT[] AS x FROM parts WHERE r < {n}){rounds},
+    done AS MATERIALIZED ({assigned(f"b{last}")}),
+    coded AS (SELECT r, string_agg(lpad(printf('%x', e::BIGINT), 2, '0'), '' ORDER BY p) AS code,
+        sum(d)::BIGINT AS error FROM done GROUP BY r),
+    book AS (SELECT sha256(string_agg(x[i]::VARCHAR, ',' ORDER BY p, e, i)) AS codebooks_sha256
+        FROM b{last}, unnest(range(1, len(x) + 1)) t(i))
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256
+FROM kept JOIN coded USING (r), book"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op2_ngram_jaccard": _near_documents(),
@@ -127,4 +161,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_license_scan": _license_scan(),
         "op6_revisits": _revisits(),
         "op8_line_dedup": _line_dedup(),
+        "op13_vector_codes": _vector_codes(),
     }
