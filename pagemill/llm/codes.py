@@ -170,7 +170,7 @@ def compress(
         raise ValueError("a code is one byte, so a codebook has 1 to 256 entries")
     rows = materialize(quantised(vectors, scale, id_, vector, label))
     size = F.size("ints")
-    peak = F.greatest(F.array_max("ints"), -(F.array_min("ints") + 1))
+    peak = F.greatest(F.abs(F.array_max("ints").cast("bigint")), F.abs(F.array_min("ints").cast("bigint")))
     low, high, most = rows.agg(F.min(size), F.max(size), F.max(peak)).first()
     if low != high or (low or 0) % parts:
         raise ValueError(f"vectors must have one length, a multiple of {parts}; lengths are {low} to {high}")
