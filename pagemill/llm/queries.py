@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, codes, fingerprints, jaccard, langid, licenses, lines, mixing, packing, pii, vectors, warc
+from pagemill.llm import bpe, codes, divergence, fingerprints, jaccard, langid, licenses, lines, mixing, packing, pii, vectors, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -87,6 +87,11 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.find(_table(spark, sf_dir, "documents")))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of a language are apart, and the terms that set each off."""
+    return divergence.audit(_table(spark, sf_dir, "documents"))
+
+
 def op12_cost_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Where every piece of every document lies in the packed sequences."""
     model = packing.read_model(public_tokenizers.path(PACKED_TOKENIZER))
@@ -120,6 +125,7 @@ def queries() -> dict[str, Query]:
         op8_line_dedup,
         op9_piecewise_fingerprints,
         op10_personal_data,
+        op11_source_divergence,
         op12_cost_packing,
         op13_vector_codes,
     )

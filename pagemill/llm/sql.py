@@ -6,7 +6,7 @@ are tested against brute force.
 
 from math import ceil
 
-from pagemill.llm import codes, jaccard, licenses, lines, vectors, warc
+from pagemill.llm import codes, divergence, jaccard, licenses, lines, vectors, warc
 
 
 def _components(edges: str) -> str:
@@ -120,6 +120,39 @@ SELECT record_id, key, CASE WHEN outcome IN ('etag', 'modified') THEN page_id *
 FROM said"""
 
 
+def _source_divergence(table: str = "documents") -> str:
+    share = f"1 + {divergence.SHARE}::HUGEINT * (n + 1) // (total + v)"
+    upper, lower = licenses.ascii_uppercase, licenses.ascii_lowercase
+    return rf"""
+WITH docs AS (SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+        coalesce(text, '') AS text FROM {table}),
+    groups AS (SELECT DISTINCT lang, source FROM docs),
+    words AS MATERIALIZED (SELECT d, lang, source, unnest(regexp_extract_all(translate(text, '{upper}', '{lower}'),
+        '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM docs),
+    kept AS MATERIALIZED (SELECT lang, term, count(*) AS n FROM words GROUP BY lang, term
+        HAVING count(DISTINCT d) >= {divergence.LEAST_DOCS}),
+    sizes AS (SELECT lang, count(*) AS v, sum(n) AS words FROM kept GROUP BY lang),
+    counts AS MATERIALIZED (SELECT lang, source, term, count(*) AS n FROM words SEMI JOIN kept USING (lang, term)
+        GROUP BY lang, source, term),
+    totals AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM groups LEFT JOIN counts USING (lang, source)
+        GROUP BY lang, source),
+    shares AS MATERIALIZED (SELECT lang, source, term, coalesce(c.n, 0) AS n, total, v
+        FROM totals JOIN kept k USING (lang) JOIN sizes USING (lang) LEFT JOIN counts c USING (lang, source, term)),
+    p AS MATERIALIZED (SELECT lang, source, term, n, {share} AS p FROM shares),
+    q AS (SELECT lang, term, 1 + {divergence.SHARE}::HUGEINT * (n + 1) // (words + v) AS q FROM kept JOIN sizes USING (lang)),
+    apart AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+        FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+        FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN apart x ON x.lang = a.lang AND x.source = a.source AND x.item = b.source),
+    terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // q)::BIGINT AS value
+        FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+    placed AS (SELECT *, (row_number() OVER (PARTITION BY lang, source, part
+        ORDER BY value DESC, item))::INTEGER AS rank
+        FROM (FROM pairs UNION ALL FROM terms))
+SELECT * FROM placed WHERE part = 'pair' OR rank <= {divergence.TOP}"""
+
+
 def _vector_codes() -> str:
     n, last = codes.ENTRIES, codes.ROUNDS
     gap = "list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))"
@@ -161,5 +194,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_license_scan": _license_scan(),
         "op6_revisits": _revisits(),
         "op8_line_dedup": _line_dedup(),
+        "op11_source_divergence": _source_divergence(),
         "op13_vector_codes": _vector_codes(),
     }
