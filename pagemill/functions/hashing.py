@@ -1,5 +1,7 @@
 """64-bit document fingerprints and Hamming-distance predicates."""
 
+from itertools import combinations
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column
@@ -89,6 +91,11 @@ def _simhash(word_lists: pa.Array) -> pa.Array:
     return pa.array(simhash_lists(word_lists))
 
 
+# A filter on the finished hash must not be pushed below its computation: words would be
+# cut and hashed once for the filter and again for the result.
+_simhash = _simhash.asNondeterministic()
+
+
 def simhash(ws: Column, min_tokens: int = MIN_TOKENS) -> Column:
     """Fingerprint of a word array, or -1 for ``min_tokens`` words or fewer.
 
@@ -115,11 +122,7 @@ def block_key(h: Column, block: int) -> Column:
     return h.bitwiseAND(F.lit(signed64(~hole & (1 << 64) - 1)).cast("bigint"))
 
 
-def flip_bit(h: Column, bit: Column) -> Column:
-    return h.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit.cast("int")))
-
-
-def ball(h: Column) -> Column:
-    """The hash and its 64 neighbours at distance one."""
-    bits = F.sequence(F.lit(0), F.lit(63))
-    return F.concat(F.array(h), F.transform(bits, lambda i: flip_bit(h, i)))
+def ball(h: Column, radius: int = 1) -> Column:
+    """The hash and all values within ``radius`` bits of it."""
+    masks = [sum(1 << i for i in bits) for n in range(radius + 1) for bits in combinations(range(64), n)]
+    return F.transform(F.lit([signed64(m) for m in masks]).cast("array<bigint>"), lambda m: h.bitwiseXOR(m))

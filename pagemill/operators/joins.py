@@ -1,22 +1,46 @@
 """Joins against lists, broadcast only behind a check of the list's size."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import (
+    BinaryType,
+    BooleanType,
+    DateType,
+    NumericType,
+    StringType,
+    StructField,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from pagemill.sources.scratch import materialize
 
 # Estimated bytes up to which a list is broadcast, and what a row takes besides its values.
 BROADCAST_BYTES = 64 << 20
 ROW_BYTES = 32
+_FIXED = (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType)
+
+
+def _value_bytes(field: StructField) -> Column | None:
+    """The bytes of a value of varying length; those of fixed length count as part of the row."""
+    if isinstance(field.dataType, _FIXED):
+        return None
+    value = F.col(field.name)
+    if not isinstance(field.dataType, (StringType, BinaryType)):
+        value = F.to_json(F.struct(value))
+    return F.coalesce(F.octet_length(value), F.lit(0))
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Bytes of a list: every task sums up its rows, and only the sums meet."""
+    varying = [b for b in map(_value_bytes, df.schema) if b is not None]
+    row = sum(varying, F.lit(ROW_BYTES + 8 * (len(df.columns) - len(varying))).cast("bigint"))
+    return df.agg(F.sum(row)).first()[0] or 0
 
 
 def fits(df: DataFrame, max_bytes: int | None = None) -> bool:
-    """Whether a list is estimated at no more than ``max_bytes``: the length of its
-    values as text and an overhead for each row. Reads no more rows than could fit."""
-    most = BROADCAST_BYTES if max_bytes is None else max_bytes
-    size = F.octet_length(F.to_json(F.struct(*df.columns))) + ROW_BYTES
-    read = df.limit(most // ROW_BYTES + 1).agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
-    return read <= most
+    """Whether a list is estimated at no more than ``max_bytes``."""
+    return estimated_bytes(df) <= (BROADCAST_BYTES if max_bytes is None else max_bytes)
 
 
 def sized(df: DataFrame, max_bytes: int | None = None) -> DataFrame:

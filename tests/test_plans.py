@@ -45,6 +45,26 @@ def test_exact_groups_combine_before_the_shuffle(spark):
     assert text.count("HashAggregate") == 2 and text.count("Exchange hash") == 1
 
 
+def test_a_filter_on_the_hash_does_not_hash_twice(views):
+    text = plan(neardup.same_hash(views.hashes()))
+    assert text.count("ArrowEvalPython") == 1 == text.count("regexp_extract_all(")
+
+
+def test_sizes_of_lists_are_summed_up_in_tasks(spark):
+    rows = spark.createDataFrame([(1, "ab", [1, 2], None), (None, None, None, 2.0)], "a long, b string, c array<int>, d double")
+    assert joins.estimated_bytes(rows) == 2 * (joins.ROW_BYTES + 16) + 2 + len('{"c":[1,2]}') + len("{}")
+    assert joins.estimated_bytes(rows.limit(0)) == 0
+
+
+def test_near_pairs_of_one_full_key(spark):
+    """65,536 hashes that agree in 48 bits: each meets its neighbours, not all others."""
+    same = spark.range(1 << 16).selectExpr("id AS fid", "(id << 16) | 7 AS hash", "1L AS samelen")
+    pairs = neardup.near_pairs(same, 1)
+    assert pairs.count() == (1 << 16) * 16 // 2
+    few = neardup.near_pairs(same.where("fid < 4096"), 2)
+    assert few.groupBy("distance").count().orderBy("distance").collect() == [(1, 4096 * 6), (2, 4096 * 33)]
+
+
 def test_no_pairing_by_nested_loop(spark):
     same = spark.range(10).selectExpr("id AS fid", "id AS hash", "1L AS samelen")
     junk = spark.range(5).selectExpr("id AS value")
