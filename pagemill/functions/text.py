@@ -132,12 +132,3 @@ def drop_tagged(pairs: Column, classes: str) -> Column:
 
 def join_words(ws: Column, sep: str = " ") -> Column:
     return F.array_join(ws, sep)
-
-
-def contains_any(c: Column, needles: Sequence[str]) -> Column:
-    """Whether the text contains one of the given strings."""
-    if not needles:
-        return F.lit(False)
-    return F.coalesce(F.exists(F.lit(list(needles)), lambda n: F.contains(c, n)), F.lit(False))
-
-

@@ -13,6 +13,7 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from pagemill.functions.bloom import bloom_filter
 from pagemill.sources.scratch import materialize
 
 # Estimated bytes up to which a list is broadcast, and what a row takes besides its values.
@@ -50,9 +51,25 @@ def sized(df: DataFrame, max_bytes: int | None = None) -> DataFrame:
     return F.broadcast(stored) if fits(stored, max_bytes) else stored.hint("merge")
 
 
+def join_listed(df: DataFrame, keys: DataFrame, on: str, how: str = "inner", max_bytes: int | None = None) -> DataFrame:
+    """``df`` joined with a list. A small list is broadcast. Of a larger one, a Bloom filter is,
+    which has bounded size: rows of ``df`` that it tells are not listed stay where they are,
+    and only the others are shuffled and merged. ``df`` is then read twice for a left_anti
+    join, once for each kind of row."""
+    stored = materialize(keys)
+    if fits(stored, max_bytes):
+        return df.join(F.broadcast(stored), on, how)
+    merged = stored.hint("merge")
+    if df.schema[on].dataType != stored.schema[on].dataType:
+        return df.join(merged, on, how)
+    listed = bloom_filter(stored.select(on)).might_hold(df, on)
+    found = df.where(listed).join(merged, on, how)
+    return df.where(~listed).unionByName(found) if how == "left_anti" else found
+
+
 def keep_listed(df: DataFrame, keys: DataFrame, on: str, max_bytes: int | None = None) -> DataFrame:
-    return df.join(sized(keys, max_bytes), on, "left_semi")
+    return join_listed(df, keys, on, "left_semi", max_bytes)
 
 
 def drop_listed(df: DataFrame, keys: DataFrame, on: str, max_bytes: int | None = None) -> DataFrame:
-    return df.join(sized(keys, max_bytes), on, "left_anti")
+    return join_listed(df, keys, on, "left_anti", max_bytes)

@@ -15,6 +15,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import BooleanType
 
 from pagemill.constants import MEMBER_PART, NEAR_BITS, SHORT_HASH
 from pagemill.functions.hashing import (
@@ -27,8 +29,9 @@ from pagemill.functions.hashing import (
     simhash,
     within,
 )
-from pagemill.functions.text import contains_any, site_of, squash
-from pagemill.operators.joins import drop_listed, fits, keep_listed, sized
+from pagemill.functions.automaton import automaton
+from pagemill.functions.text import site_of, squash
+from pagemill.operators.joins import drop_listed, estimated_bytes, join_listed, keep_listed, sized
 from pagemill.operators.ordering import ranked
 from pagemill.schemas import DISTANCE, MEMBERS, SAME, conform
 from pagemill.sources.scratch import materialize
@@ -37,8 +40,8 @@ from pagemill.sources.scratch import materialize
 FOLD_ROWS = 64
 # Estimated bytes of the neighbours of listed hashes up to which they are broadcast.
 BROADCAST_BYTES = 64 << 20
-# Listed substrings up to this number are tested row by row.
-INLINE_URLS = 1_000
+# Estimated bytes of listed substrings in one automaton, which takes about ten times as much.
+LISTED_BYTES = 16 << 20
 # Documents of one hash from which on it is looked up in place.
 HOT_ROWS = 1_000_000
 
@@ -325,9 +328,7 @@ def hash_ball(listed: DataFrame, k: int = NEAR_BITS) -> DataFrame:
 
 
 def _match(df: DataFrame, listed: DataFrame, k: int, how: str) -> DataFrame:
-    near = hash_ball(listed, k)
-    side = F.broadcast(near) if fits(near, BROADCAST_BYTES) else near.hint("merge")
-    return df.join(side, "hash", how).select(*df.columns)
+    return join_listed(df, hash_ball(listed, k), "hash", how, BROADCAST_BYTES).select(*df.columns)
 
 
 def match_hashes(df: DataFrame, listed: DataFrame, k: int = NEAR_BITS) -> DataFrame:
@@ -340,32 +341,37 @@ def drop_hashes(df: DataFrame, listed: DataFrame, k: int = NEAR_BITS) -> DataFra
     return _match(df, listed, k, "left_anti")
 
 
-def _sites_containing(df: DataFrame, urls: DataFrame) -> DataFrame:
-    """Distinct furl values that contain a listed string, found by equality on
-    their substrings of the listed lengths."""
-    # One value per distinct length, so no more than the longest listed string is long.
-    lengths = [r[0] for r in urls.select(F.length("piece")).distinct().collect()]
-    site = F.col("furl")
+def _contains_listed(df: DataFrame, col: str, pieces: DataFrame) -> Column:
+    """Whether the text of a row contains one of the strings of ``pieces``, which is small. Each
+    distinct text of a batch is read once; a null one contains nothing."""
+    listed = [r[0].encode() for r in pieces.collect()]
+    shipped = df.sparkSession.sparkContext.broadcast(automaton(listed))
 
-    def cuts(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.length(site) - n + 1)
-        pieces = F.transform(starts, lambda i: F.substring(site, i, F.lit(n)))
-        return F.when(F.length(site) >= n, pieces).otherwise(F.array().cast("array<string>"))
+    @arrow_udf(BooleanType())
+    def run(texts: pa.Array) -> pa.Array:
+        coded = texts.dictionary_encode()
+        return pa.array(shipped.value.contained(coded.dictionary)).take(coded.indices)
 
-    pieces = df.select("furl").distinct().select(
-        "furl", F.explode(F.array_distinct(F.concat(*(cuts(n) for n in lengths)))).alias("piece")
-    )
-    return pieces.join(urls, "piece", "left_semi").select("furl").distinct()
+    return run(F.coalesce(col, F.lit("")))
+
+
+def drop_urls(df: DataFrame, listed: DataFrame, max_bytes: int = LISTED_BYTES) -> DataFrame:
+    """Rows whose furl contains none of the listed strings, found by an automaton of all of
+    them that reads a furl once. A list of more than ``max_bytes`` is dealt out to several
+    automata, and the distinct furl values pass them one after another."""
+    urls = materialize(listed.toDF("piece").where(F.length("piece") > 0).distinct())
+    parts = -(-estimated_bytes(urls) // max_bytes)
+    if parts <= 1:
+        return df.where(~_contains_listed(df, "furl", urls))
+    dealt = urls.withColumn("part", F.pmod(F.xxhash64("piece"), F.lit(parts)))
+    sites = materialize(df.select("furl").distinct())
 
+    def hit(part: int) -> DataFrame:
+        own = dealt.where(F.col("part") == part).select("piece")
+        return materialize(sites.where(_contains_listed(sites, "furl", own)))
 
-def drop_urls(df: DataFrame, listed: DataFrame, inline_urls: int = INLINE_URLS) -> DataFrame:
-    """Rows whose furl contains none of the listed strings."""
-    urls = listed.toDF("piece").where(F.length("piece") > 0).distinct()
-    head = urls.limit(inline_urls + 1).collect()
-    if len(head) <= inline_urls:
-        return df.where(~contains_any(F.col("furl"), [r.piece for r in head]))
-    sites = materialize(_sites_containing(df, urls))
-    return drop_listed(df, sites, "furl").select(*df.columns)
+    hits = reduce(DataFrame.unionByName, [hit(part) for part in range(parts)])
+    return drop_listed(df, hits.distinct(), "furl").select(*df.columns)
 
 
 def drop_short(df: DataFrame) -> DataFrame:
@@ -373,14 +379,14 @@ def drop_short(df: DataFrame) -> DataFrame:
     return df.where(~F.col("hash").eqNullSafe(F.lit(SHORT_HASH)))
 
 
-def drop_titles(df: DataFrame, listed: DataFrame) -> DataFrame:
+def drop_titles(df: DataFrame, listed: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """Rows whose title is not listed."""
-    return drop_listed(df, listed.toDF("ftitle"), "ftitle").select(*df.columns)
+    return drop_listed(df, listed.toDF("ftitle"), "ftitle", max_bytes).select(*df.columns)
 
 
-def keep_ids(df: DataFrame, listed: DataFrame) -> DataFrame:
+def keep_ids(df: DataFrame, listed: DataFrame, max_bytes: int | None = None) -> DataFrame:
     """Rows whose fid is listed."""
-    return keep_listed(df, listed.toDF("fid"), "fid").select(*df.columns)
+    return keep_listed(df, listed.toDF("fid"), "fid", max_bytes).select(*df.columns)
 
 
 def discard(
@@ -395,15 +401,20 @@ def discard(
 
 
 def dup_report(
-    clusters: DataFrame, pages: DataFrame, threshold: int, topics: DataFrame | None = None
+    clusters: DataFrame,
+    pages: DataFrame,
+    threshold: int,
+    topics: DataFrame | None = None,
+    max_bytes: int | None = None,
 ) -> DataFrame:
     """Clusters of at least ``threshold`` documents with the page fields of their
     representative; with topics, also the topic, and the text fields condensed."""
     large = clusters.where(F.col("samelen") >= threshold).select("fid", "hash", "samelen")
     if topics is not None:
         large = large.join(topics.select("fid", "cat", "prob"), "fid")
-    # The narrow list first; the pages' texts are shuffled only if it is too long to ship.
-    report = pages.select("fid", "furl", "ftitle", "fkeywords", "fcontent").join(sized(large), "fid")
+    # The narrow list first; of a list too long to ship, texts of listed pages are shuffled.
+    wide = pages.select("fid", "furl", "ftitle", "fkeywords", "fcontent")
+    report = join_listed(wide, large, "fid", max_bytes=max_bytes)
     if topics is None:
         return report.select("fid", "hash", "samelen", "furl", "ftitle", "fkeywords", "fcontent")
     return report.select(

@@ -33,7 +33,7 @@ from pagemill.functions.text import (
     strip_tags,
     words,
 )
-from pagemill.operators.joins import fits, sized
+from pagemill.operators.joins import fits, keep_listed, sized
 from pagemill.operators.taxonomy import (
     Taxonomy,
     allowed_label,
@@ -138,7 +138,7 @@ def prepare_articles(articles: DataFrame, reads: DataFrame, mode: str = "letters
     def cut(c: Column) -> Column:
         return join_words(words(strip_tags(c), mode))
 
-    return unnamed.join(read, "fid", "left_semi").select(
+    return keep_listed(unnamed, read, "fid").select(
         "fid",
         cut(F.col("ftitle")).alias("title_words"),
         cut(decode_b64(F.col("fcontent"))).alias("content_words"),

@@ -380,7 +380,7 @@ def editor_topics(articles: DataFrame, reads: DataFrame) -> DataFrame:
     """Topics set by editors, for the articles read."""
     named = articles.where(nonblank_sql(F.col("fcategory")))
     read = reads.select("fid").distinct()
-    return conform(named.join(read, "fid", "left_semi"), EDITOR_TOPICS)
+    return conform(keep_listed(named, read, "fid"), EDITOR_TOPICS)
 
 
 def article_topics(editor: DataFrame, predictions: DataFrame | None = None) -> DataFrame:

@@ -415,4 +415,6 @@ def oracle_sql() -> dict[str, str]:
     sql["job_training_data"] = sql["label_counts"]
     sql["job_user_topics"] = sql["user_topic_counts"]
     sql["url_drop_joined"] = sql["url_drop"]
+    sql["title_drop_long_list"] = sql["title_drop"]
+    sql["dup_report_long_list"] = sql["dup_report"]
     return sql

@@ -308,7 +308,7 @@ def url_drop(v: StandIns) -> DataFrame:
 @_query
 def url_drop_joined(v: StandIns) -> DataFrame:
     sites = v.pages().select("fid", tx.site_of(F.col("furl")).alias("furl"))
-    return neardup.drop_urls(sites, v.junk_urls(), inline_urls=0)
+    return neardup.drop_urls(sites, v.junk_urls(), max_bytes=50)
 
 
 @_query
@@ -321,6 +321,12 @@ def title_drop(v: StandIns) -> DataFrame:
     return neardup.drop_titles(v.pages().select("fid", "ftitle"), v.junk_titles())
 
 
+@_query
+def title_drop_long_list(v: StandIns) -> DataFrame:
+    """With a list that is not broadcast but tested by a Bloom filter and merged."""
+    return neardup.drop_titles(v.pages().select("fid", "ftitle"), v.junk_titles(), max_bytes=0)
+
+
 @_query
 def discard(v: StandIns) -> DataFrame:
     keyed = materialize(textprep.prepare_pages(v.documents(), r"\p{L}"))
@@ -340,6 +346,12 @@ def dup_report(v: StandIns) -> DataFrame:
     return neardup.dup_report(neardup.same_hash(v.hashes()), v.documents(), 2)
 
 
+@_query
+def dup_report_long_list(v: StandIns) -> DataFrame:
+    """With a list that is not broadcast but tested by a Bloom filter and merged."""
+    return neardup.dup_report(neardup.same_hash(v.hashes()), v.documents(), 2, max_bytes=0)
+
+
 @_query
 def dup_report_topics(v: StandIns) -> DataFrame:
     labels = v.table("labels").select(

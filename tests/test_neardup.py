@@ -135,12 +135,12 @@ def test_listed_hashes_equal_a_loop_over_the_list(spark, monkeypatch, k, broadca
     assert {r.fid for r in kept.collect()} == {r[0] for r in rows} - near and kept.columns == df.columns
 
 
-@pytest.mark.parametrize("inline_urls", [1000, 0])
-def test_drop_urls(spark, inline_urls):
+@pytest.mark.parametrize("max_bytes", [1 << 20, 40])
+def test_drop_urls(spark, max_bytes):
     urls = [None, "", "http://a.example.net", "http://b.org", "net", "http://annex"]
     df = spark.createDataFrame(list(enumerate(urls)), "fid bigint, furl string")
     junk = spark.createDataFrame([("example.net",), ("nne",), ("",)], "value string")
-    kept = neardup.drop_urls(df, junk, inline_urls)
+    kept = neardup.drop_urls(df, junk, max_bytes)
     assert sorted(r.fid for r in kept.collect()) == [0, 1, 3, 4]
 
 

@@ -65,10 +65,3 @@ def test_min_word_len_and_drop_listed(column):
 def test_tagged_words_tolerate_a_missing_class(column):
     values = ["a/n,b/w", "a", "", "x/wj,y/v"]
     assert column(lambda c: tx.drop_tagged(tx.parse_tagged(c), "w"), values) == [["a"], ["a"], [""], ["y"]]
-
-
-def test_contains_any(column):
-    assert column(lambda c: tx.contains_any(c, ["net", "a.b"]), [None, "x.net", "axb", "a.bc"]) == [
-        False, True, False, True,
-    ]
-    assert column(lambda c: tx.contains_any(c, []), ["x"]) == [False]
