@@ -16,7 +16,6 @@ from pagemill.constants import (
 )
 from pagemill.functions.text import trim_blanks
 from pagemill.operators.joins import sized
-from pagemill.sources.scratch import materialize
 
 
 @dataclass(frozen=True)
@@ -35,10 +34,7 @@ def lower_taxonomy(mapping: DataFrame, labels: DataFrame) -> Taxonomy:
     and keep one row per source value, so that mapping never multiplies rows."""
     lower = mapping.select("kind", F.lower("src").alias("src"), F.lower("dst").alias("dst"))
     unique = lower.groupBy("kind", "src").agg(F.max("dst").alias("dst"))
-    return Taxonomy(
-        sized(materialize(unique)),
-        sized(materialize(labels.select(F.lower("label").alias("label")).distinct())),
-    )
+    return Taxonomy(sized(unique), sized(labels.select(F.lower("label").alias("label")).distinct()))
 
 
 def read_taxonomy(spark: SparkSession, mapping_path: str, labels_path: str) -> Taxonomy:

@@ -16,6 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
+from pyspark.sql.types import ArrayType, LongType, StringType, StructField, StructType
 
 from pagemill.constants import (
     ALL_MODEL,
@@ -27,10 +28,15 @@ from pagemill.constants import (
     UNKNOWN,
 )
 from pagemill.functions.text import VISIBLE, nonblank_sql
-from pagemill.operators.joins import fits, keep_listed, sized
+from pagemill.operators.joins import estimated_bytes, fits, keep_listed, sized
 from pagemill.schemas import EDITOR_TOPICS, FID_CAT, PREDICTION, conform
 from pagemill.sources.scratch import materialize
 
+# Estimated bytes of weights that a task holds at once, and words of documents that it adds up.
+BLOCK_BYTES = 32 << 20
+BLOCK_CELLS = 8_000_000
+
+
 @dataclass(frozen=True)
 class TopicModels:
     """Naive Bayes models by name.
@@ -231,29 +237,116 @@ def _score_in_row(docs: DataFrame, models: TopicModels) -> DataFrame:
     ).drop("_said")
 
 
-def _score_joined(docs: DataFrame, models: TopicModels) -> DataFrame:
-    """As ``_score_in_row``, for models too large to ship. Rows are numbered in storage
-    and only their words are shuffled, with that number."""
-    placed = materialize(docs.withColumn("_row", F.monotonically_increasing_id()))
-    tokens = placed.select("_row", "model", F.explode(F.split("words", " ")).alias("word"))
-    weights = models.weights.select(
-        F.col("model").alias("own"), F.col("word").alias("known_word"), "scores"
+@arrow_udf(ArrayType(StructType([StructField("word", StringType()), StructField("n", LongType())])))
+def _word_vector(texts: pa.Array) -> pa.Array:
+    """Each text's distinct words and how often it has them."""
+    lists = pc.split_pattern(texts, " ")
+    coded = lists.flatten().dictionary_encode()
+    size = max(len(coded.dictionary), 1)
+    owner = np.repeat(np.arange(len(texts)), np.diff(lists.offsets.to_numpy()))
+    cells, counts = np.unique(owner * size + coded.indices.to_numpy(), return_counts=True)
+    bounds = np.searchsorted(cells, np.arange(len(texts) + 1) * size)
+    entries = pa.StructArray.from_arrays(
+        [coded.dictionary.take(pa.array(cells % size)), pa.array(counts)], names=["word", "n"]
     )
-    same = (F.col("model") == F.col("own")) & (F.col("word") == F.col("known_word"))
-    per_doc = (
-        tokens.where("word != ''")
-        .join(weights.hint("merge"), same)
-        .groupBy("_row", "own")
-        .agg(
-            F.count(F.lit(1)).alias("known"),
-            *(F.sum(F.get("scores", F.lit(i))).alias(f"s{i}") for i in range(models.width)),
-        )
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), entries)
+
+
+def _runs(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """Slices of equal values of ``column`` in a row."""
+    values = batch.column(column).to_numpy()
+    bounds = [0, *(np.flatnonzero(values[1:] != values[:-1]) + 1).tolist(), len(values)]
+    for at, stop in zip(bounds, bounds[1:]):
+        if stop > at:
+            yield batch.slice(at, stop - at)
+
+
+def _block_sums(width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Partial sums (row, model, known, sums) from the cells of blocks, each block's weights before its
+    documents' words. Only one block's weights are held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, terms, scores = None, [], []
+        for batch in batches:
+            for cells in _runs(batch, "place"):
+                place = cells.column("place")[0].as_py()
+                if place >> 1 != block:
+                    block, terms, scores = place >> 1, [], []
+                if not place & 1:
+                    lists = cells.column("scores")
+                    sizes = np.diff(lists.offsets.to_numpy())
+                    matrix = np.zeros((len(sizes), width))
+                    matrix[np.repeat(np.arange(len(sizes)), sizes), _positions(sizes)] = lists.flatten().to_numpy()
+                    terms.append(cells.column("term"))
+                    scores.append(matrix)
+                elif terms:
+                    if len(terms) > 1:
+                        terms, scores = [pa.concat_arrays(terms)], [np.concatenate(scores)]
+                    found = pc.index_in(cells.column("term"), value_set=terms[0])
+                    known = found.is_valid().to_numpy(zero_copy_only=False)
+                    if not known.any():
+                        continue
+                    at = found.drop_null().to_numpy()
+                    n = cells.column("n").to_numpy()[known]
+                    rows, first, row = np.unique(cells.column("row").to_numpy()[known], return_index=True, return_inverse=True)
+                    sums = np.stack([np.bincount(row, scores[0][at, k] * n, len(rows)) for k in range(width)], axis=1)
+                    model = cells.column("model").take(pa.array(np.flatnonzero(known)[first]))
+                    ends = pa.array(np.arange(len(rows) + 1) * width, pa.int32())
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.array(rows),
+                            model,
+                            pa.array(np.bincount(row, n, len(rows)).astype(np.int64)),
+                            pa.ListArray.from_arrays(ends, pa.array(sums.ravel())),
+                        ],
+                        ["row", "own", "known", "sums"],
+                    )
+
+    return run
+
+
+def _positions(sizes: np.ndarray) -> np.ndarray:
+    """0, 1, ... within each list of the given sizes."""
+    return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+
+
+def _score_joined(docs: DataFrame, models: TopicModels) -> DataFrame:
+    """As ``_score_in_row``, for models too large to ship: a sparse product, block by block.
+
+    Rows are numbered in storage and each sends its distinct words, with their counts. Weights
+    are cut into blocks of words that a task can hold; a block with many words of documents
+    is dealt to several tasks, and its weights to each of them. A task adds up what a block
+    gives for a row, so that one row of sums a block is shuffled again.
+    """
+    vector = _word_vector(F.coalesce("words", F.lit("")))
+    counted = docs.withColumns({"_row": F.monotonically_increasing_id(), "_counts": vector})
+    placed = materialize(counted)
+    blocks = max(1, -(-estimated_bytes(models.weights) // BLOCK_BYTES))
+    cells = placed.agg(F.sum(F.size("_counts"))).first()[0] or 0
+    shares = max(1, -(-cells // (blocks * BLOCK_CELLS)))
+
+    def at(share: Column, is_word: int) -> Column:
+        block = F.pmod(F.xxhash64("term"), F.lit(blocks))
+        return ((block * shares + share) * 2 + is_word).cast("bigint").alias("place")
+
+    term = F.concat_ws("\x01", "model", "word").alias("term")
+    words = placed.select(F.col("_row").alias("row"), "model", F.inline("_counts")).where("word != ''")
+    share = F.pmod(F.xxhash64("row"), F.lit(shares))
+    words = words.select("row", "model", term, "n").select("*", at(share, 1))
+    weights = models.weights.select(term, "scores", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))).alias("share"))
+    weights = weights.select("term", "scores", at(F.col("share"), 0))
+    both = words.unionByName(weights, allowMissingColumns=True)
+    # Cells of a block meet in one task, its weights first, then word by word in the order of rows.
+    dealt = both.repartition(F.expr("place div 2")).sortWithinPartitions("place", "row")
+    sums = dealt.mapInArrow(_block_sums(models.width), "row bigint, own string, known bigint, sums array<double>")
+    per_doc = sums.groupBy("row", "own").agg(
+        F.sum("known").alias("known"), *(F.sum(F.get("sums", F.lit(i))).alias(f"s{i}") for i in range(models.width))
     )
-    sums = F.array(*(F.col(f"s{i}") for i in range(models.width))).cast("array<double>")
+    total = F.array(*(F.col(f"s{i}") for i in range(models.width))).cast("array<double>")
     best = per_doc.join(models.labels.withColumnRenamed("model", "own"), "own").select(
-        "_row", F.inline(F.array(_posterior(F.col("known"), sums, F.col("labels"))))
+        F.col("row").alias("_row"), F.inline(F.array(_posterior(F.col("known"), total, F.col("labels"))))
     )
-    return placed.join(best, "_row", "left").drop("_row")
+    return placed.join(best, "_row", "left").drop("_row", "_counts")
 
 
 def classify_by(docs: DataFrame, models: "Classifier") -> DataFrame:

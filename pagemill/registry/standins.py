@@ -1,5 +1,7 @@
 """The shared test tables in the shapes the jobs read (see FIXTURES.md)."""
 
+from functools import cache
+
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -110,6 +112,7 @@ class StandIns:
         word, cls = map(list, zip(*LEXICON))
         return self.inline(word=word, cls=cls)
 
+    @cache
     def taxonomy(self) -> Taxonomy:
         kind, src, dst = map(list, zip(*MAPPING))
         return lower_taxonomy(self.inline(kind=kind, src=src, dst=dst), self.inline(label=LABELS))

@@ -70,6 +70,23 @@ def test_parent_topics_equal_plain_bayes(spark, models, max_bytes):
         assert got[fid] == (text, wanted[0], pytest.approx(wanted[1], abs=1e-9))
 
 
+@pytest.mark.parametrize("block_bytes,block_cells", [(1, 10), (200, 1 << 20), (1 << 20, 3)])
+def test_blocks_of_weights_and_words_change_nothing(spark, models, monkeypatch, block_bytes, block_cells):
+    monkeypatch.setattr(topics, "BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(topics, "BLOCK_CELLS", block_cells)
+    large = topics.topic_models(models.weights, models.labels, 0)
+    vocabulary = [r.word for r in models.weights.select("word").distinct().collect()]
+    names = [r.model for r in models.labels.collect()]
+    texts = [" ".join(vocabulary[(i * k) % len(vocabulary)] for k in range(i % 9)) + "  odd " for i in range(60)]
+    rows = [(i, t, names[i % len(names)]) for i, t in enumerate([*texts, None, "", "x x x"])] + [(0, texts[3], "no such")]
+    docs = spark.createDataFrame(rows, "fid long, words string, model string").repartition(3)
+
+    def scored(used):
+        return sorted((r.fid, r.model, r.cat, round(r.prob, 9)) for r in topics.classify_by(docs, used).collect())
+
+    assert scored(large) == scored(models)
+
+
 def test_children_are_scored_by_their_parents_model(spark, models):
     parents = spark.createDataFrame(
         [(1, "goal", "sport"), (2, "club hole", "sport"), (3, "vote", "news"), (4, "vote", "sport"), (5, "", "sport")],
