@@ -1,8 +1,13 @@
 """Day-partitioned tables, list files and text exports."""
 
+import json
+import time
+import uuid
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
@@ -12,6 +17,62 @@ from pagemill.operators.joins import keep_listed
 
 DAY = "stat_date"
 CATEGORY_PART = "cat_part"
+# What a write publishes: the version of a day, or of one of its categories, and its columns.
+_COMMIT = f"{DAY} int, version string, category string, fields string"
+
+
+def _commits(spark: SparkSession, path: str) -> DataFrame | None:
+    """What was published at ``path``, or None if nothing was written there by ``write_day``."""
+    try:
+        return spark.read.schema(_COMMIT).parquet(_commit_path(path))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _commit_path(path: str) -> str:
+    return f"{path.rstrip('/')}.commits"
+
+
+def _published(
+    spark: SparkSession, path: str, stat_date: int, schema: StructType | None
+) -> tuple[DataFrame, list[str]] | None:
+    """The day as last published, with its partition columns, and the names of the columns written;
+    None where days are plain folders. A category that was replaced alone comes from its own
+    version, the rest from that of the day."""
+    commits = _commits(spark, path)
+    if commits is None:
+        return None
+    last = commits.where(F.col(DAY) == stat_date).groupBy("category").agg(F.max(F.struct("version", "fields")).alias("v"))
+    rows = {r.category: r.v for r in last.collect()}
+    parts = [StructField(DAY, IntegerType()), StructField(CATEGORY_PART, StringType())]
+
+    def columns(fields: str) -> list[StructField]:
+        return [f for f in schema or StructType.fromJson(json.loads(fields)) if f.name != CATEGORY_PART]
+
+    if not rows:
+        written = commits.select("fields").first()[0]
+        return spark.createDataFrame([], StructType([*columns(written), *parts])), _names(written)
+    whole = rows.pop(None, None)
+    newer = {c: v for c, v in rows.items() if whole is None or v.version > whole.version}
+
+    def version(v: Row) -> DataFrame:
+        root = f"{path.rstrip('/')}/version={v.version}"
+        reader = spark.read.option("basePath", root).schema(StructType([*columns(v.fields), *parts]))
+        return reader.parquet(f"{root}/{DAY}={stat_date}")
+
+    found = []
+    if whole is not None:
+        day = version(whole)
+        found.append(day.where(~F.coalesce(F.col(CATEGORY_PART).isin(*newer), F.lit(False))) if newer else day)
+    for v in sorted(set(newer.values())):
+        found.append(version(v).where(F.col(CATEGORY_PART).isin(*(c for c in newer if newer[c] == v))))
+    return reduce(DataFrame.unionByName, found), _names((whole or next(iter(newer.values()))).fields)
+
+
+def _names(fields: str) -> list[str]:
+    return StructType.fromJson(json.loads(fields)).names
 
 
 def read_day(
@@ -24,18 +85,25 @@ def read_day(
 ) -> DataFrame:
     """One day of a table; the day prunes partitions, ``where`` is pushed down.
 
-    With a schema, a day stored without rows reads as empty, and the category
-    partition stays text even if its values look like numbers.
+    A table that ``write_day`` made is read as last published. With a schema, a day stored
+    without rows reads as empty, and the category partition stays text even if its
+    values look like numbers.
     """
-    reader = spark.read
-    if schema is not None:
-        parts = [StructField(DAY, IntegerType()), StructField(CATEGORY_PART, StringType())]
-        reader = reader.schema(StructType([*schema.fields, *parts]))
-        cols = cols or schema.names
-    day = reader.parquet(path).where(F.col(DAY) == stat_date)
+    published = _published(spark, path, stat_date, schema)
+    if published is not None:
+        day, written = published
+        cols = cols or (schema.names if schema is not None else written)
+        kept = day.where(F.col(DAY) == stat_date)
+    else:
+        reader = spark.read
+        if schema is not None:
+            parts = [StructField(DAY, IntegerType()), StructField(CATEGORY_PART, StringType())]
+            reader = reader.schema(StructType([*schema.fields, *parts]))
+            cols = cols or schema.names
+        kept = reader.parquet(path).where(F.col(DAY) == stat_date)
     if where is not None:
-        day = day.where(where)
-    return day.select(*cols) if cols else day.drop(DAY)
+        kept = kept.where(where)
+    return kept.select(*cols) if cols else kept.drop(DAY)
 
 
 def read_table(spark: SparkSession, path: str, cols: Sequence[str] | None = None) -> DataFrame:
@@ -49,16 +117,43 @@ def write_day(
 ) -> None:
     """Replace one day; without ``whole_day``, only the categories ``df`` holds.
 
+    Rows go to a folder of a new version, which nobody reads before it is complete. Then one
+    small file, put beside the table, publishes it. A write that fails leaves the day
+    as it was, and whoever reads an older version goes on reading it; ``superseded``
+    lists the folders that may be removed once they are done.
+
     With ``by``, rows are gathered per category before the write so that each
     task does not open a file in every category; rebalancing splits a category
     that is too big for one task.
     """
-    write = df.write
-    if by is not None:
+    spark = df.sparkSession
+    version = f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    folder = f"{path.rstrip('/')}/version={version}/{DAY}={stat_date}"
+    categories, fields = [None], df.schema
+    if by is None:
+        df.write.parquet(folder)
+    else:
         split = df.withColumn(CATEGORY_PART, F.col(by)).hint("rebalance", CATEGORY_PART)
-        mode = "static" if whole_day else "dynamic"
-        write = split.write.partitionBy(CATEGORY_PART).option("partitionOverwriteMode", mode)
-    write.mode("overwrite").parquet(f"{path.rstrip('/')}/{DAY}={stat_date}")
+        split.write.partitionBy(CATEGORY_PART).parquet(folder)
+        fields = StructType([*df.schema, StructField(CATEGORY_PART, StringType())])
+        if not whole_day:
+            written = spark.read.schema(fields).parquet(folder).select(CATEGORY_PART).distinct()
+            categories = [r[0] for r in written.collect()]
+    commit = [(stat_date, version, c, fields.json()) for c in categories]
+    spark.createDataFrame(commit, _COMMIT).coalesce(1).write.mode("append").parquet(_commit_path(path))
+
+
+def superseded(spark: SparkSession, path: str) -> DataFrame:
+    """(folder) of versions of which nothing is read any more."""
+    commits = _commits(spark, path)
+    if commits is None:
+        return spark.createDataFrame([], "folder string")
+    whole = commits.where("category IS NULL").groupBy(DAY).agg(F.max("version").alias("whole"))
+    newest = commits.groupBy(DAY, "category").agg(F.max("version").alias("version"))
+    current = newest.join(whole, DAY, "left").where("whole IS NULL OR version >= whole").select(DAY, "version")
+    old = commits.select(DAY, "version").distinct().join(current, [DAY, "version"], "left_anti")
+    root = f"{path.rstrip('/')}/version="
+    return old.select(F.concat(F.lit(root), "version", F.lit(f"/{DAY}="), DAY).alias("folder"))
 
 
 def clean_list(lines: DataFrame, as_long: bool = False) -> DataFrame:

@@ -26,6 +26,58 @@ def test_a_day_without_rows_replaces_the_old_one(spark, tmp_path):
         assert tables.read_day(spark, path, 20240101, schema=SEG).count() == 0
 
 
+@pytest.mark.parametrize("by", [None, "words"])
+def test_a_write_that_fails_midway_leaves_the_day_as_it_was(spark, tmp_path, by):
+    path = str(tmp_path / "w")
+    tables.write_day(spark.createDataFrame([(1, "x"), (2, "y")], "fid bigint, words string"), path, 20240101, by)
+    before = sorted(map(tuple, tables.read_day(spark, path, 20240101, ["fid", "words"] if not by else ["fid"]).collect()))
+    failing = spark.range(100, numPartitions=4).selectExpr(
+        "id AS fid", "IF(id = 99, raise_error('stopped'), concat('w', id % 3)) AS words"
+    )
+    with pytest.raises(Exception, match="stopped"):
+        tables.write_day(failing, path, 20240101, by)
+    again = tables.read_day(spark, path, 20240101, ["fid", "words"] if not by else ["fid"])
+    assert sorted(map(tuple, again.collect())) == before
+    assert tables.superseded(spark, path).collect() == []
+
+
+def test_readers_see_one_version(spark, tmp_path):
+    """Who read a day before it was replaced goes on reading what was there."""
+    path = str(tmp_path / "v")
+    for turn in range(3):
+        tables.write_day(spark.range(10).selectExpr("id AS fid", f"'{turn}' AS words"), path, 20240101)
+        if turn == 0:
+            early = tables.read_day(spark, path, 20240101)
+    assert {r.words for r in early.collect()} == {"0"} and early.count() == 10
+    assert {r.words for r in tables.read_day(spark, path, 20240101).collect()} == {"2"}
+    old = [r.folder for r in tables.superseded(spark, path).collect()]
+    assert len(old) == 2 and all(spark.read.parquet(f).count() == 10 for f in old)
+    assert tables.read_day(spark, path, 20240109).collect() == []
+
+
+def test_days_in_plain_folders_are_read_too(spark, tmp_path):
+    path = str(tmp_path / "p")
+    spark.range(4).selectExpr("id AS fid", "20240101 + id % 2 AS stat_date").write.partitionBy("stat_date").parquet(path)
+    assert sorted(r.fid for r in tables.read_day(spark, path, 20240102).collect()) == [1, 3]
+
+
+def test_single_categories_and_then_the_day_again(spark, tmp_path):
+    path = str(tmp_path / "r")
+    rows = spark.createDataFrame([(1, "a"), (2, "b"), (3, None)], "fid bigint, cat string")
+
+    def fids():
+        return sorted(r.fid for r in tables.read_day(spark, path, 20240101, ["fid"]).collect())
+
+    tables.write_day(rows.selectExpr("fid + 10 AS fid", "cat").where("cat = 'a'"), path, 20240101, "cat", False)
+    assert fids() == [11]
+    tables.write_day(rows, path, 20240101, "cat")
+    assert fids() == [1, 2, 3]
+    tables.write_day(rows.selectExpr("fid + 20 AS fid", "cat").where("cat <> 'c'"), path, 20240101, "cat", False)
+    assert fids() == [3, 21, 22]
+    tables.write_day(rows.selectExpr("fid + 30 AS fid", "cat").where("cat = 'b'"), path, 20240101, "cat", False)
+    assert fids() == [3, 21, 32] and tables.superseded(spark, path).count() == 1
+
+
 def test_single_categories_can_be_replaced(spark, tmp_path):
     path = str(tmp_path / "s")
     rows = spark.createDataFrame([(1, "5", "a"), (2, "y", "b")], "fid bigint, words string, cat string")
