@@ -450,12 +450,13 @@ def pick_topic(predictions: DataFrame) -> DataFrame:
     contains the current label or is at least as probable.
 
     Only the best probability of each label matters, because equal labels contain
-    each other. That leaves at most one row per label to collect.
+    each other. That leaves at most one row per label to collect. Probabilities are compared
+    at six decimals, so that the order in which they were summed up decides nothing.
     """
     best = (
         predictions.where(F.col("cat") != UNKNOWN)
         .groupBy("fid", "cat")
-        .agg(F.max("prob").alias("prob"))
+        .agg(F.round(F.max("prob"), 6).alias("prob"))
     )
     ordered = F.array_sort(F.collect_list(F.struct(F.length("cat").alias("len"), "prob", "cat")))
 

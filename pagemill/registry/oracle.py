@@ -282,6 +282,11 @@ def oracle_sql() -> dict[str, str]:
     squash = "regexp_replace(coalesce({}, ''), '[\\n\\r\\t ,]+', '', 'g')"
     urls = " OR ".join(f"contains({{}}, '{u}')" for u in JUNK_URLS)
     site = _SITE.format(c="furl")
+    page_job = f"""WITH {FIT}, dw AS (SELECT fid, {_words('fcontent')} AS ws FROM docs), {_hashes('dh', 'dw')}, {JUNK},
+            jin AS (SELECT fid, array_to_string(ws, ' ') AS words, 'all' AS model FROM docs JOIN dw USING (fid) JOIN dh USING (fid)
+            WHERE length(trim(fcontent)) > 1 AND hash <> -1 AND NOT contains({site}, 'src1.')
+            AND NOT contains({site}, '//src17') AND NOT {_near('dh.hash', 'junk', 1)}), {_score('jp', 'jin')},
+            {_child_input('jcin', 'jp')}, {_score('jc', 'jcin')}"""
     sql = {
         "read_day_pruned": f"WITH {LOG} SELECT imei, article_id, event_name FROM log WHERE stat_date = 20240115",
         "written_day_readback": f"WITH {DOCS} SELECT fid, ftitle, fcontent, lang FROM docs",
@@ -385,11 +390,13 @@ def oracle_sql() -> dict[str, str]:
         "job_near_duplicate_members": f"""WITH {_JOB_HASHES}, {SAME}, {_rounds(1)}, {_edges()}
             SELECT m3.rep AS rep_fid, d.fid FROM dh d JOIN same s USING (hash)
             JOIN m0 ON m0.fid = s.fid JOIN m1 ON m1.fid = m0.rep JOIN m2 ON m2.fid = m1.rep JOIN m3 ON m3.fid = m2.rep {SHORT}""",
-        "job_page_topics": f"""WITH {FIT}, dw AS (SELECT fid, {_words('fcontent')} AS ws FROM docs), {_hashes('dh', 'dw')}, {JUNK},
-            jin AS (SELECT fid, array_to_string(ws, ' ') AS words, 'all' AS model FROM docs JOIN dw USING (fid) JOIN dh USING (fid)
-            WHERE length(trim(fcontent)) > 1 AND hash <> -1 AND NOT contains({site}, 'src1.')
-            AND NOT contains({site}, '//src17') AND NOT {_near('dh.hash', 'junk', 1)}), {_score('jp', 'jin')}
-            SELECT fid, words, cat, prob FROM jp""",
+        "job_page_topics": f"{page_job} SELECT fid, words, cat, prob FROM jp",
+        "job_page_topics_children": f"{page_job} SELECT fid, words, cat, prob FROM jc",
+        "job_page_topics_report": f"""{page_job},
+            same AS (SELECT hash, min(fid) AS fid, count(*)::BIGINT AS samelen FROM dh SEMI JOIN jin USING (fid) GROUP BY hash),
+            {_rounds(1)} SELECT fid, hash, samelen, {site} AS furl, {squash.format('ftitle')} AS ftitle,
+            {squash.format('fkeywords')} AS fkeywords, {squash.format('fcontent')} AS fcontent, cat, prob
+            FROM r3 JOIN docs USING (fid) JOIN jc USING (fid) WHERE samelen >= 2""",
         "job_tagged_topics": f"""WITH {FIT}, gin AS (SELECT fid, array_to_string(list_filter({_words('fcontent')},
             lambda w: length(w) <= 2 OR left(lang, 1) NOT IN ('e', 'f')), ' ') AS words, 'all' AS model FROM docs),
             {_score('gp', 'gin')} SELECT fid, cat, prob FROM gp""",
@@ -414,6 +421,7 @@ def oracle_sql() -> dict[str, str]:
     sql["job_matching_pages"] = sql["hash_matches"]
     sql["job_training_data"] = sql["label_counts"]
     sql["job_user_topics"] = sql["user_topic_counts"]
+    sql["job_user_topics_full"] = sql["user_topic_counts_all"]
     sql["url_drop_joined"] = sql["url_drop"]
     sql["title_drop_long_list"] = sql["title_drop"]
     sql["dup_report_long_list"] = sql["dup_report"]

@@ -11,6 +11,7 @@ from pagemill.operators import neardup, taxonomy, textprep, topics, userstats
 from pagemill.plans import jobs
 from pagemill.plans.store import Store
 from pagemill.registry.standins import DAY, REST, StandIns
+from pagemill.schemas import PREDICTION
 from pagemill.sources import tables
 from pagemill.sources.scratch import materialize, scratch_path
 
@@ -631,11 +632,36 @@ def job_user_topics(v: StandIns) -> DataFrame:
 
 
 @_query
-def job_page_topics(v: StandIns) -> DataFrame:
-    """Parent topics of the pages that are not junk, as the job stores them."""
+def job_user_topics_full(v: StandIns) -> DataFrame:
+    """With topics predicted from title and content, parent and child, besides the editors' ones."""
+    log, clicks = v.reader_log(), v.click_log()
+    return jobs.user_topics(
+        _store(v), v.articles(), log, clicks, _models(v), DAY, "view", cutting=CUTTING, rest=REST
+    )
+
+
+def _page_topics(v: StandIns) -> tuple[Store, DataFrame]:
     store = _store(v)
     urls = v.inline(value=["src1.", "//src17"])
-    jobs.page_topics(
+    report = jobs.page_topics(
         store, v.documents(), v.lexicon(), _junk_hashes(v), urls, _models(v), DAY, cutting=CUTTING
     )
-    return _rounded(store.read("pcat", DAY))
+    return store, report
+
+
+@_query
+def job_page_topics(v: StandIns) -> DataFrame:
+    """Parent topics of the pages that are not junk, as the job stores them."""
+    return _rounded(_page_topics(v)[0].read("pcat", DAY))
+
+
+@_query
+def job_page_topics_children(v: StandIns) -> DataFrame:
+    """Child topics of those pages, as the job stores them."""
+    return _rounded(_page_topics(v)[0].read("ccat", DAY, PREDICTION))
+
+
+@_query
+def job_page_topics_report(v: StandIns) -> DataFrame:
+    """The report of near copies with their topics that the job ends in."""
+    return _rounded(_page_topics(v)[1])
