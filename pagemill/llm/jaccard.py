@@ -159,17 +159,21 @@ def near_documents(
     ``n_links`` counts the other rows whose set of word five-grams has a Jaccard
     similarity of at least ``threshold``; ``class_id`` is the smallest id reachable by
     links; ``kept`` marks one row of each class (of rows equal in id and text, all).
-    Texts of one to four words have one shingle, the whole text. Null texts and texts
-    without a word, and rows without an id, link with nothing and are kept, named by
-    their own id. Repeated rows are rows like any other. An empty table gives no rows.
+    Texts of one to four words have one shingle, the whole text. Texts of other characters
+    only have no shingles; equal ones link. Null and empty texts, and rows without an id,
+    link with nothing and are kept, named by their own id. Repeated rows are rows like
+    any other. An empty table gives no rows.
     """
     spark = docs.sparkSession
     steps = least_matches(threshold, tolerance, BANDS * BAND_ROWS)
     text = chars.text_or_empty(F.col("text"))
     rows = docs.select("doc_id", text.alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    sketched = rows.select("doc_id", "text_hash", _sketch(spark, ngram, seed)(F.col("text")).alias("s"))
-    sketched = materialize(sketched.select("doc_id", "text_hash", "s.*"))
+    sketched = rows.select("*", _sketch(spark, ngram, seed)(F.col("text")).alias("s"))
+    # What is without a word is told apart by the text itself.
+    plain = F.when((F.col("s.words") == 0) & (F.col("text") != ""), F.sha2("text", 256)).alias("plain")
+    sketched = materialize(sketched.select("doc_id", "text_hash", plain, "s.*"))
     fit = (F.col("words") > 0) & F.col("doc_id").isNotNull()
+    wordless = F.col("plain").isNotNull() & F.col("doc_id").isNotNull()
     first = F.min(F.struct("doc_id", "text_hash", "sig", "bands")).alias("f")
     grouped = sketched.where(fit).groupBy("k1", "k2").agg(first, F.count(F.lit(1)).alias("n"))
     classes = materialize(grouped.select(F.col("k1").alias("node"), "k1", "k2", "n", "f.*"))
@@ -231,10 +235,19 @@ def near_documents(
         "n_links",
         (F.struct("doc_id", "text_hash") == F.col("head")).alias("kept"),
     )
-    alone = sketched.where(~fit).select(
+    head = F.min(F.struct("doc_id", "text_hash")).alias("head")
+    copies = sketched.where(wordless).groupBy("plain").agg((F.count(F.lit(1)) - 1).alias("n_links"), head)
+    plain = sketched.where(wordless).join(copies, "plain").select(
+        "doc_id",
+        "text_hash",
+        F.col("head.doc_id").alias("class_id"),
+        "n_links",
+        (F.struct("doc_id", "text_hash") == F.col("head")).alias("kept"),
+    )
+    alone = sketched.where(~fit & ~wordless).select(
         "doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"), F.lit(True).alias("kept")
     )
-    return linked.unionByName(alone)
+    return linked.unionByName(plain).unionByName(alone)
 
 
 def one_of_each(docs: DataFrame, **options: float) -> DataFrame:

@@ -9,15 +9,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm.chars import text_or_empty
+from pagemill.operators.joins import join_listed
 from pagemill.sources.scratch import materialize
 
-SITES = 10
+# Sites that share a line by more than chance, whatever their number in the corpus.
+SITES = 3
 # A line of so many characters, blanks squeezed, is a passage that sites do not share by chance.
 LONG_CHARS = 150
 # Sketches have 2^12 registers, a standard error of 1.6 %. Estimates within this share
 # of the threshold, and always within two, are counted exactly.
 SKETCH_BITS = 12
 NEAR = 0.1
+SKETCH_PARTS = 8
 
 
 def plain_line(line: Column) -> Column:
@@ -38,18 +41,22 @@ def split_lines(text: Column) -> Column:
 def spread_lines(lines: DataFrame) -> DataFrame:
     """(hash) of the lines that stand on at least ``least`` distinct sites, from rows
     (hash, site, least). A line needs as many occurrences as sites, so only frequent ones
-    get a sketch; a common line is counted and sketched where its rows are."""
+    get sketches: one for each of ``SKETCH_PARTS`` parts of its sites, made where its rows are as
+    far as the list of frequent lines is small, and merged by line in the end."""
     often = lines.groupBy("hash").agg(F.count("site").alias("n"), F.min("least").alias("least"))
     often = often.where(F.col("n") >= F.col("least")).select("hash", "least")
-    common = lines.drop("least").join(often, "hash").where("site IS NOT NULL")
-    sketched = common.groupBy("hash").agg(
-        F.hll_sketch_estimate(F.hll_sketch_agg("site", SKETCH_BITS)).alias("estimate"), F.min("least").alias("least")
+    common = join_listed(lines.drop("least").where("site IS NOT NULL"), often, "hash")
+    part = F.pmod(F.xxhash64("site"), F.lit(SKETCH_PARTS)).alias("part")
+    parts = common.groupBy("hash", part).agg(F.hll_sketch_agg("site", SKETCH_BITS).alias("sketch"), F.min("least").alias("least"))
+    sketched = materialize(
+        parts.groupBy("hash").agg(
+            F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("estimate"), F.min("least").alias("least")
+        )
     )
-    sketched = materialize(sketched)
     off = F.abs(F.col("estimate") - F.col("least"))
     close = off <= F.greatest(F.lit(2.0), NEAR * F.col("least"))
     near = sketched.where(close).select("hash", "least")
-    exact = common.drop("least").join(near, "hash").select("hash", "site", "least").distinct()
+    exact = join_listed(common.drop("least"), near, "hash").select("hash", "site", "least").distinct()
     exact = exact.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("least").alias("least"))
     sure = sketched.where(~close & (F.col("estimate") > F.col("least"))).select("hash")
     return sure.unionByName(exact.where(F.col("n") >= F.col("least")).select("hash"))
@@ -65,8 +72,9 @@ def drop_spread_lines(
 
     The first place of a line, by id, then text hash and position, keeps it, so that
     no content is lost from the whole. Blank lines stay. A null source is no site, and a
-    line that repeats within one source only stands on one site, however often; a null text stays null and has no lines; a null id comes last. Rows equal in id and
-    text are treated alike. An empty table gives no rows.
+    line that repeats within one source only stands on one site, however often; a null text
+    stays null and has no lines; a null id comes last. Rows equal in id and text are treated
+    alike. An empty table gives no rows.
     """
     keyed = docs.withColumn("_key", F.xxhash64(text_or_empty(F.col("text"))))
     site = F.col("source") if site is None else site

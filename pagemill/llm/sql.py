@@ -23,9 +23,11 @@ WITH RECURSIVE ws AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{{L}}\p
     grams AS (SELECT doc_id, list_distinct(list_transform(range(1, greatest(len(w) - {n - 1}, 1) + 1),
         lambda i: array_to_string(w[i:i + {n - 1}], ' '))) AS g FROM ws WHERE len(w) > 0),
     flat AS (SELECT doc_id, len(g) AS size, unnest(g) AS gram FROM grams),
+    plain AS (SELECT doc_id, text FROM documents JOIN ws USING (doc_id) WHERE len(w) = 0 AND text <> ''),
     pairs AS (SELECT x.doc_id AS a, y.doc_id AS b FROM flat x JOIN flat y ON x.gram = y.gram AND x.doc_id <> y.doc_id
         GROUP BY x.doc_id, y.doc_id, x.size, y.size
-        HAVING count(*) >= {jaccard.SIMILARITY} * (x.size + y.size - count(*))),
+        HAVING count(*) >= {jaccard.SIMILARITY} * (x.size + y.size - count(*))
+        UNION ALL SELECT x.doc_id, y.doc_id FROM plain x JOIN plain y ON x.text = y.text AND x.doc_id <> y.doc_id),
     links AS (SELECT a, count(*) AS n FROM pairs GROUP BY a),
     {_components("pairs")}
 SELECT doc_id, coalesce(class, doc_id) AS class_id, coalesce(n, 0)::BIGINT AS n_links,

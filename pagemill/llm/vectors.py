@@ -136,7 +136,8 @@ def near_vectors(
     Rows whose label, id or embedding is null, and embeddings that are zero or hold a
     null or non-finite component, link with nothing and name their own component (null
     for a null id, which is kept). Embeddings of different lengths do not link. Repeated rows
-    are vectors like any other and link with each other. An empty table gives no rows.
+    are vectors like any other and link with each other; so are different vectors, or labels, of
+    one id, each of which has its own links. An empty table gives no rows.
 
     Equal vectors become one class before anything is compared. Verified meetings give
     components; within them all vectors are compared, in blocks, so that ``n_links``
@@ -146,9 +147,11 @@ def near_vectors(
     fit = F.col("label").isNotNull() & F.col("vec_id").isNotNull() & usable(F.col("embedding"))
     rows = rows.withColumn("_fit", fit)
     same = rows.where("_fit").groupBy("label", "embedding").agg(
-        F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("n")
+        F.min("vec_id").alias("first"), F.count(F.lit(1)).alias("n")
     )
-    classes = materialize(same.withColumn("unit", _unit_bytes(F.col("embedding"))))
+    # Classes are numbered in storage: one id may stand for several vectors.
+    numbered = same.withColumns({"node": F.monotonically_increasing_id(), "unit": _unit_bytes(F.col("embedding"))})
+    classes = materialize(numbered)
 
     keys = classes.select("node", "label", _cell_lists(tables, probes, cell, seed)(F.col("unit")).alias("keys"))
     filed = keys.select("node", "label", F.posexplode("keys").alias("_pos", "key")).select(
@@ -173,8 +176,10 @@ def near_vectors(
     edges = dealt.select("block", "node", "part", "mixed", "unit").mapInArrow(meet, "a long, b long")
     found = materialize(components(edges))
 
-    sized = found.groupBy("component").agg(F.count(F.lit(1)).alias("size"))
-    grouped = found.join(sized, "component").join(classes.select("node", "n", "unit"), "node")
+    firsts = found.join(classes.select("node", "first"), "node").groupBy("component")
+    sized = firsts.agg(F.count(F.lit(1)).alias("size"), F.min("first").alias("least"))
+    found = materialize(found.join(sized, "component"))
+    grouped = found.drop("least").join(classes.select("node", "n", "unit"), "node")
     dealt = blocks.blocked(grouped, "component", "node", F.col("size"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,12 +190,13 @@ def near_vectors(
 
     links = dealt.select("block", "node", "part", "mixed", "n", "unit").mapInArrow(compare, "node long, links long")
     links = links.groupBy("node").agg(F.sum("links").alias("links"))
-    named = classes.select("label", "embedding", "node", "n").join(links, "node", "left").join(found, "node", "left")
+    named = classes.select("label", "embedding", "node", "first", "n").join(links, "node", "left")
+    named = named.join(found.select("node", "least"), "node", "left")
     named = named.select(
         "label",
         "embedding",
         (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
-        F.coalesce("component", "node").alias("component_id"),
+        F.coalesce("least", "first").alias("component_id"),
     )
     alone = rows.where("NOT _fit").select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
     linked = rows.where("_fit").join(named, ["label", "embedding"]).select("vec_id", "n_links", "component_id")

@@ -77,11 +77,37 @@ def test_near_vectors_against_brute_force(spark):
     assert vectors.near_vectors(frame.limit(0)).count() == 0
 
 
+def test_vectors_of_one_id_link_by_themselves(spark):
+    rows = [(1, [1.0, 0.0], 0), (1, [0.0, 1.0], 1), (2, [1.0, 0.01], 0), (3, [0.01, 1.0], 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in vectors.near_vectors(frame).collect())
+    assert got == [(1, 1, 1, True), (1, 1, 1, True), (2, 1, 1, False), (3, 1, 1, False)]
+
+
+def test_equal_texts_without_a_word_are_copies(spark):
+    rows = [(1, "!!! ***"), (2, "!!! ***"), (3, "***"), (4, ""), (5, ""), (6, None), (7, "!!! ***"), (None, "***")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.class_id, r.n_links, r.kept) for r in jaccard.near_documents(frame).collect()}
+    alone = {i: (i, 0, True) for i in (3, 4, 5, 6, None)}
+    assert got == alone | {1: (1, 2, True), 2: (1, 2, False), 7: (1, 2, False)}
+    assert sorted(r.doc_id for r in jaccard.one_of_each(frame).where("doc_id IS NOT NULL").collect()) == [1, 3, 4, 5, 6]
+
+
+def test_a_line_on_very_many_sites(spark):
+    """Its sketches are made in parts and merged; nothing of it is gathered before."""
+    rows = spark.range(0, 200_000, numPartitions=8).selectExpr("5L AS hash", "concat('s', id) AS site", "3 AS least")
+    few = spark.createDataFrame([(6, "a", 3), (6, "b", 3), (6, "a", 3), (7, None, 3)], "hash long, site string, least int")
+    spread = lines.spread_lines(rows.unionByName(few))
+    assert [r.hash for r in spread.collect()] == [5]
+
+
 def grams(text):
     import regex
 
     w = regex.findall(r"[\p{L}\p{N}]+", (text or "").lower())
-    return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset()
+    if not w:
+        return frozenset([text] if text else [])
+    return frozenset(tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4)))
 
 
 def test_near_documents_against_brute_force(spark):
@@ -93,7 +119,7 @@ def test_near_documents_against_brute_force(spark):
         for _ in range(i // 25 % 4):
             w[rng.randrange(len(w))] = "changed"
         rows.append((i, " ".join(w)))
-    rows += [(300, "a b c"), (301, "A, b... c!"), (302, None), (303, ""), (304, "!!"), (305, "a b c"), (305, "a b c"), (None, "a b c"), (306, "long " * 20_000)]
+    rows += [(300, "a b c"), (301, "A, b... c!"), (302, None), (303, ""), (304, "!!"), (307, "!!"), (305, "a b c"), (305, "a b c"), (None, "a b c"), (306, "long " * 20_000)]
     frame = spark.createDataFrame([(*r, 0) for r in rows], "doc_id long, text string, n int")
     got = sorted((r.doc_id, r.class_id, r.n_links) for r in jaccard.near_documents(frame).collect() if r.doc_id is not None)
     sets = [grams(t) if i is not None else frozenset() for i, t in rows]
@@ -130,7 +156,7 @@ def test_spread_lines_with_near_threshold_counts(spark):
     rows += [(100 + i, "almost\n\n  ALMOST ", f"s{i}") for i in range(9)]
     rows += [(200, None, "s1"), (201, "shared line", None), (None, "shared   LINE\nx", "s1"), (202, "", "s2")]
     frame = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, source string, hash int")
-    got = {r.doc_id: r for r in lines.drop_spread_lines(frame).collect()}
+    got = {r.doc_id: r for r in lines.drop_spread_lines(frame, 10).collect()}
     assert got[0].text == rows[0][1] and got[1].text == "own line 1" and got[1].n_dropped == 1
     assert got[105].text == "almost\n\n  ALMOST " and got[200].text is None and got[201].text == ""
     assert got[None].text == "x" and got[202].n_lines == 1 and set(frame.columns) <= set(got[0].asDict())

@@ -36,6 +36,22 @@ def test_clean_documents_stay(stages):
     assert unique.count() == unique.select("doc_id").distinct().count() <= cleaned.count()
 
 
+def test_documents_stay_where_no_language_is_known(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("lang", F.lit(None).cast("string"))
+    assert pipeline.identify_language(spark, docs, SF).count() == docs.count() == 200
+
+
+def test_many_languages_share_the_certainty(spark):
+    """Short clean texts in one of 40 close languages stay."""
+    rows = [
+        (k * 40 + i, f"a{chr(97 + i % 26)}b{i} common words of all {k % 3} here and there", f"l{i}", "s", 1)
+        for k in range(20)
+        for i in range(40)
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert pipeline.identify_language(spark, docs, SF).count() > 0.9 * len(rows)
+
+
 def test_passages_of_few_sites_go_but_once(spark):
     """50 words shared by otherwise different documents: of two sources, of none, of one."""
     def passage(name):
