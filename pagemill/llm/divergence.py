@@ -21,14 +21,16 @@ from pyspark.sql import functions as F
 
 from pagemill.llm import chars, slices
 from pagemill.operators.joins import fits, sized
-from pagemill.operators.ordering import ranked
 from pagemill.sources.scratch import materialize, scratch_path
 
 LEAST_DOCS = 3
 TOP = 200
 SHARE = 1_000_000_000
-# Bytes of text counted together, and pairs of numbers worked on at once.
+# Bytes of text counted together, rows of counts that a task adds up before it hands them
+# on, rows of a batch, and pairs of numbers worked on at once.
 CHUNK_BYTES = 1 << 22
+HELD_ROWS = 2_000_000
+BATCH_ROWS = 1 << 16
 STEP = 1 << 18
 
 _CELLS = "lang string, source string, term string, n bigint, docs bigint"
@@ -45,8 +47,8 @@ def term_bytes() -> np.ndarray:
     return table
 
 
-def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row (lang, source, term, occurrences, documents) for each group and term of a part of a batch."""
+def _chunk_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """(lang, source, term, occurrences, documents) of each part of a batch."""
     table = term_bytes()
     for batch in batches:
         at = 0
@@ -57,21 +59,42 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             coded = terms.dictionary_encode()
             names = [batch.column(i).slice(at, len(texts)).dictionary_encode() for i in (0, 1)]
             at += len(texts)
+            if not len(terms):
+                continue
             n_terms, n_sources = len(coded.dictionary), len(names[1].dictionary)
             in_doc = slices.owners(starts, bounds) * n_terms + coded.indices.to_numpy()
             in_doc, counts = np.unique(in_doc, return_counts=True)
             group = names[0].indices.to_numpy().astype(np.int64) * n_sources + names[1].indices.to_numpy()
-            cells = group[in_doc // max(n_terms, 1)] * n_terms + in_doc % max(n_terms, 1)
-            cells, cell = np.unique(cells, return_inverse=True)
-            group, term = np.divmod(cells, max(n_terms, 1))
+            cells, cell = np.unique(group[in_doc // n_terms] * n_terms + in_doc % n_terms, return_inverse=True)
+            group, term = np.divmod(cells, n_terms)
             columns = [
-                names[0].dictionary.take(pa.array(group // max(n_sources, 1))),
-                names[1].dictionary.take(pa.array(group % max(n_sources, 1))),
+                names[0].dictionary.take(pa.array(group // n_sources)),
+                names[1].dictionary.take(pa.array(group % n_sources)),
                 coded.dictionary.take(pa.array(term)).cast(pa.string()),
                 pa.array(np.bincount(cell, counts, len(cells)).astype(np.int64)),
                 pa.array(np.bincount(cell, minlength=len(cells)).astype(np.int64)),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["lang", "source", "term", "n", "docs"])
+            yield pa.table(columns, ["lang", "source", "term", "n", "docs"])
+
+
+def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The counts of a task's parts, added up as far as ``HELD_ROWS`` rows allow."""
+
+    def added() -> pa.Table:
+        sums = pa.concat_tables(held).group_by(["lang", "source", "term"], use_threads=False)
+        return sums.aggregate([("n", "sum"), ("docs", "sum")]).rename_columns(
+            {"n_sum": "n", "docs_sum": "docs"}
+        ).select(["lang", "source", "term", "n", "docs"])
+
+    held: list[pa.Table] = []
+    for counts in _chunk_counts(batches):
+        held.append(counts)
+        if sum(t.num_rows for t in held) > HELD_ROWS:
+            held = [added()]
+            if held[0].num_rows > HELD_ROWS // 2:
+                yield from held.pop().to_batches(BATCH_ROWS)
+    if held:
+        yield from added().to_batches(BATCH_ROWS)
 
 
 def term_digest(term: Column) -> Column:
@@ -94,12 +117,23 @@ def _shipped(stored: DataFrame, small: bool) -> DataFrame:
     return F.broadcast(stored) if small else stored.hint("merge")
 
 
-def _counted(cells: DataFrame, groups: DataFrame, key: list[str], least_docs: int) -> DataFrame:
+def numbered_groups(read: DataFrame) -> DataFrame:
+    """(lang, source, group) of every group that occurs, stored. ``group`` is a 64-bit hash, by
+    the first seed that gives no two groups the same."""
+    groups, seed = materialize(read.select("lang", "source").distinct()), 0
+    while True:
+        numbered = groups.withColumn("group", F.xxhash64(F.lit(seed), "lang", "source"))
+        if numbered.groupBy("group").count().where("count > 1").isEmpty():
+            return numbered.withColumn("seed", F.lit(seed))
+        seed += 1
+
+
+def _counted(cells: DataFrame, langs: DataFrame, key: list[str], least_docs: int) -> DataFrame:
     """(lang, digest, term, total, counts) of the terms in enough documents of a language."""
-    by_group = cells.groupBy("lang", "source", *key).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    numbered = by_group.join(_shipped(groups, fits(groups)), ["lang", "source"])
+    by_group = cells.groupBy("group", *key).agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
     counts = F.collect_list(F.struct("group", "n")).alias("counts")
-    terms = numbered.groupBy("lang", *key).agg(F.sum("n").alias("total"), F.sum("docs").alias("docs"), counts)
+    terms = by_group.join(langs, "group").groupBy("lang", *key)
+    terms = terms.agg(F.sum("n").alias("total"), F.sum("docs").alias("docs"), counts)
     return terms.where(F.col("docs") >= least_docs)
 
 
@@ -111,15 +145,20 @@ def term_counts(
     share their digest; ``total`` counts the language. Both stored."""
     spark = docs.sparkSession
     path = scratch_path(spark, "term-counts")
-    docs.mapInArrow(_count_terms, _CELLS).withColumn("digest", digest(F.col("term"))).write.parquet(path)
+    seed = (groups.select("seed").head() or [0])[0]
+    counted = docs.mapInArrow(_count_terms, _CELLS).select(
+        F.xxhash64(F.lit(seed), "lang", "source").alias("group"), digest(F.col("term")).alias("digest"), "term", "n", "docs"
+    )
+    counted.write.parquet(path)
     cells = spark.read.parquet(path)
+    langs = _shipped(groups.select("group", "lang"), fits(groups))
     columns = ["lang", "digest", "term", "total", "counts"]
-    terms = materialize(_counted(cells, groups, ["digest"], least_docs).withColumn("term", F.lit("")).select(columns))
+    terms = materialize(_counted(cells, langs, ["digest"], least_docs).withColumn("term", F.lit("")).select(columns))
     strings = cells.groupBy("digest").agg(F.min("term").alias("least"), F.max("term").alias("most"))
     texts = materialize(strings.join(sized(terms.select("digest").distinct()), "digest", "left_semi"))
     shared = texts.where("least <> most").select("digest")
     shared = _shipped(shared, fits(shared))
-    apart = _counted(cells.join(shared, "digest", "left_semi"), groups, ["digest", "term"], least_docs)
+    apart = _counted(cells.join(shared, "digest", "left_semi"), langs, ["digest", "term"], least_docs)
     kept = terms.join(shared, "digest", "left_anti").select(columns).unionByName(apart.select(columns))
     flat = kept.select("lang", "digest", "term", "total", F.inline("counts"))
     return materialize(flat), texts
@@ -241,15 +280,14 @@ def audit(
         F.coalesce(F.col("source").cast("string"), empty).alias("source"),
         chars.text_or_empty(F.col("text")).alias("text"),
     )
-    groups = ranked(read.select("lang", "source").distinct(), F.col("lang"), F.col("source"))
-    groups = materialize(groups.withColumnRenamed("rank", "group"))
+    groups = numbered_groups(read)
     rows, texts = term_counts(read, groups, least_docs, digest)
 
     totals = rows.groupBy("group").agg(F.sum("n").alias("words"))
     kept = rows.select("lang", "digest", "term", "total").distinct()
     kept = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"), F.sum("total").alias("lang_words"))
     zero = F.lit(0).cast("bigint")
-    known = groups.join(sized(totals), "group", "left").join(sized(kept), "lang", "left")
+    known = groups.drop("seed").join(sized(totals), "group", "left").join(sized(kept), "lang", "left")
     known = known.fillna(0, ["words", "terms", "lang_words"])
     known = materialize(known.withColumn("zero", share(zero, F.col("words"), F.col("terms"))))
     small = fits(known)
