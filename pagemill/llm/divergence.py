@@ -1,8 +1,7 @@
 """How the sources of a language differ in the terms that they use.
 
-Terms travel as fixed-width digests. Texts are read once: each batch gives its counts
-by group and term, which are stored with the term's string in a column of its own. What
-counts terms reads, and shuffles, digests only. For digests that reach the result,
+Terms travel as fixed-width digests. Texts are read once: each task stores its counts by
+group and term. What counts terms shuffles their digests only. For digests that reach the result,
 the smallest and the largest string are compared: where they differ, several terms
 share the digest and are counted again apart. Strings are joined back to rows that
 are kept.
@@ -118,8 +117,8 @@ def _shipped(stored: DataFrame, small: bool) -> DataFrame:
 
 
 def numbered_groups(read: DataFrame) -> DataFrame:
-    """(lang, source, group) of every group that occurs, stored. ``group`` is a 64-bit hash, by
-    the first seed that gives no two groups the same."""
+    """(lang, source, group, seed) of every group that occurs, stored. ``group`` is a 64-bit hash,
+    by the first seed that gives no two groups the same."""
     groups, seed = materialize(read.select("lang", "source").distinct()), 0
     while True:
         numbered = groups.withColumn("group", F.xxhash64(F.lit(seed), "lang", "source"))
@@ -140,17 +139,16 @@ def _counted(cells: DataFrame, langs: DataFrame, key: list[str], least_docs: int
 def term_counts(
     docs: DataFrame, groups: DataFrame, least_docs: int, digest: Callable[[Column], Column]
 ) -> tuple[DataFrame, DataFrame]:
-    """(lang, group, digest, term, n, total) of every kept term and group it occurs in, and
+    """(lang, digest, term, total, counts) of every kept term, ``counts`` listing (group, n), and
     the (digest, least, most) strings of the digests. ``term`` is empty but for terms that
-    share their digest; ``total`` counts the language. Both stored."""
+    share their digest; ``total`` counts the language. Both come from storage."""
     spark = docs.sparkSession
     path = scratch_path(spark, "term-counts")
     seed = (groups.select("seed").head() or [0])[0]
-    counted = docs.mapInArrow(_count_terms, _CELLS).select(
-        F.xxhash64(F.lit(seed), "lang", "source").alias("group"), digest(F.col("term")).alias("digest"), "term", "n", "docs"
-    )
-    counted.write.parquet(path)
-    cells = spark.read.parquet(path)
+    counted = docs.mapInArrow(_count_terms, _CELLS)
+    counted.select(F.xxhash64(F.lit(seed), "lang", "source").alias("group"), "term", "n", "docs").write.parquet(path)
+    # Digests take more room than the terms; each task makes them anew from its own strings.
+    cells = spark.read.parquet(path).withColumn("digest", digest(F.col("term")))
     langs = _shipped(groups.select("group", "lang"), fits(groups))
     columns = ["lang", "digest", "term", "total", "counts"]
     terms = materialize(_counted(cells, langs, ["digest"], least_docs).withColumn("term", F.lit("")).select(columns))
@@ -159,9 +157,8 @@ def term_counts(
     shared = texts.where("least <> most").select("digest")
     shared = _shipped(shared, fits(shared))
     apart = _counted(cells.join(shared, "digest", "left_semi"), langs, ["digest", "term"], least_docs)
-    kept = terms.join(shared, "digest", "left_anti").select(columns).unionByName(apart.select(columns))
-    flat = kept.select("lang", "digest", "term", "total", F.inline("counts"))
-    return materialize(flat), texts
+    apart = materialize(apart.select(columns))
+    return terms.join(shared, "digest", "left_anti").select(columns).unionByName(apart), texts
 
 
 def _pair_rows(a: np.ndarray, b: np.ndarray, values: np.ndarray) -> pa.RecordBatch:
@@ -281,11 +278,11 @@ def audit(
         chars.text_or_empty(F.col("text")).alias("text"),
     )
     groups = numbered_groups(read)
-    rows, texts = term_counts(read, groups, least_docs, digest)
+    terms, texts = term_counts(read, groups, least_docs, digest)
+    rows = terms.select("lang", "digest", "term", "total", F.inline("counts"))
 
     totals = rows.groupBy("group").agg(F.sum("n").alias("words"))
-    kept = rows.select("lang", "digest", "term", "total").distinct()
-    kept = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"), F.sum("total").alias("lang_words"))
+    kept = terms.groupBy("lang").agg(F.count(F.lit(1)).alias("terms"), F.sum("total").alias("lang_words"))
     zero = F.lit(0).cast("bigint")
     known = groups.drop("seed").join(sized(totals), "group", "left").join(sized(kept), "lang", "left")
     known = known.fillna(0, ["words", "terms", "lang_words"])
