@@ -84,12 +84,12 @@ def drop_spread_lines(
     lines = keyed.select("doc_id", "_key", site.alias("site"), F.posexplode(split_lines(F.col("text"))).alias("pos", "line"))
     hashed = lines.select("doc_id", "_key", "site", "pos", line_hash(F.col("line")).alias("hash"), least.alias("least"))
     lines = materialize(hashed.where("hash IS NOT NULL"))
-    spread = materialize(spread_lines(lines.select("hash", "site", "least")))
-    hits = lines.join(spread, "hash").select("doc_id", "_key", "pos", "hash")
+    spread = spread_lines(lines.select("hash", "site", "least"))
+    hits = join_listed(lines, spread, "hash").select("doc_id", "_key", "pos", "hash")
     place = F.struct(F.col("doc_id").isNull(), "doc_id", "_key", "pos")
     first = hits.groupBy("hash").agg(F.min(place).alias("first"))
     gone = (
-        hits.join(first, "hash")
+        join_listed(hits, first, "hash")
         .where(place != F.col("first"))
         .groupBy(F.col("doc_id").alias("_id"), F.col("_key").alias("_k"))
         .agg(F.collect_set("pos").alias("_gone"))
