@@ -1,13 +1,16 @@
 """License scans: phrases of words, and text blocks that contain a notice's words.
 
-A block is a line. A notice is found by an exact set-similarity join: the words of all
-notices are ordered by how many blocks of the corpus hold them, rarest first; a block
-can contain enough of a notice only if it holds one of the first few of its words
-(prefix), has words enough (length), and enough are left in both orders after the
-first word they share (position). Everything is built from column functions.
+A block of a notice is any run of adjacent words of the text, half as long again as the
+notice, wherever lines end. Notices are found by an exact set-similarity join: the words of
+all notices are ordered by how many texts of the corpus hold them, rarest first; a text can
+contain enough of a notice only if it holds one of the first few of its words (prefix), has
+notice words enough (length), and enough are left in both orders after the first word they
+share (position). What passes is verified block by block. Everything is built from column
+functions.
 """
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 from math import ceil
 from string import ascii_lowercase, ascii_uppercase
 
@@ -15,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm.chars import text_or_empty
+from pagemill.sources.scratch import materialize
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 PHRASES = (
@@ -23,6 +27,8 @@ PHRASES = (
     ("all rights reserved", "reserved"),
 )
 CONTAINED = 0.8
+# Words of a block for each word of the notice.
+ROOM = 1.5
 # Opening words of common public license notices, and their labels.
 NOTICES = (
     ("Released under the MIT License", "mit"),
@@ -73,50 +79,95 @@ def phrase_places(ws: Column, phrases: Sequence[tuple[str, str]]) -> Column:
     return F.concat(*(F.transform(places(ws, phrase.split()), named(label)) for phrase, label in phrases))
 
 
-def notice_words(notices: Sequence[tuple[str, str]]) -> list[tuple[list[str], str]]:
-    """The distinct words of each notice, and its label."""
+@dataclass(frozen=True)
+class Notice:
+    """The distinct words of a notice, how many of them a block needs, and of how many words
+    a block is."""
+
+    label: str
+    words: list[str]
+    need: int
+    room: int
+
+
+def notice_sets(notices: Sequence[tuple[str, str]], share: float) -> list[Notice]:
     keep = str.maketrans({c: " " for c in map(chr, range(128)) if not c.isalnum()})
-    return [(sorted(set(text.lower().translate(keep).split())), label) for text, label in notices]
+    sets = []
+    for text, label in notices:
+        ws = text.lower().translate(keep).split()
+        distinct = sorted(set(ws))
+        sets.append(Notice(label, distinct, ceil(share * len(distinct)), ceil(ROOM * len(ws))))
+    return sets
+
+
+def vocabulary_of(sets: Sequence[Notice]) -> list[str]:
+    return sorted({w for notice in sets for w in notice.words})
+
 
+def notice_hits(ws: Column, sets: Sequence[Notice]) -> tuple[Column, Column]:
+    """The distinct notice words among ``ws``, and the places of all of them: the number of a
+    word in the text times the size of the vocabulary, plus its number there. Places are null
+    where the whole text has not the words of any notice."""
+    vocabulary = vocabulary_of(sets)
+    if not vocabulary:
+        return F.array().cast("array<string>"), F.lit(None).cast("array<bigint>")
+    present = F.array_intersect(ws, F.lit(vocabulary))
 
-def contained_notices(blocks: DataFrame, notices: Sequence[tuple[str, str]] = NOTICES, share: float = CONTAINED) -> DataFrame:
-    """(the columns of ``blocks`` but ``ws``, label, contained) of every block and
-    notice of whose distinct words the block's words ``ws`` hold at least ``share``.
+    def coded(w: Column, i: Column) -> Column:
+        number = F.array_position(F.lit(vocabulary), w)
+        return F.when(number > 0, i.cast("bigint") * len(vocabulary) + number - 1)
+
+    enough = F.lit(False)
+    for notice in sets:
+        enough = enough | (F.size(F.array_intersect(present, F.lit(notice.words))) >= notice.need)
+    return present, F.when(enough, F.filter(F.transform(ws, coded), lambda c: c.isNotNull()))
+
+
+def contained_notices(texts: DataFrame, sets: Sequence[Notice]) -> DataFrame:
+    """(doc_id, _key, label, contained) of every row of (doc_id, _key, present, hits) and notice
+    a block of which holds as many of its distinct words as it needs; ``contained`` is the
+    largest share in a block.
 
     The notices are a parameter; their words, a few hundred at most, are all that
-    reaches the driver or is broadcast. Blocks are never shuffled.
+    reaches the driver or is broadcast. Texts are never shuffled.
     """
-    sets = notice_words(notices)
-    vocabulary = sorted({w for ws, _ in sets for w in ws})
-    held = F.explode(F.array_intersect(F.lit(vocabulary), F.col("ws"))).alias("word")
-    counted = blocks.select(held).groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()
+    vocabulary = vocabulary_of(sets)
+    counted = texts.select(F.explode("present").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n")).collect()
     often = {r.word: r.n for r in counted}
     order = sorted(vocabulary, key=lambda w: (often.get(w, 0), w))
     rows = []
-    for number, (ws, label) in enumerate(sets):
-        ranked = sorted(ws, key=order.index)
-        need = ceil(share * len(ranked))
-        rows += [(w, number, label, p, need, ranked) for p, w in enumerate(ranked[: len(ranked) - need + 1])]
-    schema = "word string, notice int, label string, p int, need int, notice_words array<string>"
-    postings = F.broadcast(blocks.sparkSession.createDataFrame(rows, schema))
-
-    prefixes = sorted({r[0] for r in rows})
-    least = min(r[4] for r in rows)
-    found = (
-        blocks.where(F.arrays_overlap(F.col("ws"), F.lit(prefixes)))
-        .withColumn("_held", F.array_intersect(F.lit(order), F.col("ws")))
-        .drop("ws")
-        .where(F.size("_held") >= least)
-    )
-    met = found.select("*", F.posexplode("_held").alias("q", "word")).join(postings, "word")
-    first = ~F.arrays_overlap(F.slice("_held", F.lit(1), F.col("q")), F.col("notice_words"))
-    left = F.least(F.size("notice_words") - F.col("p"), F.size("_held") - F.col("q"))
-    common = F.size(F.array_intersect("_held", "notice_words"))
-    return (
-        met.where(first & (left >= F.col("need")) & (common >= F.col("need")))
-        .withColumn("contained", common / F.size("notice_words"))
-        .drop("_held", "q", "word", "notice", "p", "need", "notice_words")
-    )
+    for number, notice in enumerate(sets):
+        ranked = sorted(notice.words, key=order.index)
+        numbers = [vocabulary.index(w) for w in ranked]
+        prefix = ranked[: len(ranked) - notice.need + 1]
+        rows += [(w, number, notice.label, p, notice.need, notice.room, ranked, numbers) for p, w in enumerate(prefix)]
+    schema = "word string, notice int, label string, p int, need int, room int, notice_words array<string>, numbers array<bigint>"
+    postings = F.broadcast(texts.sparkSession.createDataFrame(rows, schema))
+
+    least = min(notice.need for notice in sets)
+    held = texts.where("hits IS NOT NULL").withColumn("held", F.array_intersect(F.lit(order), F.col("present")))
+    met = held.where(F.size("held") >= least).select("*", F.posexplode("held").alias("q", "word")).join(postings, "word")
+    first = ~F.arrays_overlap(F.slice("held", F.lit(1), F.col("q")), F.col("notice_words"))
+    left = F.least(F.size("notice_words") - F.col("p"), F.size("held") - F.col("q"))
+    size = F.lit(len(vocabulary))
+    own = F.filter("hits", lambda c: F.array_contains(F.col("numbers"), c % size))
+    near = met.where(first & (left >= F.col("need"))).select("doc_id", "_key", "label", "need", "room", F.size("numbers").alias("of"), own.alias("own"))
+
+    def place(k: Column) -> Column:
+        return F.floor(F.get(F.col("own"), k) / size)
+
+    def stands(k: Column) -> Column:
+        """Whether the block from the k-th hit on has room for hits enough."""
+        return place(k + F.col("need") - 1) < place(k) + F.col("room")
+
+    def words_held(k: Column) -> Column:
+        block = F.filter(F.slice("own", k + 1, F.col("room")), lambda c: F.floor(c / size) < place(k) + F.col("room"))
+        return F.size(F.array_distinct(F.transform(block, lambda c: c % size)))
+
+    starts = F.filter(F.sequence(F.lit(0), F.size("own") - F.col("need")), stands)
+    best = F.array_max(F.transform(starts, words_held))
+    found = near.where(F.size("own") >= F.col("need")).withColumn("best", best).where(F.col("best") >= F.col("need"))
+    return found.select("doc_id", "_key", "label", (F.col("best") / F.col("of")).alias("contained"))
 
 
 def scan(
@@ -129,29 +180,38 @@ def scan(
     every row of (doc_id, text).
 
     ``places`` are the phrases found, ``notices`` the sorted labels of the notices that
-    a line contains. The score is 1 with a phrase, else the best share contained, else
-    0. A null or empty text has no words. Rows equal in id and text are scanned alike,
-    null ids too; an empty table gives no rows.
+    a block contains. The score is 1 with a phrase, else the best share contained, else
+    0. Texts are cut into words once. A null or empty text has no words. Rows equal in id and
+    text are scanned alike, null ids too; an empty table gives no rows, and without notices
+    there are phrases only.
     """
+    sets = notice_sets(notices, share)
     text = text_or_empty(F.col("text"))
-    rows = docs.select("doc_id", text.alias("text")).withColumn("_key", F.xxhash64("text"))
     none = F.array().cast("array<struct<label:string,at:int>>")
 
-    def base(ws: Column) -> Column:
-        return F.struct(F.size(ws).cast("bigint").alias("n_words"), phrase_places(ws, phrases).alias("places"))
-
-    scanned = rows.select("doc_id", "_key", let(words(F.col("text")), base).alias("b"))
-    scanned = scanned.select("doc_id", "_key", "b.n_words", F.coalesce("b.places", none).alias("places"))
-    lines = rows.select("doc_id", "_key", F.explode(F.split("text", "\n")).alias("line"))
-    blocks = lines.select("doc_id", "_key", words(F.col("line")).alias("ws"))
-    found = contained_notices(blocks, notices, share).groupBy(F.col("doc_id").alias("_id"), F.col("_key").alias("_k"))
-    found = found.agg(F.array_sort(F.collect_set("label")).alias("notices"), F.max("contained").alias("best"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k"))
-    return scanned.join(found, same, "left").select(
+    def read(ws: Column) -> Column:
+        present, hits = notice_hits(ws, sets)
+        found = F.coalesce(phrase_places(ws, phrases), none)
+        return F.struct(F.size(ws).cast("bigint").alias("n_words"), found.alias("places"), present.alias("present"), hits.alias("hits"))
+
+    rows = docs.select("doc_id", F.xxhash64(text).alias("_key"), let(words(text), read).alias("b"))
+    rows = materialize(rows.select("doc_id", "_key", "b.*"))
+    scanned = rows.select("doc_id", "_key", "n_words", "places")
+    labels = F.array().cast("array<string>")
+    if not sets:
+        scanned = scanned.withColumns({"notices": labels, "best": F.lit(0.0)})
+    else:
+        found = contained_notices(rows.select("doc_id", "_key", "present", "hits"), sets)
+        found = found.groupBy(F.col("doc_id").alias("_id"), F.col("_key").alias("_k")).agg(
+            F.array_sort(F.collect_set("label")).alias("notices"), F.max("contained").alias("best")
+        )
+        same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k"))
+        scanned = scanned.join(found, same, "left")
+    return scanned.select(
         "doc_id",
         "n_words",
         "places",
-        F.coalesce("notices", F.array().cast("array<string>")).alias("notices"),
+        F.coalesce("notices", labels).alias("notices"),
         F.when(F.size("places") > 0, 1.0).otherwise(F.coalesce("best", F.lit(0.0))).alias("score"),
     )
 

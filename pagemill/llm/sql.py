@@ -4,8 +4,6 @@ The others rest on a tokenizer, a learned model or a seeded hash that SQL lacks;
 are tested against brute force.
 """
 
-from math import ceil
-
 from pagemill.llm import codes, divergence, jaccard, licenses, lines, vectors, warc
 
 
@@ -51,10 +49,8 @@ FROM embeddings LEFT JOIN links l ON l.a = vec_id LEFT JOIN reach r ON r.a = vec
 
 def _license_scan() -> str:
     upper, lower = licenses.ascii_uppercase, licenses.ascii_lowercase
-    notices = ", ".join(
-        f"({words!r}, '{label}', {ceil(licenses.CONTAINED * len(words))})"
-        for words, label in licenses.notice_words(licenses.NOTICES)
-    )
+    sets = licenses.notice_sets(licenses.NOTICES, licenses.CONTAINED)
+    notices = ", ".join(f"({k}, {n.words!r}, '{n.label}', {n.need}, {n.room})" for k, n in enumerate(sets))
 
     def words(text: str) -> str:
         return f"regexp_extract_all(translate({text}, '{upper}', '{lower}'), '{licenses.WORD}')"
@@ -70,11 +66,15 @@ def _license_scan() -> str:
 WITH ws AS (SELECT doc_id, {words("coalesce(text, '')")} AS w FROM documents),
     places AS ({" UNION ALL ".join(found)}),
     base AS (SELECT doc_id, count(*) AS n, min(place) AS low, max(place) AS high, list(label) AS own FROM places GROUP BY doc_id),
-    notice(nw, label, need) AS (VALUES {notices}),
-    blocks AS (SELECT doc_id, list_distinct({words("line")}) AS b
-        FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
-    held AS (SELECT doc_id, label, len(list_intersect(b, nw)) / len(nw) AS share
-        FROM blocks, notice WHERE len(list_intersect(b, nw)) >= need),
+    notice(k, nw, label, need, room) AS (VALUES {notices}),
+    flat AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM ws),
+    nwords AS (SELECT k, unnest(nw) AS word FROM notice),
+    hits AS MATERIALIZED (SELECT doc_id, k, word, i FROM flat JOIN nwords USING (word)),
+    rich AS (SELECT doc_id, k FROM hits JOIN notice USING (k) GROUP BY doc_id, k, need HAVING count(DISTINCT word) >= need),
+    blocks AS (SELECT x.doc_id, k, x.i, count(DISTINCT y.word) AS n
+        FROM rich JOIN hits x USING (doc_id, k) JOIN hits y USING (doc_id, k) JOIN notice USING (k)
+        WHERE y.i >= x.i AND y.i < x.i + room GROUP BY ALL),
+    held AS (SELECT doc_id, label, n / len(nw) AS share FROM blocks JOIN notice USING (k) WHERE n >= need),
     method AS (SELECT doc_id, list(label) AS more, max(share) AS best FROM held GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_base, low::BIGINT AS first_word,
     high::BIGINT AS last_word, array_to_string(list_sort(list_distinct(coalesce(own, []))), ',') AS base_labels,

@@ -118,7 +118,51 @@ def test_notices_are_found_by_their_share_of_words(scanned):
     _, got = scanned
     assert (got[7].labels, got[7].score) == ("mit", 1.0)
     assert (got[8].labels, got[8].score) == ("mit", 1.0)
-    assert (got[9].labels, got[9].score) == ("", 0.0)
+    assert (got[9].labels, got[9].score) == ("mit", 1.0)
+
+
+def plain_notices(text):
+    """Labels and best share by trying every run of adjacent words."""
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(LOWER))
+    labels, best = set(), 0.0
+    for notice, label in licenses.NOTICES:
+        ws = re.findall("[a-z0-9]+", notice.lower())
+        room = -(-3 * len(ws) // 2)
+        for k in range(len(w)):
+            held = len(set(w[k : k + room]) & set(ws))
+            if 5 * held >= 4 * len(set(ws)):
+                labels.add(label)
+                best = max(best, held / len(set(ws)))
+    return ",".join(sorted(labels)), best
+
+
+def test_notices_wrapped_over_lines(spark):
+    rng = random.Random(5)
+    texts = [
+        "/* Redistribution and use in source and binary forms, with or without\n * modification, are permitted */",
+        "# Permission is hereby granted,\n# free of charge, to any\n# person obtaining a copy\n# of this software",
+        "released " + "x " * 9 + "under the license",
+        "released under the album " * 5_000,
+    ]
+    for notice, _ in licenses.NOTICES:
+        words = notice.split()
+        texts.append("\n".join(words))
+        for _ in range(25):
+            noisy = [w for w in words if rng.random() > 0.12]
+            for _ in range(rng.randrange(12)):
+                noisy.insert(rng.randrange(len(noisy) + 1), rng.choice(["the", "of", "x1", "und", rng.choice(words)]))
+            texts.append(rng.choice([" ", "\n", ", "]).join(["the", "of", "this"] * rng.randrange(9) + noisy + ["and", "is"] * rng.randrange(9)))
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(docs, phrases=[("no such phrase", "none")]).collect()}
+    assert got[0].notices == ["bsd"] and got[1].notices == ["mit"] and got[2].notices == []
+    for i, text in enumerate(texts):
+        assert (",".join(got[i].notices), got[i].score) == plain_notices(text), text
+
+
+def test_license_scan_without_notices(spark):
+    docs = spark.createDataFrame([(1, "cc by", 2, 3), (2, "released under the MIT license", 4, 5)], "doc_id long, text string, hits int, notices int")
+    rows = licenses.digest(licenses.scan(docs, notices=())).collect()
+    assert sorted((r.doc_id, r.labels, r.score) for r in rows) == [(1, "cc-by", 1.0), (2, "", 0.0)]
 
 
 def test_license_scan_of_odd_tables(spark):
