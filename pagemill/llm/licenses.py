@@ -149,24 +149,28 @@ def contained_notices(texts: DataFrame, sets: Sequence[Notice]) -> DataFrame:
     met = held.where(F.size("held") >= least).select("*", F.posexplode("held").alias("q", "word")).join(postings, "word")
     first = ~F.arrays_overlap(F.slice("held", F.lit(1), F.col("q")), F.col("notice_words"))
     left = F.least(F.size("notice_words") - F.col("p"), F.size("held") - F.col("q"))
-    size = F.lit(len(vocabulary))
-    own = F.filter("hits", lambda c: F.array_contains(F.col("numbers"), c % size))
-    near = met.where(first & (left >= F.col("need"))).select("doc_id", "_key", "label", "need", "room", F.size("numbers").alias("of"), own.alias("own"))
+    size, need, room = F.lit(len(vocabulary)), F.col("need"), F.col("room")
+
+    def place(hit: Column) -> Column:
+        return F.floor(hit / size)
 
-    def place(k: Column) -> Column:
-        return F.floor(F.get(F.col("own"), k) / size)
+    def most_held(own: Column) -> Column:
+        """Most distinct words of the notice in a block, of those blocks with hits enough."""
 
-    def stands(k: Column) -> Column:
-        """Whether the block from the k-th hit on has room for hits enough."""
-        return place(k + F.col("need") - 1) < place(k) + F.col("room")
+        def stands(k: Column) -> Column:
+            return place(F.get(own, k + need - 1)) < place(F.get(own, k)) + room
 
-    def words_held(k: Column) -> Column:
-        block = F.filter(F.slice("own", k + 1, F.col("room")), lambda c: F.floor(c / size) < place(k) + F.col("room"))
-        return F.size(F.array_distinct(F.transform(block, lambda c: c % size)))
+        def words_held(k: Column) -> Column:
+            block = F.filter(F.slice(own, k + 1, room), lambda c: place(c) < place(F.get(own, k)) + room)
+            return F.size(F.array_distinct(F.transform(block, lambda c: c % size)))
 
-    starts = F.filter(F.sequence(F.lit(0), F.size("own") - F.col("need")), stands)
-    best = F.array_max(F.transform(starts, words_held))
-    found = near.where(F.size("own") >= F.col("need")).withColumn("best", best).where(F.col("best") >= F.col("need"))
+        starts = F.sequence(F.lit(0), F.greatest(F.size(own) - need, F.lit(0)))
+        return F.when(F.size(own) >= need, F.array_max(F.transform(F.filter(starts, stands), words_held)))
+
+    own = F.filter("hits", lambda c: F.array_contains(F.col("numbers"), c % size))
+    # Exploded, not filtered: a filter would be pushed below and work the blocks out again.
+    best = F.explode(F.filter(F.array(let(own, most_held)), lambda n: n >= need)).alias("best")
+    found = met.where(first & (left >= need)).select("doc_id", "_key", "label", F.size("numbers").alias("of"), best)
     return found.select("doc_id", "_key", "label", (F.col("best") / F.col("of")).alias("contained"))
 
 
