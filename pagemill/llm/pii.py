@@ -1,6 +1,11 @@
 """Personal data in texts: rules whose finds always stay, and boosted trees that pick
 further spans among the overlapping candidates of looser generators.
 
+No span is labelled. The trees learn from finds and from disguises of them, which no rule
+takes: an address with "(at)", a number without its plus, a card joined by full stops. The
+negative examples are proposals that the rule's test refuses in any disguise, and finds spoilt
+to be part of a longer word. What passes the test in disguise is neither: the trees decide.
+
 All of it is column functions and Spark's own gradient-boosted trees. A rule or
 generator is one regular expression without nested repetition, so texts of any length
 pass; the gaps between its matches and their lengths give the positions.
@@ -62,8 +67,8 @@ RULES = (
     Rule("ip", True, r"[0-9]\.[0-9]", lambda t: t, r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"),
     Rule("card", True, "[0-9][ -]?[0-9]", lambda t: _joints(t, "[0-9]", "[ -]", "[0-9]"), rf"[0-9{MARK}]{{13,}}+"),
     Rule("phone", True, r"\+[0-9]", lambda t: t, r"\+[0-9][ ().0-9-]+[0-9]"),
-    Rule("email", False, r"@|\([aA][tT]\)|\[[aA][tT]\]", lambda t: t,
-         rf"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++ ?(?:@|\([aA][tT]\)|\[[aA][tT]\]) ?{_HOST}++"),
+    Rule("email", False, r"@|\([aA][tT]\)|\[[aA][tT]\]", lambda t: _joints(t, _HOST, r"\.", _HOST),
+         rf"(?<!{_LOCAL}){_LOCAL}++ ?(?:@|\([aA][tT]\)|\[[aA][tT]\]) ?{_HOST}++[A-Za-z0-9{MARK}-]*+"),
     Rule("card", False, "[0-9][ .-]?[0-9]", lambda t: _joints(t, "[0-9]", "[ .-]", "[0-9]"), rf"[0-9{MARK}]{{12,23}}+"),
     Rule("phone", False, "[(0-9][ ().0-9-]{7}", lambda t: t, r"(?<![0-9])[(0-9][ ().0-9-]{7,20}[0-9]"),
     Rule("ip", False, r"[0-9]\.[0-9]", lambda t: t, r"(?<![0-9.])[0-9]{1,3}[.:][0-9]{1,3}[.:][0-9]{1,3}[.:][0-9]{1,3}"),
@@ -186,34 +191,84 @@ def _unit(*cols: str) -> Column:
     return F.pmod(F.xxhash64(F.lit(SEED), *(F.col(c) for c in cols)), F.lit(1 << 20)) / float(1 << 20)
 
 
+def passes_disguised(kind: Column, span: Column) -> Column:
+    """Whether a span would pass its rule's test if it were written as the rule wants it."""
+    host = F.regexp_extract(span, r"(?:@|\)|\])(.*)$", 1)
+    return F.when(kind == "email", host.rlike(rf"[.{MARK}]")).otherwise(_passes(kind, span))
+
+
+def disguised(kind: Column, span: Column, form: Column) -> Column:
+    """A find written so that no rule takes it, one of four ways by the number ``form``."""
+    at = F.element_at(F.array(*(F.lit(a) for a in ("(at)", "[at]", " (at) ", " [at] "))), form + 1)
+    digits = F.regexp_replace(span, "[^0-9]", "")
+    return (
+        F.when(kind == "email", F.replace(span, F.lit("@"), at))
+        .when(kind == "phone", F.replace(span, F.lit("+"), F.when(form < 2, "").otherwise("00")))
+        .when(kind == "card", F.regexp_replace(digits, "([0-9]{4})(?=[0-9])", "$1."))
+        .otherwise(F.translate(span, ".", ":"))
+    )
+
+
+def spoilt(kind: Column, span: Column) -> Column:
+    """What a find would be as part of a longer word: an address without a full stop in its
+    host, the digits of a number run together, an IP address as it is."""
+    digits = F.regexp_replace(span, "[^0-9]", "")
+    return F.when(kind == "email", F.regexp_extract(span, "^[^@]*@[A-Za-z0-9-]*", 0)).when(kind == "ip", span).otherwise(digits)
+
+
+def examples(spans: DataFrame) -> DataFrame:
+    """(the columns of ``spans``, label, part) of what the trees learn from and decide on: part 0 is
+    the span itself, label null where they decide; 1 a find in disguise, 2 a find spoilt."""
+    kind, span, base = F.col("kind"), F.col("span"), F.col("base")
+
+    def row(part: int, label: Column, text: Column, before: Column) -> Column:
+        return F.struct(F.lit(part).alias("part"), label.alias("label"), text.alias("s"), before.alias("b"))
+
+    own = F.when(base, 1.0).when(~passes_disguised(kind, span), 0.0)
+    first = row(0, own, span, F.col("before"))
+    form = (_unit("doc_id", "_key", "end") * 4).cast("int")
+    more = (
+        first,
+        row(1, F.lit(1.0), disguised(kind, span, form), F.col("before")),
+        row(2, F.lit(0.0), spoilt(kind, span), F.concat(F.col("before"), F.lit("v"))),
+    )
+    rows = spans.select("*", F.explode(F.when(base, F.array(*more)).otherwise(F.array(first))).alias("e"))
+    return rows.withColumns({"span": F.col("e.s"), "before": F.col("e.b"), "label": F.col("e.label"), "part": F.col("e.part")}).drop("e")
+
+
 def selected(spans: DataFrame, rows: int = TRAIN_ROWS, precision: float = PRECISION) -> DataFrame:
     """The proposals that are no finds of a rule, touch none, and score as high as finds do.
 
-    Trees learn to tell finds from other proposals on at most about ``rows`` of them, an
-    equal part for finds and others of every kind, chosen by hash; a rare kind is taken
-    whole. Thresholds come from the scores of all proposals: for each kind the lowest
-    score from which on the share of finds is at least ``precision``. Without both finds
-    and others nothing is selected.
+    Trees learn to tell finds and their disguises from other proposals and spoilt finds on at
+    most about ``rows`` examples, an equal part for both labels of every kind, chosen by hash; a
+    rare kind is taken whole. Thresholds come from the scores of all labelled examples, nearly all
+    of them unseen in a large corpus: for each kind the lowest score from which on the share of
+    positive ones is at least ``precision``. A kind without finds adds nothing, and without
+    any finds nothing is selected. Proposals that the test refuses in any disguise are negative
+    examples, but may be selected if what looks like them nearly always passes.
     """
     spans = spans.where("NOT touches")
-    totals = {(r.kind, r.base): r.n for r in spans.groupBy("kind", "base").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if {base for _, base in totals} != {True, False}:
+    shown = examples(spans)
+    labelled = shown.where("label IS NOT NULL")
+    totals = {(r.kind, r.label): r.n for r in labelled.groupBy("kind", "label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if {label for _, label in totals} != {1.0, 0.0}:
         return spans.limit(0)
     part = rows / (2 * len(KINDS))
     share = F.lit(1.0)
-    for (kind, base), n in totals.items():
-        share = F.when((F.col("kind") == kind) & (F.col("base") == base), min(1.0, part / n)).otherwise(share)
+    for (kind, label), n in totals.items():
+        share = F.when((F.col("kind") == kind) & (F.col("label") == label), min(1.0, part / n)).otherwise(share)
     vectors = VectorAssembler(inputCols=list(FEATURES), outputCol="features")
-    sample = spans.where(_unit("doc_id", "_key", "kind", "start", "end") < share).withColumn("label", F.col("base").cast("double"))
+    sample = labelled.where(_unit("doc_id", "_key", "kind", "start", "end", "part") < share)
     training = materialize(vectors.transform(with_features(sample)).select("features", "label"))
     if training.select("label").distinct().count() < 2:
         return spans.limit(0)
     trees = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=SEED, featuresCol="features", labelCol="label")
     model = trees.fit(training)
     score = F.get(vector_to_array("probability"), F.lit(1))
-    scored = model.transform(vectors.transform(with_features(spans)))
-    scored = materialize(scored.select(*spans.columns, F.floor(score * BINS).alias("bin")))
-    bins = scored.groupBy("kind", "bin").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("base").cast("int")).alias("hits")).collect()
+    scored = model.transform(vectors.transform(with_features(shown)))
+    scored = materialize(scored.select(*shown.columns, F.floor(score * BINS).alias("bin")))
+    hits = F.sum(F.col("label").cast("int")).alias("hits")
+    bins = scored.where("label IS NOT NULL").groupBy("kind", "bin").agg(F.count(F.lit(1)).alias("n"), hits).collect()
     limit = F.lit(BINS + 1)
     for kind in KINDS:
         n = hits = 0
@@ -221,7 +276,7 @@ def selected(spans: DataFrame, rows: int = TRAIN_ROWS, precision: float = PRECIS
             n, hits = n + row.n, hits + row.hits
             if hits >= precision * n:
                 limit = F.when(F.col("kind") == kind, row.bin).otherwise(limit)
-    return scored.where(~F.col("base") & (F.col("bin") >= limit)).select(*spans.columns)
+    return scored.where((F.col("part") == 0) & ~F.col("base") & (F.col("bin") >= limit)).select(*spans.columns)
 
 
 def find(docs: DataFrame) -> DataFrame:

@@ -95,6 +95,37 @@ def test_a_rare_kind_is_learned_beside_a_dominant_one(spark):
     assert sorted(r.doc_id for r in added) == [5000, 5001] and {r.kind for r in added} == {"card"}
 
 
+def test_disguised_personal_data_is_found(spark):
+    """Planted disguises of all kinds among finds, decoys and prose: all of the first are added
+    where they stand, none of the others."""
+    rng = random.Random(11)
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+
+    def card():
+        body = "4" + digits(14)
+        return next(body + d for d in "0123456789" if luhn(body + d))
+
+    def hidden(i):
+        four = card()
+        return [f"u{i}.{digits(2)} (at) mail{i}.example.com", f"u{i}.x[at]host{i}.org", f"({digits(3)}) 555-{digits(4)}", ".".join(four[k : k + 4] for k in (0, 4, 8, 12))][i % 4]
+
+    rows, planted = [], {}
+    for i in range(400):
+        shown = [f"w.{digits(2)}@mail{i}.example.com", f"+1 ({digits(3)}) 555-{digits(4)}", card(), f"10.{i % 250}.3.7"]
+        rows.append((i, f"the words of {shown[i % 4]} and more of it, {shown[(i + 1) % 4]} at last"))
+    for i in range(400, 480):
+        span = hidden(i)
+        text = f"the words of {span} and more of it"
+        rows.append((i, text))
+        planted[i] = (text.index(span), text.index(span) + len(span))
+    decoys = ["token = a{0}f{1}b", "look (at) this", "lot 7{1}", "part {0}{0}", "on 2024-01-02 at 10.5", "a [at] b"]
+    rows += [(1000 + i, rng.choice(decoys).format(digits(9), digits(3))) for i in range(300)]
+    found = pii.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    added = {(r.doc_id, s.start, s.end) for r in found for s in r.spans if not s.base}
+    wanted = {(i, a, b) for i, (a, b) in planted.items()}
+    assert added == wanted
+
+
 @pytest.fixture(scope="module")
 def scanned(spark):
     texts = [None, "", "CC-BY cc by", "xcc by ccc-by cc, by", "All Rights\nReserved", "gnu General  public-license é all rights", "c " * 30_000 + "cc by"]
