@@ -11,13 +11,13 @@ generator is one regular expression without nested repetition, so texts of any l
 pass; the gaps between its matches and their lengths give the positions.
 """
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from pagemill.llm.chars import text_or_empty
@@ -245,7 +245,8 @@ def selected(spans: DataFrame, rows: int = TRAIN_ROWS, precision: float = PRECIS
     of them unseen in a large corpus: for each kind the lowest score from which on the share of
     positive ones is at least ``precision``. A kind without finds adds nothing, and without
     any finds nothing is selected. Proposals that the test refuses in any disguise are negative
-    examples, but may be selected if what looks like them nearly always passes.
+    examples; their threshold comes from proposals alone, without disguises, so they are selected
+    only if what looks like them nearly always passes.
     """
     spans = spans.where("NOT touches")
     shown = examples(spans)
@@ -268,15 +269,25 @@ def selected(spans: DataFrame, rows: int = TRAIN_ROWS, precision: float = PRECIS
     scored = model.transform(vectors.transform(with_features(shown)))
     scored = materialize(scored.select(*shown.columns, F.floor(score * BINS).alias("bin")))
     hits = F.sum(F.col("label").cast("int")).alias("hits")
-    bins = scored.where("label IS NOT NULL").groupBy("kind", "bin").agg(F.count(F.lit(1)).alias("n"), hits).collect()
+    own = (F.col("part") == 0).alias("own")
+    bins = scored.where("label IS NOT NULL").groupBy("kind", own, "bin").agg(F.count(F.lit(1)).alias("n"), hits).collect()
+    undecided = _limit(bins, precision)
+    refused = _limit([r for r in bins if r.own], precision)
+    limit = F.when(F.col("label").isNull(), undecided).otherwise(refused)
+    return scored.where((F.col("part") == 0) & ~F.col("base") & (F.col("bin") >= limit)).select(*spans.columns)
+
+
+def _limit(bins: Sequence[Row], precision: float) -> Column:
+    """For each kind the lowest bin from which on the share of hits is at least ``precision``."""
     limit = F.lit(BINS + 1)
     for kind in KINDS:
         n = hits = 0
-        for row in sorted((r for r in bins if r.kind == kind), key=lambda r: -r.bin):
-            n, hits = n + row.n, hits + row.hits
+        for at in sorted({r.bin for r in bins if r.kind == kind}, reverse=True):
+            here = [r for r in bins if r.kind == kind and r.bin == at]
+            n, hits = n + sum(r.n for r in here), hits + sum(r.hits for r in here)
             if hits >= precision * n:
-                limit = F.when(F.col("kind") == kind, row.bin).otherwise(limit)
-    return scored.where((F.col("part") == 0) & ~F.col("base") & (F.col("bin") >= limit)).select(*spans.columns)
+                limit = F.when(F.col("kind") == kind, at).otherwise(limit)
+    return limit
 
 
 def find(docs: DataFrame) -> DataFrame:
