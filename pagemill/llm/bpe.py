@@ -23,6 +23,7 @@ from pyspark.sql.types import BinaryType
 
 from pagemill.llm import chars
 from pagemill.llm.chars import BLANK, LETTER, NUMBER, SPACE
+from pagemill.llm.names import unused
 
 # Symbols: letter, number, other, apostrophe that starts a contraction of one or of
 # two letters, the last blank of a run before a visible character (space or other),
@@ -355,8 +356,9 @@ def encode(
             done.append(pa.StructArray.from_arrays([made[p] for p in parts], names=list(parts)))
         return pa.concat_arrays(done)
 
-    coded = df.withColumn("_coded", run(chars.text_or_empty(F.col(text))))
-    return coded.withColumns({p: F.col(f"_coded.{p}") for p in parts}).drop("_coded")
+    (made,) = unused(df, "_coded")
+    coded = df.withColumn(made, run(chars.text_or_empty(F.col(text))))
+    return coded.withColumns({p: F.col(f"{made}.{p}") for p in parts}).drop(made)
 
 
 def decode(df: DataFrame, vocabulary: Vocabulary, ids: str = "ids") -> DataFrame:

@@ -19,6 +19,7 @@ from pyspark.sql.types import BinaryType
 
 from pagemill.llm import blocks, chars, shingles
 from pagemill.llm.components import components
+from pagemill.llm.names import unused
 from pagemill.sources.scratch import materialize
 
 SIMILARITY = 0.8
@@ -253,10 +254,10 @@ def near_documents(
 def one_of_each(docs: DataFrame, **options: float) -> DataFrame:
     """The rows of ``docs`` that ``near_documents`` keeps, all columns; of rows equal
     in id and text one."""
+    key, other_id, other_key = unused(docs, "_text_hash", "_id", "_hash")
     keys = near_documents(docs, **options).where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")
+        F.col("doc_id").alias(other_id), F.col("text_hash").alias(other_key)
     )
-    text = F.xxhash64(chars.text_or_empty(F.col("text")))
-    hashed = docs.withColumn("_text_hash", text)
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash"))
-    return hashed.join(keys.distinct(), same, "left_semi").dropDuplicates(["doc_id", "_text_hash"]).drop("_text_hash")
+    hashed = docs.withColumn(key, F.xxhash64(chars.text_or_empty(F.col("text"))))
+    same = F.col("doc_id").eqNullSafe(F.col(other_id)) & (F.col(key) == F.col(other_key))
+    return hashed.join(keys.distinct(), same, "left_semi").dropDuplicates(["doc_id", key]).drop(key)

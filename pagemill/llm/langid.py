@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from pagemill.llm import chars
+from pagemill.llm.names import unused
 from pagemill.llm.shingles import mix64
 
 BUCKETS = 1 << 14
@@ -228,6 +229,7 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, sample: int = SAMPLE,
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score``, its calibrated probability; no shuffle.
+    Columns of these names are replaced, all others stay.
 
     A null text and a text without a letter are ``und`` with score 0, as is every text
     if no language was learned. Of equal scores the first language by name wins.
@@ -251,5 +253,6 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
                 probabilities.append(float(p[best]))
         return pa.StructArray.from_arrays([pa.array(names, pa.string()), pa.array(probabilities, pa.float64())], ["lang", "score"])
 
-    predicted = docs.withColumn("_said", run(chars.text_or_empty(F.col("text"))))
-    return predicted.withColumns({"lang_pred": F.col("_said.lang"), "score": F.col("_said.score")}).drop("_said")
+    (said,) = unused(docs, "_said")
+    predicted = docs.withColumn(said, run(chars.text_or_empty(F.col("text"))))
+    return predicted.withColumns({"lang_pred": F.col(f"{said}.lang"), "score": F.col(f"{said}.score")}).drop(said)

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pagemill.llm.chars import text_or_empty
+from pagemill.llm.names import unused
 from pagemill.operators.joins import join_listed
 from pagemill.sources.scratch import materialize
 
@@ -76,12 +77,13 @@ def drop_spread_lines(
     stays null and has no lines; a null id comes last. Rows equal in id and text are treated
     alike. An empty table gives no rows.
     """
-    keyed = docs.withColumn("_key", F.xxhash64(text_or_empty(F.col("text"))))
+    key, other_id, other_key, out = unused(docs, "_key", "_id", "_k", "_gone")
+    keyed = docs.withColumn(key, F.xxhash64(text_or_empty(F.col("text"))))
     site = F.col("source") if site is None else site
     least = F.lit(sites)
     if long_sites is not None:
         least = F.when(F.length(plain_line(F.col("line"))) >= LONG_CHARS, long_sites).otherwise(sites)
-    lines = keyed.select("doc_id", "_key", site.alias("site"), F.posexplode(split_lines(F.col("text"))).alias("pos", "line"))
+    lines = keyed.select("doc_id", F.col(key).alias("_key"), site.alias("site"), F.posexplode(split_lines(F.col("text"))).alias("pos", "line"))
     hashed = lines.select("doc_id", "_key", "site", "pos", line_hash(F.col("line")).alias("hash"), least.alias("least"))
     lines = materialize(hashed.where("hash IS NOT NULL"))
     spread = spread_lines(lines.select("hash", "site", "least"))
@@ -91,16 +93,16 @@ def drop_spread_lines(
     gone = (
         join_listed(hits, first, "hash")
         .where(place != F.col("first"))
-        .groupBy(F.col("doc_id").alias("_id"), F.col("_key").alias("_k"))
-        .agg(F.collect_set("pos").alias("_gone"))
+        .groupBy(F.col("doc_id").alias(other_id), F.col("_key").alias(other_key))
+        .agg(F.collect_set("pos").alias(out))
     )
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_key") == F.col("_k"))
+    same = F.col("doc_id").eqNullSafe(F.col(other_id)) & (F.col(key) == F.col(other_key))
     none = F.array().cast("array<int>")
-    found = keyed.join(gone, same, "left").withColumn("_gone", F.coalesce("_gone", none))
+    found = keyed.join(gone, same, "left").withColumn(out, F.coalesce(out, none))
     parts = split_lines(F.col("text"))
-    kept = F.filter(parts, lambda line, i: ~F.array_contains(F.col("_gone"), i))
-    text = F.when(F.size("_gone") == 0, F.col("text")).otherwise(F.array_join(kept, "\n"))
+    kept = F.filter(parts, lambda line, i: ~F.array_contains(F.col(out), i))
+    text = F.when(F.size(out) == 0, F.col("text")).otherwise(F.array_join(kept, "\n"))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(parts)).cast("bigint")
     return found.withColumns(
-        {"n_lines": n_lines, "n_dropped": F.size("_gone").cast("bigint"), "text": text}
-    ).drop("_key", "_id", "_k", "_gone")
+        {"n_lines": n_lines, "n_dropped": F.size(out).cast("bigint"), "text": text}
+    ).drop(key, other_id, other_key, out)

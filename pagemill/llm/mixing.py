@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pagemill.llm.chars import text_or_empty
+from pagemill.llm.names import unused
 from pagemill.operators.ordering import ranked
 from pagemill.sources.scratch import materialize
 
@@ -209,13 +210,15 @@ def take(docs: DataFrame, **options: int) -> DataFrame:
     shares = mix(docs, **options).groupBy(*keys).agg(
         F.sum("passes").alias("_passes"), F.collect_list(cut).alias("_cuts")
     )
-    named = shares.select(*(F.col(k).alias(f"_{k}") for k in keys), "_passes", "_cuts")
-    hashed = docs.withColumn("text_hash_", F.xxhash64(text_or_empty(F.col("text"))))
-    one = hashed.dropDuplicates(["doc_id", "source", "text_hash_"])
+    free = unused(docs, "_doc_id", "_source", "_text_hash", "_passes", "_cuts", "text_hash_", "_texts", "_text")
+    doc_id, source, text_hash, passes, cuts, own_hash, all_texts, one_text = free
+    named = shares.toDF(doc_id, source, text_hash, passes, cuts)
+    hashed = docs.withColumn(own_hash, F.xxhash64(text_or_empty(F.col("text"))))
+    one = hashed.dropDuplicates(["doc_id", "source", own_hash])
     same = (
-        F.col("doc_id").eqNullSafe(F.col("_doc_id"))
-        & F.col("source").eqNullSafe(F.col("_source"))
-        & (F.col("text_hash_") == F.col("_text_hash"))
+        F.col("doc_id").eqNullSafe(F.col(doc_id))
+        & F.col("source").eqNullSafe(F.col(source))
+        & (F.col(own_hash) == F.col(text_hash))
     )
     pieces = F.regexp_extract_all("text", F.lit(WORD + r"[\x20\x09-\x0D]*"), F.lit(0))
 
@@ -225,7 +228,7 @@ def take(docs: DataFrame, **options: int) -> DataFrame:
         outer = F.concat(F.slice(pieces, F.lit(1), high), F.slice(pieces, low + 1, F.size(pieces)))
         return F.array_join(F.when(low < high, inner).otherwise(outer), "")
 
-    whole = F.array_repeat(F.col("text"), F.col("_passes").cast("int"))
-    texts = F.concat(whole, F.transform("_cuts", cut_text))
-    taken = one.join(named, same).withColumn("_texts", texts).withColumn("_text", F.explode("_texts"))
-    return taken.select(*(F.col("_text").alias("text") if c == "text" else F.col(c) for c in docs.columns))
+    whole = F.array_repeat(F.col("text"), F.col(passes).cast("int"))
+    texts = F.concat(whole, F.transform(cuts, cut_text))
+    taken = one.join(named, same).withColumn(all_texts, texts).withColumn(one_text, F.explode(all_texts))
+    return taken.select(*(F.col(one_text).alias("text") if c == "text" else F.col(c) for c in docs.columns))
