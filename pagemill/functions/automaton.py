@@ -21,6 +21,9 @@ class Automaton:
     falls: np.ndarray
     found: np.ndarray
 
+    def parts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return self.steps, self.falls, self.found
+
     def step(self, states: np.ndarray, octets: np.ndarray) -> np.ndarray:
         """The state after one byte more. A state without that step falls back until one has it."""
         out = np.zeros(len(states), np.int64)

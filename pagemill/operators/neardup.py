@@ -29,7 +29,8 @@ from pagemill.functions.hashing import (
     simhash,
     within,
 )
-from pagemill.functions.automaton import automaton
+from pagemill.functions.automaton import Automaton, automaton
+from pagemill.functions.nearby import NearIndex
 from pagemill.functions.text import site_of, squash
 from pagemill.operators.joins import drop_listed, estimated_bytes, join_listed, keep_listed, sized
 from pagemill.operators.ordering import ranked
@@ -42,6 +43,9 @@ FOLD_ROWS = 64
 BROADCAST_BYTES = 64 << 20
 # Estimated bytes of listed substrings in one automaton, which takes about ten times as much.
 LISTED_BYTES = 16 << 20
+# Listed hashes in one index of those within 3 bits or more, and most bits.
+INDEXED_HASHES = 1 << 21
+MOST_BITS = 7
 # Documents of one hash from which on it is looked up in place.
 HOT_ROWS = 1_000_000
 
@@ -320,7 +324,7 @@ def hash_ball(listed: DataFrame, k: int = NEAR_BITS) -> DataFrame:
     """Every hash within ``k`` bits of a listed one, so that distance becomes equality."""
     # The ball of 3 bits would have 43,745 hashes for each listed one.
     if k not in range(3):
-        raise ValueError("listed hashes are matched within 0, 1 or 2 bits")
+        raise ValueError("hashes within 0, 1 or 2 bits are listed")
     near = listed.toDF("hash").distinct()
     for _ in range(k):
         near = near.select(F.explode(ball(F.col("hash"))).alias("hash"))
@@ -331,26 +335,65 @@ def _match(df: DataFrame, listed: DataFrame, k: int, how: str) -> DataFrame:
     return join_listed(df, hash_ball(listed, k), "hash", how, BROADCAST_BYTES).select(*df.columns)
 
 
-def match_hashes(df: DataFrame, listed: DataFrame, k: int = NEAR_BITS) -> DataFrame:
-    """Rows whose hash is within ``k`` bits of a listed one."""
-    return _match(df, listed, k, "left_semi")
+def _is_near(hash_: Column, listed: DataFrame, k: int) -> Column:
+    """Whether a hash is within ``k`` bits of one of a bounded list; a null one is not."""
+    shipped = listed.sparkSession.sparkContext.broadcast(listed.toArrow().column(0).to_numpy())
+    indexes = []
 
-
-def drop_hashes(df: DataFrame, listed: DataFrame, k: int = NEAR_BITS) -> DataFrame:
-    """Rows whose hash is not within ``k`` bits of any listed one."""
-    return _match(df, listed, k, "left_anti")
+    @arrow_udf(BooleanType())
+    def run(hashes: pa.Array) -> pa.Array:
+        if not indexes:
+            indexes.append(NearIndex(shipped.value, k))
+        return pa.array(indexes[0].near(hashes.to_numpy(zero_copy_only=False)))
+
+    return hash_.isNotNull() & run(F.coalesce(hash_, F.lit(0).cast("bigint")))
+
+
+def _match_far(df: DataFrame, listed: DataFrame, k: int, keep: bool, most: int) -> DataFrame:
+    """Rows near a listed hash, or the others, by an index that is shipped to the tasks: no
+    shuffle. A list of more than ``most`` hashes is dealt out to several indexes, and the
+    distinct hashes that none has met yet pass them one after another."""
+    if k not in range(MOST_BITS + 1):
+        raise ValueError(f"listed hashes are matched within 0 to {MOST_BITS} bits")
+    junk = materialize(listed.toDF("listed").where("listed IS NOT NULL").distinct())
+    parts = max(1, -(-junk.count() // most))
+    if parts == 1:
+        near = _is_near(F.col("hash"), junk, k)
+        return df.where(near if keep else ~near)
+    dealt = junk.withColumn("part", F.pmod(F.xxhash64("listed"), F.lit(parts)))
+    left = materialize(df.select("hash").where("hash IS NOT NULL").distinct())
+    hits = []
+    for part in range(parts):
+        own = dealt.where(F.col("part") == part).select("listed")
+        told = materialize(left.withColumn("near", _is_near(F.col("hash"), own, k)))
+        hits.append(told.where("near").select("hash"))
+        left = told.where("NOT near").select("hash")
+    return join_listed(df, reduce(DataFrame.unionByName, hits), "hash", "left_semi" if keep else "left_anti").select(*df.columns)
+
+
+def match_hashes(df: DataFrame, listed: DataFrame, k: int = NEAR_BITS, most: int = INDEXED_HASHES) -> DataFrame:
+    """Rows whose hash is within ``k`` bits of a listed one, ``k`` being 7 at most. Up to 2 bits the
+    neighbours of the listed hashes are joined, beyond that an index of at most ``most`` of
+    them is searched within the row."""
+    return _match(df, listed, k, "left_semi") if k in range(3) else _match_far(df, listed, k, True, most)
+
+
+def drop_hashes(df: DataFrame, listed: DataFrame, k: int = NEAR_BITS, most: int = INDEXED_HASHES) -> DataFrame:
+    """Rows whose hash is not within ``k`` bits of any listed one; the same two ways."""
+    return _match(df, listed, k, "left_anti") if k in range(3) else _match_far(df, listed, k, False, most)
 
 
 def _contains_listed(df: DataFrame, col: str, pieces: DataFrame) -> Column:
     """Whether the text of a row contains one of the strings of ``pieces``, which is small. Each
     distinct text of a batch is read once; a null one contains nothing."""
     listed = [r[0].encode() for r in pieces.collect()]
-    shipped = df.sparkSession.sparkContext.broadcast(automaton(listed))
+    # Arrays are shipped, not the object: its class need not be known where a broadcast is read.
+    shipped = df.sparkSession.sparkContext.broadcast(automaton(listed).parts())
 
     @arrow_udf(BooleanType())
     def run(texts: pa.Array) -> pa.Array:
         coded = texts.dictionary_encode()
-        return pa.array(shipped.value.contained(coded.dictionary)).take(coded.indices)
+        return pa.array(Automaton(*shipped.value).contained(coded.dictionary)).take(coded.indices)
 
     return run(F.coalesce(col, F.lit("")))
 

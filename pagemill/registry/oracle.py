@@ -340,6 +340,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT rep_fid, part, string_agg(fid, ',' ORDER BY fid) AS samefid FROM num GROUP BY rep_fid, part""",
         "hash_matches": f"WITH {_DOC_KEY} SELECT fid, hash FROM dh WHERE {_near('dh.hash', 'junk', 1)}",
         "hash_matches_2_bits": f"WITH {_DOC_KEY} SELECT fid, hash FROM dh WHERE {_near('dh.hash', 'junk', 2)}",
+        "hash_matches_3_bits": f"WITH {_DOC_KEY} SELECT fid, hash FROM dh WHERE {_near('dh.hash', 'junk', 3)}",
+        "hash_matches_5_bits": f"WITH {_DOC_KEY} SELECT fid, hash FROM dh WHERE {_near('dh.hash', 'junk', 5)}",
+        "hash_drop_3_bits": f"WITH {_DOC_KEY} SELECT fid, hash FROM dh WHERE NOT {_near('dh.hash', 'junk', 3)}",
         "hash_drop": f"WITH {_DOC_KEY} SELECT fid, hash FROM dh WHERE NOT {_near('dh.hash', 'junk', 1)}",
         "url_drop": f"WITH {PAGES}, st AS (SELECT fid, {site} AS furl FROM pg) SELECT fid, furl FROM st WHERE NOT ({urls.format('furl', 'furl')})",
         "short_drop": f"WITH {DOC_HASHES} SELECT fid, hash FROM dh WHERE hash <> -1",

@@ -295,6 +295,21 @@ def hash_matches_2_bits(v: StandIns) -> DataFrame:
     return neardup.match_hashes(v.hashes(), _junk_hashes(v), k=2)
 
 
+@_query
+def hash_matches_3_bits(v: StandIns) -> DataFrame:
+    return neardup.match_hashes(v.hashes(), _junk_hashes(v), k=3)
+
+
+@_query
+def hash_matches_5_bits(v: StandIns) -> DataFrame:
+    return neardup.match_hashes(v.hashes(), _junk_hashes(v), k=5)
+
+
+@_query
+def hash_drop_3_bits(v: StandIns) -> DataFrame:
+    return neardup.drop_hashes(v.hashes(), _junk_hashes(v), k=3)
+
+
 @_query
 def hash_drop(v: StandIns) -> DataFrame:
     return neardup.drop_hashes(v.hashes(), _junk_hashes(v))

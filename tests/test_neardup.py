@@ -5,6 +5,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from pagemill.functions import nearby
 from pagemill.functions.hashing import signed64
 from pagemill.operators import neardup
 
@@ -171,3 +172,42 @@ def test_short_texts_are_no_copies_of_one_another(spark):
 def test_near_pairs_refuse_more_bits(spark):
     with pytest.raises(ValueError):
         neardup.near_pairs(spark.createDataFrame([(1, 2, 1)], "fid bigint, hash bigint, samelen bigint"), 4)
+
+
+@pytest.mark.parametrize("k", [3, 5, 7])
+@pytest.mark.parametrize("most", [1 << 21, 5])
+def test_hashes_near_a_listed_one_by_index(spark, k, most):
+    """One index, and a list dealt out to several; repeated, null and unlisted hashes."""
+    rng = random.Random(k)
+    rows = clustered_hashes(3, 200)
+    listed = [h for _, h, _ in rows[::17]] + [rows[0][1], None, -1]
+
+    def moved(h):
+        for bit in rng.sample(range(64), rng.randrange(k + 3)):
+            h ^= 1 << bit if bit < 63 else -(1 << 63)
+        return h
+
+    hashes = [r[1] for r in rows] + [moved(rng.choice(listed[:-2])) for _ in range(300)] + [None, -1, rows[0][1]]
+    df = spark.createDataFrame([(i, h, f"x{i}") for i, h in enumerate(hashes)], "fid bigint, hash bigint, listed string")
+    junk = spark.createDataFrame([(h,) for h in listed], "value bigint")
+    near = {i for i, h in enumerate(hashes) if h is not None and any(x is not None and bits(h, x) <= k for x in listed)}
+    kept = neardup.match_hashes(df, junk, k, most)
+    assert {r.fid for r in kept.collect()} == near and kept.columns == df.columns
+    left = neardup.drop_hashes(df, junk, k, most)
+    assert sorted(r.fid for r in left.collect()) == [i for i in range(len(hashes)) if i not in near]
+    assert neardup.match_hashes(df, junk.limit(0), k).count() == 0 and neardup.drop_hashes(df, junk.limit(0), k).count() == len(hashes)
+
+
+def test_index_of_hashes_that_share_blocks():
+    """All listed hashes agree in all blocks but one, and steps are smaller than a group."""
+    listed = np.arange(5_000, dtype=np.int64)
+    index = nearby.NearIndex(listed, 3)
+    asked = np.array([0, 4_999, 8_191, 1 << 40, (1 << 40) + (7 << 50), -1, 65_535], dtype=np.int64)
+    wanted = [any(bits(int(a), int(h)) <= 3 for h in listed) for a in asked]
+    assert index.near(asked).tolist() == wanted
+
+
+def test_too_many_bits_are_refused(spark):
+    df = spark.createDataFrame([(1, 2)], "fid bigint, hash bigint")
+    with pytest.raises(ValueError):
+        neardup.match_hashes(df, df.select("hash"), 8)
