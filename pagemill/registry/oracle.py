@@ -295,6 +295,7 @@ def oracle_sql() -> dict[str, str]:
         "list_lookup_export": f"""WITH {DOC_HASHES} SELECT fid, array_to_string(ws, ' ') AS words, hash
             FROM dw JOIN dh USING (fid) WHERE fid IN (SELECT doc_id FROM labels WHERE toxic = 1)""",
         "parallel_scan": f"WITH {DOCS} SELECT fid, furl FROM docs",
+        "balanced_scan": f"WITH {DOCS} SELECT fid, furl, md5(fcontent) AS fcontent FROM docs",
         "b64_content": "SELECT doc_id AS fid, decode(from_base64(to_base64(encode(text)))) AS content FROM documents",
         "strip_tags": f"WITH {PAGES} SELECT fid, {_strip_tags('fcontent')} AS text FROM pg",
         "strip_html": f"WITH {PAGES} SELECT fid, {_strip_html('fcontent')} AS text FROM pg",

@@ -78,6 +78,12 @@ def parallel_scan(v: StandIns) -> DataFrame:
     return tables.ensure_parallelism(v.documents().select("fid", "furl"), 16, "fid")
 
 
+@_query
+def balanced_scan(v: StandIns) -> DataFrame:
+    docs = v.documents().select("fid", "furl", "fcontent")
+    return tables.balance_bytes(docs, 16, F.octet_length("fcontent")).withColumn("fcontent", F.md5("fcontent"))
+
+
 @_query
 def b64_content(v: StandIns) -> DataFrame:
     return v.articles().select("fid", tx.decode_b64(F.col("fcontent")).alias("content"))

@@ -3,9 +3,12 @@
 import json
 import time
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -183,6 +186,38 @@ def ensure_parallelism(df: DataFrame, n: int, key: str | None = None) -> DataFra
     return df.repartition(n, key) if key else df.repartition(n)
 
 
+def balance_bytes(df: DataFrame, n: int, size: Column) -> DataFrame:
+    """``df`` in ``n`` partitions of about equal ``size``, a number of bytes for each row.
+
+    Running sums of the sizes, within each partition and over the partitions before, tell the range
+    of bytes that a row begins in; that is its partition. None is larger than the mean plus
+    its last row. Only one sum for each partition passes the driver; rows are shuffled
+    once, whatever their keys. A null size counts as 0, and so does a negative one. Meant for
+    scans and stored tables; where partitions come out otherwise when they are read again, rows
+    stay whole and only the balance suffers.
+    """
+    longest = max(df.columns, key=len)
+    bytes_, part = f"{longest}_bytes", f"{longest}_part"
+    weighed = df.withColumn(bytes_, F.greatest(F.coalesce(size.cast("bigint"), F.lit(0)), F.lit(0)))
+    sums = weighed.groupBy(F.spark_partition_id()).agg(F.sum(bytes_)).collect()
+    before, total = {}, 0
+    for number, held in sorted(map(tuple, sums)):
+        before[number] = total
+        total += held
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = before.get(TaskContext.get().partitionId(), 0)
+        for batch in batches:
+            held = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False)
+            ends = at + np.cumsum(held)
+            at = int(ends[-1]) if len(ends) else at
+            parts = pa.array(np.clip((ends - held) * (n / max(total, 1)), 0, n - 1).astype(np.int32))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], parts], names=[*batch.schema.names[:-1], part])
+
+    placed = weighed.mapInArrow(place, StructType([*df.schema, StructField(part, IntegerType())]))
+    return placed.repartitionById(n, F.col(part)).drop(part)
+
+
 def write_training(lines: DataFrame, path: str) -> None:
     """Labelled text, one folder per model; a model too big for one task is split."""
     (

@@ -130,6 +130,21 @@ def test_parallelism(spark):
     assert tables.ensure_parallelism(df, 6).rdd.getNumPartitions() == 6
 
 
+def test_partitions_of_equal_bytes(spark):
+    """Long texts stand together, and a key rules out nothing: no partition has more than the mean and a text."""
+    texts = [None, ""] + ["x" * (5_000 if 200 <= i < 260 else i % 7) for i in range(1_000)] + ["y" * 90_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "fid bigint, fid_bytes string").repartition(3)
+    df = scratch.materialize(df)
+    out = tables.balance_bytes(df, 8, F.octet_length("fid_bytes"))
+    assert out.rdd.getNumPartitions() == 8 and out.columns == df.columns
+    placed = out.select("fid", F.spark_partition_id().alias("part"), F.coalesce(F.octet_length("fid_bytes"), F.lit(0)).alias("n")).collect()
+    assert sorted(r.fid for r in placed) == list(range(len(texts)))
+    held = [sum(r.n for r in placed if r.part == p) for p in range(8)]
+    mean = sum(held) / 8
+    assert all(h <= mean + 90_000 for h in held) and sorted(held)[-2] <= mean + 5_000
+    assert tables.balance_bytes(df.limit(0), 4, F.lit(1)).count() == 0
+
+
 def test_schema_projection(spark):
     df = spark.createDataFrame([("1", "w", 0)], "fid string, words string, extra int")
     assert conform(df, SEG).schema.simpleString() == "struct<fid:bigint,words:string>"
