@@ -10,7 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Bytes of text worked on at once; a longer text is worked on alone.
-CHUNK_BYTES = 1 << 19
+CHUNK_BYTES = 1 << 18
 
 OTHER, LETTER, NUMBER, SPACE, BLANK = range(5)
 
@@ -68,6 +68,8 @@ def chunks(texts: pa.Array, most: int = CHUNK_BYTES) -> Iterator[pa.Array]:
         stop = max(at + 1, int(np.searchsorted(sizes, before + most, side="right")))
         yield texts.slice(at, stop - at)
         at = stop
+    # Workers live on between stages; what Arrow holds for later would add to the next one's peak.
+    pa.default_memory_pool().release_unused()
 
 
 def raw(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
