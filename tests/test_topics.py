@@ -1,6 +1,7 @@
 import math
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -87,6 +88,45 @@ def test_blocks_of_weights_and_words_change_nothing(spark, models, monkeypatch,
     assert scored(large) == scored(models)
 
 
+def test_words_of_many_batches_are_looked_up_at_once(monkeypatch):
+    rows = pa.schema([("place", "int64"), ("term", "string"), ("scores", pa.list_(pa.float64())), ("row", "int64"), ("model", "string"), ("n", "int64")])
+
+    def batch(place, scores):
+        return pa.RecordBatch.from_pylist(
+            [{"place": place, "term": t, "scores": scores, "row": 7, "model": "m", "n": 2} for t in "ab"], rows
+        )
+
+    looked_up = []
+    index_in = topics.pc.index_in
+    monkeypatch.setattr(topics.pc, "index_in", lambda x, value_set: looked_up.append(len(x)) or index_in(x, value_set=value_set))
+    batches = [batch(2, [0.5]), *[batch(3, [])] * 50, batch(4, [0.25]), *[batch(5, [])] * 50]
+    found = [r for b in topics._block_sums(1)(iter(batches)) for r in b.to_pylist()]
+    assert looked_up == [100, 100]
+    assert found == [{"row": 7, "own": "m", "known": 200, "sums": [s]} for s in (100.0, 50.0)]
+    monkeypatch.setattr(topics, "LOOKUP_CELLS", 4)
+    parts = [r for b in topics._block_sums(1)(iter(batches)) for r in b.to_pylist()]
+    assert len(parts) == 50 and sum(r["sums"][0] for r in parts) == 150.0
+
+
+def test_cells_hold_no_null_lists(spark, models, monkeypatch):
+    """A writer of Arrow batches goes over all null lists of a batch again at each of its rows."""
+    block_sums = topics._block_sums
+
+    def strict(width):
+        run = block_sums(width)
+
+        def checked(batches):
+            for batch in batches:
+                assert not batch.column("scores").null_count
+                yield from run(iter([batch]))
+
+        return checked
+
+    monkeypatch.setattr(topics, "_block_sums", strict)
+    large = topics.topic_models(models.weights, models.labels, 0)
+    assert topics.classify_parent(docs(spark, TEXTS), large).count() == len(TEXTS)
+
+
 def test_children_are_scored_by_their_parents_model(spark, models):
     parents = spark.createDataFrame(
         [(1, "goal", "sport"), (2, "club hole", "sport"), (3, "vote", "news"), (4, "vote", "sport"), (5, "", "sport")],
