@@ -198,6 +198,18 @@ def test_hashes_near_a_listed_one_by_index(spark, k, most):
     assert neardup.match_hashes(df, junk.limit(0), k).count() == 0 and neardup.drop_hashes(df, junk.limit(0), k).count() == len(hashes)
 
 
+def test_hashes_within_2_bits_need_no_list_of_neighbours(spark, monkeypatch):
+    """A listed hash has 2,081 neighbours within 2 bits, and twice 65 flips name them 4,225 times."""
+    listed = []
+    hash_ball = neardup.hash_ball
+    monkeypatch.setattr(neardup, "hash_ball", lambda df, k: listed.append(hash_ball(df, k).count()) or hash_ball(df, k))
+    df = spark.createDataFrame([(1, 0b11), (2, 0b111), (3, None), (4, -1)], "fid bigint, hash bigint")
+    junk = spark.createDataFrame([(0,), (None,)], "value bigint")
+    assert [r.fid for r in neardup.match_hashes(df, junk, 2).collect()] == [1]
+    assert sorted(r.fid for r in neardup.drop_hashes(df, junk, 2).collect()) == [2, 3, 4]
+    assert sum(listed) <= 65 * junk.count()
+
+
 def test_index_of_hashes_that_share_blocks():
     """All listed hashes agree in all blocks but one, and steps are smaller than a group."""
     listed = np.arange(5_000, dtype=np.int64)
