@@ -5,7 +5,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from pagemill.operators import topics
+from pagemill.operators import joins, topics
 
 LINES = [
     ("all", "sport", "ball goal ball"),
@@ -127,6 +127,63 @@ def test_cells_hold_no_null_lists(spark, models, monkeypatch):
     assert topics.classify_parent(docs(spark, TEXTS), large).count() == len(TEXTS)
 
 
+@pytest.mark.parametrize("share", [0.5, 0.7, 0.99])
+def test_frequent_words_stay_where_the_documents_are(spark, models, monkeypatch, share):
+    part = topics.topic_models(models.weights, models.labels, int(share * joins.estimated_bytes(models.weights)))
+    assert not part.small and part.least_strength is not None and part.rest_bytes > 0
+    strong = models.weights.where(topics._strength() >= part.least_strength).select("model", "word").collect()
+    shipped = {f"{r.model}\x01{r.word}" for r in strong}
+    assert "all\x01ball" in shipped and len(shipped) < models.weights.count()
+    block_sums = topics._block_sums
+
+    def strict(width):
+        run = block_sums(width)
+
+        def checked(batches):
+            for batch in batches:
+                assert not shipped & set(batch.column("term").to_pylist())
+                yield from run(iter([batch]))
+
+        return checked
+
+    names = [r.model for r in models.labels.collect()]
+    texts = [*TEXTS, "goal goal ball hole  club zzz", "law vote ball ball goal team", "club law"]
+    rows = [(i, t, name) for i, t in enumerate(texts) for name in [*names, "no such"]]
+    docs = spark.createDataFrame(rows, "fid long, words string, model string").repartition(3)
+
+    def scored(used):
+        return sorted((r.fid, r.model, r.cat, round(r.prob, 9)) for r in topics.classify_by(docs, used).collect())
+
+    wanted = scored(models)
+    monkeypatch.setattr(topics, "_block_sums", strict)
+    assert scored(part) == wanted
+
+
+def test_rows_of_one_model_do_not_meet_in_one_task(spark, models):
+    large = topics.topic_models(models.weights, models.labels, 0)
+    for found in (topics.classify_parent(docs(spark, TEXTS), large), topics.weight_rows(models)):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan
+        assert "hashpartitioning(own" not in plan and "hashpartitioning(model" not in plan
+
+
+def test_words_are_counted_once_a_batch():
+    rows = [("m", "a", "x y x"), ("m", "a", "x  "), ("m", None, "y"), ("n", "a", ""), ("m", "a", "z")]
+    batch = pa.RecordBatch.from_pylist([dict(zip(("model", "label", "text"), r)) for r in rows])
+    counts = [c for b in topics._batch_counts(iter([batch, batch.slice(1, 1), batch.slice(0, 0)])) for c in b.to_pylist()]
+    first = [("m", "a", "x", 3), ("m", "a", "y", 1), ("m", "a", "z", 1), ("m", "a", None, 3)]
+    first += [("m", None, "y", 1), ("m", None, None, 1), ("n", "a", None, 1)]
+    assert sorted(map(str, (tuple(c.values()) for c in counts))) == sorted(
+        map(str, [*first, ("m", "a", "x", 1), ("m", "a", None, 1)])
+    )
+
+
+def test_lines_without_text_are_not_counted(spark):
+    lines = spark.createDataFrame([("m", "a", None), ("m", "a", ""), ("m", None, "x x")], "model string, label string, text string")
+    got = {tuple(r) for r in topics.word_counts(lines).collect()}
+    assert got == {("m", "a", None, 1), ("m", None, None, 1), ("m", None, "x", 2)}
+
+
 def test_children_are_scored_by_their_parents_model(spark, models):
     parents = spark.createDataFrame(
         [(1, "goal", "sport"), (2, "club hole", "sport"), (3, "vote", "news"), (4, "vote", "sport"), (5, "", "sport")],
