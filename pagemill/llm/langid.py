@@ -169,6 +169,22 @@ def inverse_frequencies(docs: DataFrame, classes) -> np.ndarray:
     return np.log((1 + n[bucket < 0].sum()) / (1 + df)) + 1
 
 
+def in_order(features: pa.Table) -> list[tuple[str, np.ndarray, np.ndarray]]:
+    """(language, buckets, counts) of the rows that have buckets, by order, language and values.
+    The lists stay arrays: as Python integers they would take ten times the driver's memory."""
+    orders, names = features["_order"].to_numpy(), features["lang"].to_pylist()
+    lists = [features[c].combine_chunks() for c in ("buckets", "counts")]
+    flat = [x.flatten().to_numpy() for x in lists]
+    ends = np.append(0, np.cumsum(lists[0].value_lengths().to_numpy()))
+    own = [[x[i:j] for x in flat] for i, j in zip(ends, ends[1:])]
+
+    def key(i: int) -> tuple:
+        # Big-endian bytes are in the order of the values, which are not negative.
+        return orders[i], names[i], *(x.astype(f">i{x.itemsize}").tobytes() for x in own[i])
+
+    return [(names[i], *own[i]) for i in sorted((i for i in range(len(own)) if len(own[i][0])), key=key)]
+
+
 def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, sample: int = SAMPLE, seed: int = SEED) -> Model:
     """Learn from the (doc_id, text, lang) rows that are not held out and have a
     language, text and id. Without any, no language is learned."""
@@ -198,26 +214,22 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, sample: int = SAMPLE,
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [r for part in chars.chunks(batch.column("text")) for r in gram_buckets(part, classes.value)]
-            empty = np.zeros(0, np.int64)
+            empty = np.zeros(0, np.int32)
             buckets = [empty if r is None else r[0] for r in rows]
             counts = [empty if r is None else r[1] for r in rows]
-            lists = [pa.array(x, pa.list_(pa.int64())) for x in (buckets, counts)]
+            lists = [pa.array([a.astype(np.int32) for a in x], pa.list_(pa.int32())) for x in (buckets, counts)]
             yield pa.RecordBatch.from_arrays([batch.column("lang"), batch.column("_order"), *lists], ["lang", "_order", "buckets", "counts"])
 
     # ``sample`` bounds the rows that are broadcast.
     texts = known.join(F.broadcast(chosen), ["lang", "doc_id"]).dropDuplicates(["lang", "doc_id"])
     got = texts.select("lang", "_order", "text").mapInArrow(
-        features, "lang string, _order long, buckets array<long>, counts array<long>"
+        features, "lang string, _order long, buckets array<int>, counts array<int>"
     ).toArrow()
-    rows = sorted(
-        (order, lang, tuple(b), tuple(c))
-        for lang, order, b, c in zip(*(got[n].to_pylist() for n in ("lang", "_order", "buckets", "counts")))
-        if b
-    )
-    languages = sorted({r[1] for r in rows})
-    data = [
-        (np.array(b), weighted(np.array(b), np.array(c), idf), languages.index(lang)) for _, lang, b, c in rows
-    ]
+    rows = in_order(got)
+    del got
+    languages = sorted({lang for lang, _, _ in rows})
+    data = [(b, weighted(b, c, idf), languages.index(lang)) for lang, b, c in rows]
+    del rows
     if not languages:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0), idf)
     calibration = data[::CALIBRATE_EVERY] if len(data) >= 2 * CALIBRATE_EVERY else []

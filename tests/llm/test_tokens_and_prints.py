@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -133,3 +134,26 @@ def test_language_model_of_odd_tables(spark):
     said = {r.doc_id: r.lang_pred for r in langid.predict(docs.drop("score"), one).collect()}
     assert said == {1: "und", None: "en", 3: "und", 4: "en"}
     assert langid.predict(docs.limit(0), one).count() == 0
+
+
+def test_training_rows_stay_arrays_in_order():
+    lists = [[3, 70_000], [], [2, 9], [3], [2, 300]]
+    table = pa.table(
+        {
+            "lang": ["b", "a", "a", "b", "a"],
+            "_order": [5, -9, -1, 5, -1],
+            "buckets": pa.chunked_array([pa.array(lists[:2], pa.list_(pa.int32())), pa.array(lists[2:], pa.list_(pa.int32()))]),
+            "counts": pa.array(lists, pa.list_(pa.int32())),
+        }
+    )
+    got = [(lang, b.tolist(), c.tolist()) for lang, b, c in langid.in_order(table)]
+    assert got == [("a", [2, 9], [2, 9]), ("a", [2, 300], [2, 300]), ("b", [3], [3]), ("b", [3, 70_000], [3, 70_000])]
+    assert langid.in_order(table.slice(0, 0)) == []
+    values = pa.array(np.arange(1000, 1_001_000, dtype=np.int32))
+    large = pa.ListArray.from_arrays(pa.array(range(0, 1_000_001, 1000), pa.int32()), values)
+    table = pa.table({"lang": ["a"] * 1000, "_order": range(1000), "buckets": large, "counts": large})
+    tracemalloc.start()
+    assert len(langid.in_order(table)) == 1000
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 3 * table.nbytes
