@@ -171,7 +171,7 @@ def inverse_frequencies(docs: DataFrame, classes) -> np.ndarray:
 
 def in_order(features: pa.Table) -> list[tuple[str, np.ndarray, np.ndarray]]:
     """(language, buckets, counts) of the rows that have buckets, by order, language and values.
-    The lists stay arrays: as Python integers they would take ten times the driver's memory."""
+    The lists stay arrays: as Python integers they would take ten times the memory."""
     orders, names = features["_order"].to_numpy(), features["lang"].to_pylist()
     lists = [features[c].combine_chunks() for c in ("buckets", "counts")]
     flat = [x.flatten().to_numpy() for x in lists]
@@ -222,16 +222,35 @@ def fit(docs: DataFrame, per_language: int = PER_LANGUAGE, sample: int = SAMPLE,
 
     # ``sample`` bounds the rows that are broadcast.
     texts = known.join(F.broadcast(chosen), ["lang", "doc_id"]).dropDuplicates(["lang", "doc_id"])
-    got = texts.select("lang", "_order", "text").mapInArrow(
+    rows = texts.select("lang", "_order", "text").mapInArrow(
         features, "lang string, _order long, buckets array<int>, counts array<int>"
+    )
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if held:
+            m = learned(in_order(pa.Table.from_batches(held)), idf)
+            numbers = [pa.array([x], pa.list_(pa.float64())) for x in (m.weights.ravel(), m.bias)]
+            columns = [pa.array([m.languages], pa.list_(pa.string())), *numbers, pa.array([float(m.temperature)])]
+            yield pa.RecordBatch.from_arrays(columns, ["languages", "weights", "bias", "temperature"])
+
+    # The sample meets in a task; the driver gets the weights only.
+    parts = rows.repartition(1).mapInArrow(
+        learn, "languages array<string>, weights array<double>, bias array<double>, temperature double"
     ).toArrow()
-    rows = in_order(got)
-    del got
+    if not len(parts):
+        return learned([], idf)
+    languages = parts["languages"][0].as_py()
+    weights, bias = (parts[c].combine_chunks().flatten().to_numpy() for c in ("weights", "bias"))
+    return Model(languages, weights.reshape(BUCKETS, len(languages)), bias, idf, parts["temperature"][0].as_py())
+
+
+def learned(rows: list[tuple[str, np.ndarray, np.ndarray]], idf: np.ndarray) -> Model:
+    """The model of (language, buckets, counts) rows, in their order."""
     languages = sorted({lang for lang, _, _ in rows})
-    data = [(b, weighted(b, c, idf), languages.index(lang)) for lang, b, c in rows]
-    del rows
     if not languages:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros(0), idf)
+    data = [(b, weighted(b, c, idf), languages.index(lang)) for lang, b, c in rows]
     calibration = data[::CALIBRATE_EVERY] if len(data) >= 2 * CALIBRATE_EVERY else []
     training = [r for i, r in enumerate(data) if not calibration or i % CALIBRATE_EVERY]
     weights, bias = fit_weights(training, len(languages))

@@ -10,10 +10,11 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import regex
 import tiktoken
 from pyspark.sql import functions as F
 
-from pagemill.llm import bpe, fingerprints, langid
+from pagemill.llm import bpe, chars, fingerprints, langid
 from pagemill.llm.queries import TOKENIZER, vocabulary
 
 ODD = [None, "", " ", "'s", "x's 'll've", "  x", "a  \n b ", "aaaa" * 2000, "1" * 3000, "' " * 300, "a\u0085b\u001cc", "日本é " * 50]
@@ -157,3 +158,29 @@ def test_training_rows_stay_arrays_in_order():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 3 * table.nbytes
+
+
+def test_training_rows_do_not_reach_the_driver(spark, monkeypatch):
+    rows = [(i, f"{'the cat sat' if i % 2 else 'der hund lief'} {i}", "en" if i % 2 else "de") for i in range(60)]
+    docs = spark.createDataFrame([*rows, (60, None, "en"), (61, "12 34", "de")], "doc_id long, text string, lang string")
+    fetched, fetch = [], type(docs).toArrow
+    monkeypatch.setattr(type(docs), "toArrow", lambda df: fetched.append(df.columns) or fetch(df))
+    model = langid.fit(docs)
+    assert fetched and not any("buckets" in columns for columns in fetched)
+    assert model.languages == ["de", "en"] and model.weights.shape == (langid.BUCKETS, 2)
+    assert {(r.doc_id % 2, r.lang_pred) for r in langid.predict(docs.where("doc_id < 60"), model).collect()} == {(0, "de"), (1, "en")}
+    silent = langid.fit(docs.where("doc_id = 61"))
+    assert silent.languages == [] and silent.weights.shape == (langid.BUCKETS, 0)
+
+
+def test_classes_take_little_memory():
+    tracemalloc.start()
+    table = chars.classes()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 * len(table)
+    for c in ["a", "é", "本", "٣", " ", "\t", "\u2028", "-", "\ud7ff", "\ue000", "\U0001d400", "\U0010ffff"]:
+        letter, number = regex.match(r"\p{L}", c), regex.match(r"\p{N}", c)
+        blank = chars.SPACE if c == " " else chars.BLANK if ord(c) in chars.BLANKS else chars.OTHER
+        assert table[ord(c)] == (chars.LETTER if letter else chars.NUMBER if number else blank)
+    assert not table[0xD800:0xE000].any()
