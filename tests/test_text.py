@@ -1,5 +1,7 @@
 import base64
 
+import pytest
+
 from pagemill.functions import text as tx
 
 
@@ -22,6 +24,23 @@ def test_strip_html_quotes_its_phrases(column):
     assert column(lambda c: tx.strip_html(c, ("(ad)", "a.d")), ["x(ad)y aXd a.dz"]) == ["x y aXd z"]
 
 
+ODD = [
+    None, "", "plain words", "a<b", "a>b<c", "\t <b>a</b>\nb<i\n>c \n", "x<y\rz>w", "x<y\u2028z>w\u0085v<u>t", "<<a>b>c",
+    "a\nb<script>var t=\"</p>\";\n</script><p>one</p>\n\n<p>two</br>查看原文three---#= 4", "s<script>\r</script>t</p>",
+    "<a </p> b>c", "图片来源点击加载图片来源汉字a--b---查看\n原文", "新闻---联播<br>天气 \u0085", "ΑΣ \u0085", "ΑΣ<b>Β---ΓΣ\n", "a--xb---x c--- x",
+    "see\nmore see  more", " \x01ÉTÉ<\u2029>é\x00",
+]
+
+
+@pytest.mark.parametrize("mode", ["letters", "han", "mixed"])
+def test_text_untagged_for_words_has_the_words_of_stripped_text(column, mode):
+    cut = [column(lambda c: tx.words(f(c), mode), ODD) for f in (tx.untagged, tx.strip_tags)]
+    assert cut[0] == cut[1]
+    for phrases in (("查看原文", "点击加载图片", "图片来源"), (), ("--x", "Β"), ("see more", "a"), ("",)):
+        cut = [column(lambda c: tx.words(f(c, phrases), mode), ODD) for f in (tx.untagged_html, tx.strip_html)]
+        assert cut[0] == cut[1], phrases
+
+
 def test_squash(column):
     assert column(tx.squash, [None, " a,b\r\n\tc ", "ab"]) == ["", "abc", "ab"]
 
