@@ -1,6 +1,7 @@
 """Shapes of physical plans that must hold whatever the size of the data."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from pagemill.functions.hashing import signed64
 from pagemill.operators import joins, neardup, textprep, topics, userstats
@@ -72,6 +73,31 @@ def test_no_pairing_by_nested_loop(spark):
         assert "NestedLoop" not in plan(df) and "Cartesian" not in plan(df)
 
 
+def shuffled_rows(node):
+    """Rows that a plan which has run wrote to its exchanges."""
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return shuffled_rows(node.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return shuffled_rows(node.plan())
+    written = node.metrics().get("shuffleRecordsWritten")
+    below = (node.children().apply(i) for i in range(node.children().size()))
+    return (written.get().value() if written.isDefined() else 0) + sum(map(shuffled_rows, below))
+
+
+def test_words_of_large_models_are_shuffled_once_a_block(spark):
+    """Not once for each document that holds them."""
+    vocabulary = [f"w{i}" for i in range(60)]
+    lines = [("all", label, " ".join(vocabulary[i::2])) for i, label in enumerate("ab")]
+    models = topics.fit_topics(spark.createDataFrame(lines, "model string, label string, text string"))
+    large = topics.topic_models(models.weights, models.labels, max_bytes=0)
+    n = 1000
+    docs = spark.range(n).select(F.col("id").alias("fid"), F.lit(" ".join(vocabulary)).alias("words"))
+    scored = topics.classify_parent(docs, large)
+    assert len(scored.collect()) == n
+    assert n <= shuffled_rows(scored._jdf.queryExecution().executedPlan()) < n * len(vocabulary) / 4
+
+
 def test_scoring_with_small_models_does_not_shuffle(spark):
     lines = spark.createDataFrame([("all", "a", "x y"), ("all", "b", "z")], "model string, label string, text string")
     models = topics.fit_topics(lines)
