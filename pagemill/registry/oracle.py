@@ -424,7 +424,7 @@ def oracle_sql() -> dict[str, str]:
     sql["parent_topics_any_id"] = any_id.format(cols="words, cat, prob", query=sql["parent_topics"])
     sql["job_matching_pages"] = sql["hash_matches"]
     sql["job_training_data"] = sql["label_counts"]
-    sql["job_user_topics"] = sql["user_topic_counts"]
+    sql["job_user_topics"] = sql["user_topic_counts_all"]
     sql["job_user_topics_full"] = sql["user_topic_counts_all"]
     sql["url_drop_joined"] = sql["url_drop"]
     sql["title_drop_long_list"] = sql["title_drop"]

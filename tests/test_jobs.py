@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 from pagemill.operators import neardup, topics
 from pagemill.plans import jobs
 from pagemill.plans.store import Store
+from pagemill.registry import queries as registry
 from pagemill.registry.standins import DAY, REST, StandIns
 from pagemill.sources.tables import read_training
 
@@ -73,3 +74,23 @@ def test_user_topics(views, store, models):
     jobs.user_topics(store, views.articles(), log, clicks, models, DAY + 1, "view", editor_only=True, rest=REST)
     assert 0 < store.read("fid_cat", DAY + 1).count() < before
     assert store.read("fid_cat", DAY).count() == before
+
+
+def test_the_query_of_user_topics_predicts_what_editors_left_out(spark, tmp_path):
+    texts = ["goal ball team"] * 2 + ["vote law court"] * 2 + ["ball goal goal"]
+    documents = [(i, t, "fr" if "law" in t else "es", "src1", len(t)) for i, t in enumerate(texts)]
+    labels = [(i, i % 2, 0) for i in range(4)]
+    events = [(10 * i, f"u{i}") for i in range(5)]
+    spark.createDataFrame(documents, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(
+        f"{tmp_path}/documents.parquet"
+    )
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(events, "event_id long, user_id string").selectExpr(
+        "event_id", "timestamp '2024-01-01' AS ts", "user_id", "'view' AS event_type", "1D AS value", "'{}' AS props"
+    ).write.parquet(f"{tmp_path}/events.parquet")
+    found = {}
+    for name in ("job_user_topics", "job_user_topics_full"):
+        rows = registry.queries()[name](spark, str(tmp_path)).collect()
+        found[name] = sorted((r.imei, r.pcat, r.ccat, r.cnt) for r in rows)
+    assert {r[1] for r in found["job_user_topics"] if r[0] == "u4"} == {"es"}
+    assert found["job_user_topics"] == found["job_user_topics_full"]
