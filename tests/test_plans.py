@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from pagemill.functions.hashing import signed64
 from pagemill.operators import joins, neardup, textprep, topics, userstats
 from pagemill.registry.standins import StandIns
+from pagemill.sources.scratch import materialize
 
 SF = "/root/testdata/sf0.001"
 
@@ -98,6 +99,23 @@ def test_words_of_large_models_are_shuffled_once_a_block(spark):
     assert n <= shuffled_rows(scored._jdf.queryExecution().executedPlan()) < n * len(vocabulary) / 4
 
 
+def test_documents_scored_twice_are_stored_once(spark, monkeypatch):
+    lines = [("all", "a", "x y"), ("all", "b", "z")]
+    models = topics.fit_topics(spark.createDataFrame(lines, "model string, label string, text string"))
+    large = topics.topic_models(models.weights, models.labels, max_bytes=0)
+    docs = spark.createDataFrame([(1, "x z"), (None, "z"), (1, None), (1, "x z")], "fid bigint, words string")
+    numbered = topics.numbered(docs)
+    stored = []
+    monkeypatch.setattr(topics, "materialize", lambda df: stored.append(df.columns) or materialize(df))
+    found = [topics.classify_parent(numbered, m) for m in (models, large)]
+    assert not any("words" in columns for columns in stored)
+    wanted = topics.classify_parent(docs, large)
+    assert any("words" in columns for columns in stored)
+    for df in found:
+        assert df.columns == wanted.columns
+        assert sorted(map(repr, df.collect())) == sorted(map(repr, wanted.collect()))
+
+
 def test_scoring_with_small_models_does_not_shuffle(spark):
     lines = spark.createDataFrame([("all", "a", "x y"), ("all", "b", "z")], "model string, label string, text string")
     models = topics.fit_topics(lines)
